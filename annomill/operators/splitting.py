@@ -143,23 +143,23 @@ def _deal(index: Column, n: Column, parts: Column) -> tuple[Column, Column, Colu
     return number.cast("bigint"), row.cast("bigint"), size.cast("bigint")
 
 
-def assign_parts(indexed: DataFrame, plan: DataFrame) -> DataFrame:
+def assign_parts(indexed: DataFrame, plan: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every indexed prompt with every demand of the plan, and its part.
 
-    Adds ``demand, part, part_no, part_row, part_rows`` to the columns of
-    ``indexed``.  A demand that needs no split is one part named after it.
-    Parts without rows do not appear.
+    Adds ``demand, part, part_no, part_row, part_rows`` and the plan's
+    ``carry`` columns to those of ``indexed``.  A demand that needs no split
+    is one part named after it.  Parts without rows do not appear.
     """
     dimension = plan.select(
         "demand", F.when(F.col("need_split"), F.col("num_parts")).otherwise(1).alias("_parts"),
-        "need_split",
+        "need_split", *carry,
     )
     pairs = pair_with(indexed, dimension)
     number, row, size = _deal(F.col("row_index"), F.col("n_rows"), F.col("_parts"))
     name = F.when(F.col("need_split"), F.concat("demand", F.lit("_part"), number.cast("string")))
     return pairs.select(
         *indexed.columns, "demand", F.coalesce(name, "demand").alias("part"),
-        number.alias("part_no"), row.alias("part_row"), size.alias("part_rows"),
+        number.alias("part_no"), row.alias("part_row"), size.alias("part_rows"), *carry,
     )
 
 

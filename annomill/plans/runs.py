@@ -64,7 +64,9 @@ class AnnotationRun:
     def nested(self, demands: Sequence[str] | None = None, order_by: Column | None = None) -> DataFrame:
         order = line_order() if order_by is None else order_by
         nested = nest_wide(self._ordered(), order, demands)
-        return nested if self.prompts is None else attach_prompts(nested, self.prompts)
+        if self.prompts is None:
+            return nested
+        return attach_prompts(nested, self.prompts, unique_ids=True)
 
     def summary(self, *by: str) -> DataFrame:
         return annotation_summary(annotate_long(self.outputs, only_levels=True), *by)

@@ -9,7 +9,7 @@ from ..fixed_values import (
     MAX_PART_BYTES, MAX_PART_LINES, REQUEST_MAX_TOKENS, REQUEST_MODEL, REQUEST_URL,
 )
 from ..operators.requests import build_requests, request_columns, request_halves
-from ..operators.sizes import fits_in_memory, sliced_join
+from ..operators.sizes import fits_in_memory
 from ..operators.splitting import assign_parts, request_sizes, split_plan, with_row_index
 
 
@@ -40,31 +40,30 @@ def write_requests(
         return
     indexed = with_row_index(prompts.select("custom_id", "prompt"), list(order_by))
     sizes = request_sizes(indexed, rubrics, model, max_tokens, url)
-    assigned = assign_parts(indexed, split_plan(sizes, max_lines, max_bytes))
+    plan = split_plan(sizes, max_lines, max_bytes)
+    halves = request_halves(rubrics)
+    late = fits_in_memory(halves)
+    if late:
+        assigned = assign_parts(indexed, plan)
+    else:
+        # Too many rubrics to hold their texts in every task.
+        assigned = assign_parts(indexed, plan.join(halves, "demand"), ("prefix", "suffix"))
+    keys = ("demand", "part", "part_row")
     placed = (
-        assigned.select("demand", "part", "part_row", "custom_id", "prompt")
-        .repartition("demand", "part")
-        .sortWithinPartitions("demand", "part", "part_row")
+        assigned.drop("row_index", "n_rows", "part_no", "part_rows")
+        .repartition("demand", "part").sortWithinPartitions(*keys)
     )
-    rendered = _put_text_around(placed, request_halves(rubrics))
-    fields = request_columns(F.col("custom_id"), F.col("instruction"), model, max_tokens, url)
+    if late:
+        # A lookup in a constant, unlike a join, is sure to keep the rows' order.
+        texts = halves.agg(F.map_from_entries(F.collect_list(
+            F.struct("demand", F.struct("prefix", "suffix"))
+        ))).scalar()
+        placed = placed.withColumn("_around", F.element_at(texts, F.col("demand")))
+        instruction = F.concat("_around.prefix", "prompt", "_around.suffix")
+    else:
+        instruction = F.concat("prefix", "prompt", "suffix")
+    fields = request_columns(F.col("custom_id"), instruction, model, max_tokens, url)
     (
-        rendered.select("demand", "part", *fields)
+        placed.select("demand", "part", *fields)
         .write.mode("overwrite").partitionBy("demand", "part").json(path)
     )
-
-
-def _put_text_around(placed: DataFrame, halves: DataFrame) -> DataFrame:
-    instruction = F.concat("prefix", "prompt", "suffix").alias("instruction")
-    if fits_in_memory(halves):
-        # A lookup in a constant keeps the rows' order, which a join might not.
-        texts = halves.agg(F.map_from_entries(F.collect_list(
-            F.struct("demand", F.struct("prefix", "suffix"))
-        )).alias("texts")).scalar()
-        around = F.element_at(texts, F.col("demand"))
-        return placed.withColumn("_around", around).select(
-            "demand", "part", "part_row", "custom_id",
-            F.concat("_around.prefix", "prompt", "_around.suffix").alias("instruction"),
-        )
-    joined = sliced_join(placed, halves, "demand")
-    return joined.select("demand", "part", "part_row", "custom_id", instruction)
