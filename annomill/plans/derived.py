@@ -107,7 +107,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(failed_part, "failed").when(F.col("demand") == "CE", "in_progress")
             .otherwise("completed").alias("status"),
             (first + 1700000000).alias("created_at"),
-            F.when(F.col("demand") != "CE", first + 1700000000 + tokens % 10000).alias("completed_at"),
+            F.when(F.col("demand") != "CE", first + 1700000000 + tokens % 9973).alias("completed_at"),
             F.concat(F.lit("out_"), "part").alias("output_file_id"),
             F.when(failed_part, F.concat(F.lit("err_"), "part")).alias("error_file_id"),
             F.struct(
@@ -180,18 +180,20 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rubric_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rubric file's text per document source: ``acronym, value``.
 
-    Level k is illustrated by the source's first document with number k mod 6;
-    a source without one lacks that level.
+    Level k is illustrated by the source's first document whose number over 20
+    is k mod 6; a source without one lacks that level.  Names that end in 7
+    miss the hash sign.
     """
-    level = F.col("doc_id") % 6
+    level = F.floor(F.col("doc_id") / 20) % 6
     texts = table(spark, sf_dir, "documents").groupBy("source").agg(*[
         F.min_by(F.when(level == k, F.col("text")), F.when(level == k, F.col("doc_id"))).alias(f"t{k}")
         for k in range(6)
     ])
+    mark = F.when(F.col("source").endswith("7"), "").otherwise("# ")
     blocks = [F.concat(F.lit(f"Level {k}: "), f"t{k}", F.lit("\r\nExamples: none\r\n")) for k in range(6)]
     return texts.select(
         F.col("source").alias("acronym"),
-        F.concat(F.lit("# Source "), "source", F.lit("\r\n"), F.concat_ws("", *blocks)).alias("value"),
+        F.concat(mark, F.lit("Source "), "source", F.lit("\r\n"), F.concat_ws("", *blocks)).alias("value"),
     )
 
 

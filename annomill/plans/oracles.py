@@ -115,7 +115,7 @@ _METADATA = """metadata AS (
     CASE demand WHEN 'CD' THEN 'failed' WHEN 'CE' THEN 'in_progress' ELSE 'completed' END AS status,
     1700000000 + min(doc_id) AS created_at,
     CASE WHEN demand <> 'CE'
-      THEN CAST(1700000000 + min(doc_id) + sum(completion_tokens) % 10000 AS BIGINT) END AS completed_at,
+      THEN CAST(1700000000 + min(doc_id) + sum(completion_tokens) % 9973 AS BIGINT) END AS completed_at,
     'out_' || part AS output_file_id,
     CASE WHEN demand = 'CD' THEN 'err_' || part END AS error_file_id,
     CAST(count(*) AS BIGINT) AS total,
@@ -283,7 +283,7 @@ _LATEST_TURN = """SELECT CAST(conv_id AS VARCHAR) AS custom_id, arg_max(text, tu
     FROM conversations GROUP BY conv_id"""
 
 _RUBRIC_LEVELS = " || ".join(
-    f"coalesce('Level {k}: ' || (arg_min(text, doc_id) FILTER (doc_id % 6 = {k})) || chr(10) || 'Examples: none' || chr(10), '')"
+    f"coalesce('Level {k}: ' || (arg_min(text, doc_id) FILTER ((doc_id // 20) % 6 = {k})) || chr(10) || 'Examples: none' || chr(10), '')"
     for k in range(6)
 )
 
@@ -316,7 +316,7 @@ ORACLES = {
     "load_rubrics": _with(
         f"files AS (SELECT source, trim({_RUBRIC_LEVELS}, ' ' || chr(9) || chr(10) || chr(13)) AS content FROM documents GROUP BY source)",
         select=f"""SELECT source AS acronym, 'Source ' || source AS full_name, {_digest('content', 'content')}
-            FROM files WHERE {_CHECK} = {_text(MSG_VALID)}""",
+            FROM files WHERE NOT ends_with(source, '7') AND {_CHECK} = {_text(MSG_VALID)}""",
     ),
     "read_outputs": _over_outputs(
         f"""SELECT custom_id, demand, part, model, finish_reason, prompt_tokens, completion_tokens,
