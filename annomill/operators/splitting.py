@@ -6,57 +6,12 @@ constant per rubric, so no request is rendered to learn how big it is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import REQUEST_MAX_TOKENS, REQUEST_MODEL, REQUEST_URL
-from ..session import new_scratch
 from .requests import pair_with, request_columns, request_halves
 
-# monotonically_increasing_id() puts the row's place in the low 33 bits.
-_PLACE_BITS = 33
-
-
-def with_row_index(rows: DataFrame, order_by: list[str], path: str | None = None) -> DataFrame:
-    """Adds ``row_index`` (0-based, by ``order_by``) and ``n_rows``.
-
-    Rows are range-partitioned, numbered inside each partition and written
-    once to the shared folder (or ``path``); only the partitions' sizes are
-    added up globally.  Equal keys are told apart by their place in the input,
-    so many copies of one key still spread over partitions.
-    """
-    spark = rows.sparkSession
-    path = path or new_scratch(spark, "row-index")
-    place = F.monotonically_increasing_id()
-    (
-        rows.withColumn("_tie", place)
-        .repartitionByRange(*order_by, "_tie")
-        .sortWithinPartitions(*order_by, "_tie")
-        .drop("_tie")
-        .withColumn("_place", place)
-        .write.parquet(path)
-    )
-    stored = spark.read.parquet(path)
-    number = F.shiftright("_place", _PLACE_BITS)
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition, so these windows are over a short table.
-    ranges = (
-        stored.groupBy(number.alias("_range")).agg(F.count("*").alias("_n"))
-        .select("_range",
-                F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"),
-                F.sum("_n").over(Window.partitionBy()).alias("n_rows"))
-    )
-    return (
-        stored.withColumn("_range", number)
-        .join(F.broadcast(ranges), "_range")
-        .select(
-            *rows.columns,
-            (F.col("_start") + F.col("_place").bitwiseAND((1 << _PLACE_BITS) - 1)).alias("row_index"),
-            "n_rows",
-        )
-    )
-
-
 def _json_bytes(text: Column) -> Column:
     """Bytes of a string as JSON, without its quotes.
 
@@ -66,18 +21,25 @@ def _json_bytes(text: Column) -> Column:
     return F.octet_length(F.to_json(F.struct(text.alias("v")))) - len('{"v":""}')
 
 
+def varying_bytes() -> Column:
+    """What ``custom_id`` and ``prompt`` add to the bytes of a request line."""
+    return _json_bytes(F.col("custom_id")) + _json_bytes(F.col("prompt"))
+
+
 def request_sizes(
     prompts: DataFrame,
     rubrics: DataFrame,
     model: str = REQUEST_MODEL,
     max_tokens: int = REQUEST_MAX_TOKENS,
     url: str = REQUEST_URL,
+    varying: Column | None = None,
 ) -> DataFrame:
     """Lines and bytes of every demand's requests: ``demand, n_lines, n_bytes``.
 
     Exactly the bytes of the JSON lines, from one pass over the prompts.
+    ``varying`` is a column that already holds ``varying_bytes()``.
     """
-    varying = _json_bytes(F.col("custom_id")) + _json_bytes(F.col("prompt"))
+    varying = varying_bytes() if varying is None else varying
     totals = prompts.agg(F.struct(
         F.count("*").alias("n"), F.coalesce(F.sum(varying), F.lit(0)).alias("varying")
     ).alias("totals"))

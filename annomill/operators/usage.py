@@ -92,7 +92,7 @@ def merge_usage(partials: DataFrame) -> DataFrame:
         *[F.sum(name).alias(name) for name in _SUMS],
         F.max("max_completion").alias("max_completion"),
         F.min("min_completion").alias("min_completion"),
-        F.max_by("model", F.struct(*_FILE, "last_pos")).alias("model"),
+        F.max_by("model", F.struct(*_FILE, "last_pos", "model")).alias("model"),
     )
     n, total = F.col("n"), F.col("completion_tokens").cast("double")
     variance = F.greatest((F.col("completion_squares") - total * total / n) / (n - 1), F.lit(0.0))

@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import annotate, lookups, requests, reshape, splitting, tokens, usage, validation
+from ..operators import (
+    annotate, lookups, positions, requests, reshape, splitting, tokens, usage, validation,
+)
 from ..sinks.annotations import write_annotations
 from ..sinks.requests import write_requests as write_request_files
 from ..sources import jobs as job_files
@@ -111,9 +113,10 @@ def job_ledger(spark, sf_dir):
 # --- Sinks -------------------------------------------------------------------
 
 def write_requests(spark, sf_dir):
-    path = d.written(spark, sf_dir, "requests", lambda path: write_request_files(
+    path = new_scratch(spark, "requests")
+    write_request_files(
         d.prompts(spark, sf_dir), d.rubrics(spark), path, max_lines=MAX_LINES, max_bytes=None
-    ))
+    )
     schema = ("custom_id string, method string, url string, body struct<model string, "
               "messages array<struct<role string, content string>>, max_tokens int, temperature int>, "
               "demand string, part string")
@@ -124,10 +127,9 @@ def write_requests(spark, sf_dir):
 
 
 def _written_annotations(spark, sf_dir, format, split=False):
-    label = f"annotations-{format}{'-split' if split else ''}"
-    return d.written(spark, sf_dir, label, lambda path: write_annotations(
-        annotate.nan_levels(_long(spark, sf_dir)), path, format, split
-    ))
+    path = new_scratch(spark, f"annotations-{format}")
+    write_annotations(annotate.nan_levels(_long(spark, sf_dir)), path, format, split)
+    return path
 
 
 _LONG_SCHEMA = "custom_id string, demand string, level double, finish_reason string, model_response string"
@@ -439,9 +441,7 @@ def need_split(spark, sf_dir):
 
 
 def _assigned(spark, sf_dir):
-    indexed = splitting.with_row_index(
-        d.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"]
-    )
+    indexed = positions.with_row_index(d.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
     plan = splitting.split_plan(_sizes(spark, sf_dir), MAX_LINES, MAX_BYTES)
     return splitting.assign_parts(indexed, plan)
 

@@ -11,6 +11,7 @@ from ..functions.pricing import Prices
 from ..fixed_values import MODEL_PRICES
 from ..operators.annotate import annotate_long
 from ..operators.lookups import attach_prompts
+from ..operators.positions import POSITION
 from ..operators.requests import filter_demands
 from ..operators.reshape import nest_wide, pivot_wide
 from ..operators.usage import annotation_summary, batch_summary, batch_usage, general_summary
@@ -34,10 +35,8 @@ def create_requests(
     rubrics = load_rubrics(spark, rubric_folder)
     if demands is not None:
         rubrics = filter_demands(rubrics, demands)
-    write_requests(read_prompts(spark, prompt_path, prompt_format), rubrics, path, **options)
-
-
-_ORDER = ("file_path", "file_block", "file_pos")
+    prompts = read_prompts(spark, prompt_path, prompt_format, position=True)
+    write_requests(prompts, rubrics, path, **options)
 
 
 @dataclass(frozen=True)
@@ -55,7 +54,7 @@ class AnnotationRun:
         return annotations
 
     def _ordered(self) -> DataFrame:
-        return annotate_long(self.outputs, keep=_ORDER, **dict(self.options))
+        return annotate_long(self.outputs, keep=POSITION, **dict(self.options))
 
     def wide(self, demands: Sequence[str] | None = None, order_by: Column | None = None) -> DataFrame:
         order = line_order() if order_by is None else order_by

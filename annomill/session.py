@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -45,3 +45,15 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used yet."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """Computes a frame once: writes it to the shared folder and reads it back.
+
+    Later steps start from the files, so a lost executor costs no recomputation
+    and Spark knows the table's real size when it plans joins with it.
+    """
+    spark = frame.sparkSession
+    path = new_scratch(spark, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

@@ -10,7 +10,9 @@ from ..fixed_values import (
 )
 from ..operators.requests import build_requests, request_columns, request_halves
 from ..operators.sizes import fits_in_memory
-from ..operators.splitting import assign_parts, request_sizes, split_plan, with_row_index
+from ..operators.positions import POSITION, with_file_index, with_row_index
+from ..operators.splitting import assign_parts, request_sizes, split_plan, varying_bytes
+from ..session import stored
 
 
 def write_requests(
@@ -22,7 +24,7 @@ def write_requests(
     url: str = REQUEST_URL,
     max_lines: int | None = MAX_PART_LINES,
     max_bytes: int | None = MAX_PART_BYTES,
-    order_by: tuple[str, ...] = ("custom_id",),
+    order_by: tuple[str, ...] | None = None,
 ) -> None:
     """JSON lines below ``path/demand=<demand>/part=<part>/``.
 
@@ -31,6 +33,9 @@ def write_requests(
     that writes their part; the long text is put around them only there.
     Since a part is bounded, so is a task.  Without any limit there is one
     part per demand, written by many tasks as many files, and no shuffle.
+
+    Requests keep the order of the prompt files if the prompts were read with
+    their position; otherwise they are ordered by ``order_by`` or the id.
     """
     if max_lines is None and max_bytes is None:
         requests = build_requests(prompts, rubrics, model, max_tokens, url)
@@ -38,9 +43,20 @@ def write_requests(
             "demand", "part"
         ).json(path)
         return
-    indexed = with_row_index(prompts.select("custom_id", "prompt"), list(order_by))
-    sizes = request_sizes(indexed, rubrics, model, max_tokens, url)
-    plan = split_plan(sizes, max_lines, max_bytes)
+    if order_by is None and all(name in prompts.columns for name in POSITION):
+        numbered = with_file_index(prompts.select(
+            "custom_id", "prompt", varying_bytes().alias("varying"), *POSITION
+        ))
+    else:
+        keys = list(order_by or ("custom_id",))
+        extra = [key for key in keys if key not in ("custom_id", "prompt")]
+        numbered = with_row_index(prompts.select(
+            "custom_id", "prompt", varying_bytes().alias("varying"), *extra
+        ), keys)
+    indexed = numbered.select("custom_id", "prompt", "varying", "row_index", "n_rows")
+    sizes = request_sizes(indexed, rubrics, model, max_tokens, url, F.col("varying"))
+    plan = stored(split_plan(sizes, max_lines, max_bytes), "split-plan")
+    indexed = indexed.drop("varying")
     halves = request_halves(rubrics)
     late = fits_in_memory(halves)
     if late:

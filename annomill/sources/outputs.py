@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.paths import demand_of_path, part_of_path
+from ..operators.positions import POSITION, position_columns
 
 
 def flatten_outputs(raw: DataFrame, position: bool = True) -> DataFrame:
@@ -15,7 +16,7 @@ def flatten_outputs(raw: DataFrame, position: bool = True) -> DataFrame:
     ``file_path, file_block, file_pos`` order the lines of all files as a
     reader going through the files by name would meet them: a split's rows are
     numbered in order, and splits of a file are ordered by where they start.
-    Streams cannot number rows; there ``file_pos`` is 0.
+    Streams cannot number rows, so there ``file_pos`` is left out.
     """
     choice = F.try_element_at(F.col("response.body.choices"), F.lit(1))
     path = F.col("_metadata.file_path")
@@ -30,15 +31,13 @@ def flatten_outputs(raw: DataFrame, position: bool = True) -> DataFrame:
         F.col("response.body.usage.prompt_tokens").alias("prompt_tokens"),
         F.col("response.body.usage.completion_tokens").alias("completion_tokens"),
         F.col("_corrupt_record").alias("corrupt_record"),
-        path.alias("file_path"),
-        F.col("_metadata.file_block_start").alias("file_block"),
-        (F.monotonically_increasing_id() if position else F.lit(0).cast("bigint")).alias("file_pos"),
+        *(position_columns() if position else position_columns()[:2]),
     )
 
 
 def line_order():
     """Orders output rows as their files are read; later lines are greater."""
-    return F.struct("file_path", "file_block", "file_pos")
+    return F.struct(*POSITION)
 
 
 def read_outputs(

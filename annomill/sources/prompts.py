@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..operators.positions import position_columns
 
 _CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
 
@@ -17,11 +18,15 @@ def _require(frame: DataFrame, columns: list[str], place: str) -> None:
         raise KeyError(f"no column {', '.join(missing)} in {place}")
 
 
-def _apply_mode(frame: DataFrame, columns: list[str], mode: str, broken=None) -> DataFrame:
+def _apply_mode(
+    frame: DataFrame, columns: list[str], mode: str, position: bool, broken=None
+) -> DataFrame:
     """``strict`` fails the job on the first bad row, ``quarantine`` drops bad
     rows (``validate_prompts`` lists them)."""
     if mode not in ("strict", "quarantine"):
         raise ValueError("mode must be 'strict' or 'quarantine'")
+    if position and mode != "strict":
+        raise ValueError("positions are those of complete files: use mode 'strict'")
     bad = F.lit(False) if broken is None else broken
     for name in columns:
         bad = bad | F.col(name).isNull()
@@ -32,41 +37,41 @@ def _apply_mode(frame: DataFrame, columns: list[str], mode: str, broken=None) ->
         F.lit(", custom_id "), F.coalesce(F.col("custom_id"), F.lit("(none)"))
         if "custom_id" in columns else F.lit("(not read)"),
     ))
-    return frame.select(*[F.when(bad, complaint).otherwise(F.col(name)).alias(name)
-                          for name in columns])
+    checked = [F.when(bad, complaint).otherwise(F.col(name)).alias(name) for name in columns]
+    return frame.select(*checked, *(position_columns() if position else []))
 
 
-def _read_jsonl(spark, path, columns, mode):
+def _read_jsonl(spark, path, columns, mode, position):
     schema = T.StructType([f for f in schemas.PROMPT if f.name in columns]
                           + [T.StructField("_corrupt_record", T.StringType())])
     raw = spark.read.schema(schema).json(path)
-    return _apply_mode(raw, columns, mode, F.col("_corrupt_record").isNotNull())
+    return _apply_mode(raw, columns, mode, position, F.col("_corrupt_record").isNotNull())
 
 
-def _read_csv(spark, path, columns, mode, multiline):
+def _read_csv(spark, path, columns, mode, position, multiline):
     # Without inference every CSV column is a string and is matched by name.
     options = {**_CSV_OPTIONS, "multiLine": multiline}
     raw = spark.read.options(**options).csv(path)
     _require(raw, columns, path if isinstance(path, str) else ", ".join(path))
-    return _apply_mode(raw, columns, mode)
+    return _apply_mode(raw, columns, mode, position)
 
 
-def _read_parquet(spark, path, columns, mode):
+def _read_parquet(spark, path, columns, mode, position):
     paths = [path] if isinstance(path, str) else path
     raw = spark.read.parquet(*paths)
     _require(raw, columns, ", ".join(paths))
     for name in columns:
         raw = raw.withColumn(name, F.col(name).cast("string"))
-    return _apply_mode(raw, columns, mode)
+    return _apply_mode(raw, columns, mode, position)
 
 
-def _read(spark, path, columns, format, mode, multiline):
+def _read(spark, path, columns, format, mode, multiline, position=False):
     if format == "jsonl":
-        return _read_jsonl(spark, path, columns, mode)
+        return _read_jsonl(spark, path, columns, mode, position)
     if format == "csv":
-        return _read_csv(spark, path, columns, mode, multiline)
+        return _read_csv(spark, path, columns, mode, position, multiline)
     if format == "parquet":
-        return _read_parquet(spark, path, columns, mode)
+        return _read_parquet(spark, path, columns, mode, position)
     raise ValueError("format must be 'jsonl', 'csv' or 'parquet'")
 
 
@@ -76,13 +81,16 @@ def read_prompts(
     format: str = "jsonl",
     mode: str = "strict",
     multiline: bool = True,
+    position: bool = False,
 ) -> DataFrame:
     """The two prompt columns; any others are never read.
 
+    ``position`` adds the columns that say where in the files a row is.
+
     CSV prompts may hold line breaks, which keeps Spark from splitting a CSV
     file.  For huge CSV files without line breaks pass ``multiline=False``.
     """
-    return _read(spark, path, ["custom_id", "prompt"], format, mode, multiline)
+    return _read(spark, path, ["custom_id", "prompt"], format, mode, multiline, position)
 
 
 def prompts_only(

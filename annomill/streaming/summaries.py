@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.usage import merge_usage, usage_partials
@@ -17,7 +18,8 @@ def stream_usage(
     a repeated micro-batch overwrites its folder, and there is no state.
     """
     def save(landed: DataFrame, epoch: int) -> None:
-        usage_partials(landed).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+        numbered = landed.withColumn("file_pos", F.monotonically_increasing_id())
+        usage_partials(numbered).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
 
     return (
         outputs.writeStream.option("checkpointLocation", checkpoint)
