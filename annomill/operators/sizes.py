@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 IN_MEMORY_BYTES = 16 * 1024 * 1024
 
 # A join key with more rows than this may be cut into slices.
-SLICE_ROWS = 1_000_000
+SLICE_ROWS = 200_000
 
 # At most this many keys can be hot: each holds more than 1/MAX_HOT_KEYS of
 # all rows.

@@ -6,7 +6,7 @@ constant per rubric, so no request is rendered to learn how big it is.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import REQUEST_MAX_TOKENS, REQUEST_MODEL, REQUEST_URL
@@ -89,6 +89,19 @@ def split_plan(sizes: DataFrame, max_lines: int | None, max_bytes: int | None) -
     return checked.withColumn("num_parts", F.greatest(parts, F.lit(1)).cast("bigint"))
 
 
+def parts_of(plan: DataFrame) -> Column:
+    """Parts a demand really gets: one unless it needs a split."""
+    return F.when(plan["need_split"], plan["num_parts"]).otherwise(1)
+
+
+def number_parts(plan: DataFrame) -> DataFrame:
+    """Adds ``first_part``: parts of the demands before this one.  The plan has
+    one row per rubric, so a running sum over it is short."""
+    earlier = Window.partitionBy().orderBy("demand").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(parts_of(plan)).over(earlier), F.lit(0))
+    return plan.withColumn("first_part", before.cast("bigint"))
+
+
 def _deal(index: Column, n: Column, parts: Column) -> tuple[Column, Column, Column]:
     """Part number (1-based), row within the part and rows of the part, when
     ``n`` rows are dealt in order and the first ``n % parts`` parts get one more."""
@@ -112,10 +125,7 @@ def assign_parts(indexed: DataFrame, plan: DataFrame, carry: tuple[str, ...] = (
     ``carry`` columns to those of ``indexed``.  A demand that needs no split
     is one part named after it.  Parts without rows do not appear.
     """
-    dimension = plan.select(
-        "demand", F.when(F.col("need_split"), F.col("num_parts")).otherwise(1).alias("_parts"),
-        "need_split", *carry,
-    )
+    dimension = plan.select("demand", parts_of(plan).alias("_parts"), "need_split", *carry)
     pairs = pair_with(indexed, dimension)
     number, row, size = _deal(F.col("row_index"), F.col("n_rows"), F.col("_parts"))
     name = F.when(F.col("need_split"), F.concat("demand", F.lit("_part"), number.cast("string")))

@@ -16,7 +16,6 @@ from ..operators.requests import filter_demands
 from ..operators.reshape import nest_wide, pivot_wide
 from ..operators.usage import annotation_summary, batch_summary, batch_usage, general_summary
 from ..sinks.requests import write_requests
-from ..sources.jobs import read_batch_metadata
 from ..sources.outputs import line_order, read_outputs
 from ..sources.prompts import read_prompts
 from ..sources.rubrics import load_rubrics
@@ -92,7 +91,3 @@ def collect_run(
     ``prompts`` needs one row per id (see ``prompt_map``).
     """
     return AnnotationRun(read_outputs(spark, base, file_glob), prompts, tuple(options.items()))
-
-
-def run_metadata(spark: SparkSession, base: str) -> DataFrame:
-    return read_batch_metadata(spark, base)

@@ -11,9 +11,14 @@ from ..fixed_values import (
 from ..operators.requests import build_requests, request_columns, request_halves
 from ..operators.sizes import fits_in_memory
 from ..operators.positions import POSITION, with_file_index, with_row_index
-from ..operators.splitting import assign_parts, request_sizes, split_plan, varying_bytes
+from ..operators.splitting import (
+    assign_parts, number_parts, parts_of, request_sizes, split_plan, varying_bytes,
+)
 from ..session import stored
 
+# With more parts than this, a task writes several, one after the other.
+MAX_WRITE_TASKS = 50_000
+
 
 def write_requests(
     prompts: DataFrame,
@@ -31,7 +36,7 @@ def write_requests(
     With a limit, every part is one file with its requests in order: prompts
     are numbered once, dealt to parts as narrow rows, and moved to the task
     that writes their part; the long text is put around them only there.
-    Since a part is bounded, so is a task.  Without any limit there is one
+    There is a task for each part, and since a part is bounded, so is a task.  Without any limit there is one
     part per demand, written by many tasks as many files, and no shuffle.
 
     Requests keep the order of the prompt files if the prompts were read with
@@ -55,19 +60,22 @@ def write_requests(
         ), keys)
     indexed = numbered.select("custom_id", "prompt", "varying", "row_index", "n_rows")
     sizes = request_sizes(indexed, rubrics, model, max_tokens, url, F.col("varying"))
-    plan = stored(split_plan(sizes, max_lines, max_bytes), "split-plan")
+    plan = stored(number_parts(split_plan(sizes, max_lines, max_bytes)), "split-plan")
+    files = plan.agg(F.sum(parts_of(plan)).alias("files")).first()["files"]
     indexed = indexed.drop("varying")
     halves = request_halves(rubrics)
     late = fits_in_memory(halves)
     if late:
-        assigned = assign_parts(indexed, plan)
+        assigned = assign_parts(indexed, plan, ("first_part",))
     else:
         # Too many rubrics to hold their texts in every task.
-        assigned = assign_parts(indexed, plan.join(halves, "demand"), ("prefix", "suffix"))
-    keys = ("demand", "part", "part_row")
+        assigned = assign_parts(indexed, plan.join(halves, "demand"), ("first_part", "prefix", "suffix"))
+    task = F.pmod(F.col("first_part") + F.col("part_no") - 1, F.lit(MAX_WRITE_TASKS)).cast("int")
     placed = (
-        assigned.drop("row_index", "n_rows", "part_no", "part_rows")
-        .repartition("demand", "part").sortWithinPartitions(*keys)
+        assigned.withColumn("_task", task)
+        .drop("row_index", "n_rows", "part_no", "part_rows", "first_part")
+        .repartitionById(max(1, min(files or 0, MAX_WRITE_TASKS)), "_task")
+        .sortWithinPartitions("demand", "part", "part_row")
     )
     if late:
         # A lookup in a constant, unlike a join, is sure to keep the rows' order.
