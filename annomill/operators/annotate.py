@@ -40,7 +40,7 @@ def good_rows(outputs: DataFrame, on_bad_row: str = "quarantine") -> DataFrame:
         return good
     if on_bad_row == "drop_file":
         broken = bad_rows(outputs).select("file_path").distinct()
-        return sliced_join(good, broken, "file_path", "left_anti")
+        return sliced_join(good, broken, "file_path", "left_anti", keys=outputs)
     raise ValueError("on_bad_row must be 'quarantine' or 'drop_file'")
 
 

@@ -19,19 +19,21 @@ def attach_prompts(
     order_by: Column | None = None,
     slice_rows: int = SLICE_ROWS,
     unique_ids: bool = False,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``prompt`` by ``custom_id``; an unknown id gets ``""``.
 
     ``order_by`` decides between several prompts of one id (the greatest
     counts); without it ``prompts`` must have one row per id.  Say
     ``unique_ids`` if the annotations have one row per id, as the wide forms
-    do: then no key can be hot and none is looked for.
+    do: then no key can be hot and none is looked for.  ``keys`` may name a
+    cheaper frame to count ids in, such as the outputs before any filter.
     """
     source = prompts.select("custom_id", "prompt") if order_by is None else prompt_map(prompts, order_by)
     if unique_ids:
         joined = annotations.join(source, "custom_id", "left")
     else:
-        joined = sliced_join(annotations, source, "custom_id", "left", slice_rows)
+        joined = sliced_join(annotations, source, "custom_id", "left", slice_rows, keys)
     return joined.select(*annotations.columns, F.coalesce("prompt", F.lit("")).alias("prompt"))
 
 

@@ -24,24 +24,32 @@ def filter_demands(rubrics: DataFrame, acronyms: str | Sequence[str]) -> DataFra
     return found
 
 
-def filter_demands_prefix(rows: DataFrame, names: Sequence[str], part: str = "part") -> DataFrame:
-    """Rows of the parts whose name starts with one of ``names``.
+def _named(part: str, name: str, anywhere: bool) -> Column:
+    return F.col(part).contains(name) if anywhere else F.col(part).startswith(name)
+
+
+def filter_demands_prefix(
+    rows: DataFrame, names: Sequence[str], part: str = "part", anywhere: bool = False
+) -> DataFrame:
+    """Rows of the parts whose name starts with (or contains) one of ``names``.
 
     Plain string predicates, so on partitioned tables only matching folders
     are listed and read.
     """
     matched = F.lit(False)
     for name in names:
-        matched = matched | F.col(part).startswith(name)
+        matched = matched | _named(part, name, anywhere)
     return rows.filter(matched)
 
 
-def unmatched_prefixes(rows: DataFrame, names: Sequence[str], part: str = "part") -> DataFrame:
-    """Those of ``names`` that no part starts with: one row per name."""
+def unmatched_prefixes(
+    rows: DataFrame, names: Sequence[str], part: str = "part", anywhere: bool = False
+) -> DataFrame:
+    """Those of ``names`` that match no part: one row per name."""
     if not names:
         raise ValueError("no names given")
     hits = rows.agg(*[
-        F.coalesce(F.bool_or(F.col(part).startswith(name)), F.lit(False)).alias(f"_{i}")
+        F.coalesce(F.bool_or(_named(part, name, anywhere)), F.lit(False)).alias(f"_{i}")
         for i, name in enumerate(names)
     ])
     pairs = F.array(*[

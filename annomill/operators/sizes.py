@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .positions import POSITION
+
 # A dimension is held in every task only if it measures at most this much.
 IN_MEMORY_BYTES = 16 * 1024 * 1024
 
@@ -46,19 +48,26 @@ def sliced_join(
     key: str,
     how: str = "inner",
     slice_rows: int = SLICE_ROWS,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on one key whose rows on the left may be very unevenly spread.
 
     Rows of a hot key are dealt over slices by their place in the input; the
     right side repeats that key's rows once per slice.  Other keys have one
-    slice.  The result is that of the plain join.  ``left`` should be a scan
-    or a table, not the result of a shuffle, so that places do not change when
-    a lost task runs again.
+    slice.  The result is that of the plain join.
+
+    The place must not change when a lost task runs again.  It is taken from
+    the ``POSITION`` columns if ``left`` has them; else ``left`` should be a
+    scan or a table, not the result of a shuffle.  ``keys`` are the rows whose
+    keys are counted, if there is a cheaper frame than ``left`` that has at
+    least the same.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot slice a {how} join")
-    hot = F.broadcast(hot_slices(left.select(key), key, slice_rows))
-    place = F.monotonically_increasing_id()
+    counted = left if keys is None else keys
+    hot = F.broadcast(hot_slices(counted.select(key), key, slice_rows))
+    placed = all(name in left.columns for name in POSITION)
+    place = F.xxhash64(*POSITION) if placed else F.monotonically_increasing_id()
     slices = F.when(F.col(key).isNull(), NULL_SLICES).otherwise(F.coalesce("slices", F.lit(1)))
     dealt = (
         left.withColumn("_place", place)

@@ -202,9 +202,14 @@ def rubric_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def written(spark: SparkSession, sf_dir: str, label: str, write) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not _exists(spark, _WRITTEN[key]):
         path = new_scratch(spark, label)
         write(path)
         _WRITTEN[key] = path

@@ -47,10 +47,9 @@ class AnnotationRun:
     options: tuple = ()
 
     def long(self) -> DataFrame:
-        annotations = annotate_long(self.outputs, **dict(self.options))
-        if self.prompts is not None:
-            annotations = attach_prompts(annotations, self.prompts)
-        return annotations
+        if self.prompts is None:
+            return annotate_long(self.outputs, **dict(self.options))
+        return attach_prompts(self._ordered(), self.prompts, keys=self.outputs).drop(*POSITION)
 
     def _ordered(self) -> DataFrame:
         return annotate_long(self.outputs, keep=POSITION, **dict(self.options))

@@ -28,6 +28,12 @@ def test_sliced_join_is_the_plain_join(skewed, names, how, as_rows):
     assert as_rows(sliced, *columns) == as_rows(skewed.join(names, "k", how), *columns)
 
 
+def test_places_may_come_with_the_rows(skewed, names, as_rows):
+    placed = skewed.select("*", F.lit("f").alias("file_path"), F.lit(0).alias("file_block"), F.col("id").alias("file_pos"))
+    sliced = sliced_join(placed.repartition(4), names, "k", "left", slice_rows=100, keys=skewed)
+    assert as_rows(sliced, "id", "k", "name") == as_rows(skewed.join(names, "k", "left"), "id", "k", "name")
+
+
 def test_hot_keys(skewed, as_rows):
     assert as_rows(hot_slices(skewed, "k", 100)) == [("hot", 10)]
     assert hot_slices(skewed, "k", 10_000).count() == 0

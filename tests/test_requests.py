@@ -152,6 +152,28 @@ def test_file_index_is_the_order_of_the_lines(spark, tmp_path):
     assert [r["row_index"] for r in rows] == list(range(2100)) and rows[0]["n_rows"] == 2100
 
 
+def test_file_index_over_row_groups(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for name, count in (("a", 5000), ("b", 10), ("c", 3000)):
+        table = pa.table({"custom_id": [f"{name}{i}" for i in range(count)], "prompt": ["x" * (i % 50) for i in range(count)]})
+        pq.write_table(table, tmp_path / f"{name}.parquet", row_group_size=200, compression="none")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        prompts = read_prompts(spark, str(tmp_path), "parquet", position=True)
+        assert prompts.select("file_path", "file_block").distinct().count() > 5
+        rows = with_file_index(prompts).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows.sort(key=lambda r: r["row_index"])
+    assert [r["custom_id"] for r in rows] == [f"{n}{i}" for n, c in (("a", 5000), ("b", 10), ("c", 3000)) for i in range(c)]
+    assert [r["row_index"] for r in rows] == list(range(8010))
+
+
 def read_parts(folder):
     """Lines of every part; a part must be one file."""
     parts = {}

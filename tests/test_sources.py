@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from annomill.operators.annotate import annotate_long, bad_rows, good_rows, nan_levels
 from annomill.operators.lookups import unknown_demands
-from annomill.operators.requests import filter_demands, unmatched_prefixes
+from annomill.operators.requests import filter_demands, filter_demands_prefix, unmatched_prefixes
 from annomill.operators.validation import prompts_ok, validate_prompts
 from annomill.plans.derived import rubric_text
 from annomill.plans.runs import collect_run
@@ -240,6 +240,9 @@ def test_ledger(spark, tmp_path, as_rows):
 def test_prefixes_that_match_nothing(spark, run_folder):
     outputs = read_outputs(spark, str(run_folder))
     assert [row["name"] for row in unmatched_prefixes(outputs, ["A", "AB_part", "AA_part2"]).collect()] == ["AB_part"]
+    assert [row["name"] for row in unmatched_prefixes(outputs, ["part2", "C"], anywhere=True).collect()] == ["C"]
+    assert filter_demands_prefix(outputs, ["AA"]).count() == 6
+    assert filter_demands_prefix(outputs, ["part2", "AB"], anywhere=True).count() == 7
 
 
 def test_union(spark, run_folder):
