@@ -16,8 +16,8 @@ from ..operators.splitting import (
 )
 from ..session import stored
 
-# With more parts than this, a task writes several, one after the other.
-MAX_WRITE_TASKS = 50_000
+# A task writes whole parts, one after the other, up to about this many bytes.
+TASK_BYTES = 256 * 1024 * 1024
 
 
 def write_requests(
@@ -36,7 +36,7 @@ def write_requests(
     With a limit, every part is one file with its requests in order: prompts
     are numbered once, dealt to parts as narrow rows, and moved to the task
     that writes their part; the long text is put around them only there.
-    There is a task for each part, and since a part is bounded, so is a task.  Without any limit there is one
+    A task writes one part or several small ones, so it is bounded as parts are.  Without any limit there is one
     part per demand, written by many tasks as many files, and no shuffle.
 
     Requests keep the order of the prompt files if the prompts were read with
@@ -61,7 +61,10 @@ def write_requests(
     indexed = numbered.select("custom_id", "prompt", "varying", "row_index", "n_rows")
     sizes = request_sizes(indexed, rubrics, model, max_tokens, url, F.col("varying"))
     plan = stored(number_parts(split_plan(sizes, max_lines, max_bytes)), "split-plan")
-    files = plan.agg(F.sum(parts_of(plan)).alias("files")).first()["files"]
+    total = plan.agg(F.sum(parts_of(plan)).alias("parts"), F.sum("n_bytes").alias("bytes")).first()
+    parts = max(total["parts"] or 0, 1)
+    cores = prompts.sparkSession.sparkContext.defaultParallelism
+    tasks = min(parts, max(2 * cores, -(-(total["bytes"] or 0) // TASK_BYTES)))
     indexed = indexed.drop("varying")
     halves = request_halves(rubrics)
     late = fits_in_memory(halves)
@@ -70,11 +73,12 @@ def write_requests(
     else:
         # Too many rubrics to hold their texts in every task.
         assigned = assign_parts(indexed, plan.join(halves, "demand"), ("first_part", "prefix", "suffix"))
-    task = F.pmod(F.col("first_part") + F.col("part_no") - 1, F.lit(MAX_WRITE_TASKS)).cast("int")
+    number = F.col("first_part") + F.col("part_no") - 1
+    task = F.floor(number * tasks / parts).cast("int")
     placed = (
         assigned.withColumn("_task", task)
         .drop("row_index", "n_rows", "part_no", "part_rows", "first_part")
-        .repartitionById(max(1, min(files or 0, MAX_WRITE_TASKS)), "_task")
+        .repartitionById(tasks, "_task")
         .sortWithinPartitions("demand", "part", "part_row")
     )
     if late:
