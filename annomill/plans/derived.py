@@ -248,3 +248,26 @@ def landed(spark: SparkSession, sf_dir: str) -> str:
         output_lines(outputs(spark, sf_dir)).write.partitionBy("part").json(f"{path}/outputs")
 
     return written(spark, sf_dir, "landed", write)
+
+
+def landed_broken(spark: SparkSession, sf_dir: str) -> str:
+    """Outputs with bad lines in the parts of one demand: refused answers are
+    cut short, and answers that ran out of length claim to have stopped but
+    have no text.  One file per part."""
+    def write(path):
+        rows = outputs(spark, sf_dir)
+        here = F.col("demand") == "AB"
+        lost = here & (F.col("finish_reason") == "length")
+        cut = here & (F.col("finish_reason") == "content_filter")
+        rows = rows.withColumn("content", F.when(~lost, F.col("content"))).withColumn(
+            "finish_reason", F.when(lost, "stop").otherwise(F.col("finish_reason"))
+        )
+        line = F.to_json(F.struct("custom_id", "response"))
+        lines = output_lines(rows.withColumn("part", F.struct("part", cut.alias("cut")))).select(
+            F.when(F.col("part.cut"), F.substring_index(line, '"usage"', 1)).otherwise(line).alias("value"),
+            F.col("part.part").alias("part"),
+        )
+        # The text writer names its files .txt; the reader is told which to take.
+        lines.repartition("part").write.partitionBy("part").option("compression", "none").text(path)
+
+    return written(spark, sf_dir, "landed-broken", write)

@@ -308,6 +308,11 @@ _NESTED = ", ".join(
     for a in d.ACRONYMS
 )
 
+_LAST = """last AS (
+  SELECT source AS custom_id, demand, level, finish_reason, content
+  FROM (SELECT l.*, t.source, row_number() OVER (PARTITION BY t.source, l.demand ORDER BY l.doc_id DESC) AS age
+    FROM levels l JOIN documents t ON t.doc_id = l.doc_id) WHERE age = 1)"""
+
 ORACLES = {
     "read_prompts_jsonl": _PROMPTS,
     "read_prompts_csv": _PROMPTS,
@@ -355,7 +360,25 @@ ORACLES = {
     "demand_of_path": _over_outputs(
         "SELECT demand, part, CAST(count(*) AS BIGINT) AS rows FROM outputs GROUP BY demand, part"),
     "extract_level": _over_outputs("SELECT custom_id, demand, extracted AS level FROM levels", _LEVELS),
+    "extract_level_guarded": """SELECT doc_id, CASE
+            WHEN len(numbers) = 1 THEN NULL
+            WHEN TRY_CAST(list_extract(numbers, -1) AS DOUBLE) BETWEEN 0 AND 5
+              THEN TRY_CAST(list_extract(numbers, -1) AS DOUBLE) END AS level
+          FROM (SELECT doc_id, regexp_extract_all(CAST(doc_id % 8 AS VARCHAR) || '. ' || text, '[0-9]+') AS numbers
+            FROM documents)""",
     "annotate_long": _FROM_LONG,
+    "bad_rows": _over_outputs(
+        """SELECT demand, part, CASE WHEN finish_reason = 'length' THEN custom_id END AS custom_id,
+            CASE WHEN finish_reason = 'length' THEN 'stop' END AS finish_reason,
+            CASE WHEN finish_reason <> 'length' THEN CAST(strlen(string_split(CAST(to_json({custom_id: custom_id,
+              response: {body: {model: model, choices: [{finish_reason: finish_reason, message: {content: content}}],
+              usage: 0}}}) AS VARCHAR), '"usage"')[1]) AS INTEGER) END AS corrupt_bytes
+          FROM outputs WHERE demand = 'AB' AND finish_reason <> 'stop'"""),
+    "annotate_long_broken": _over_outputs(
+        "SELECT custom_id, demand, level FROM levels WHERE demand <> 'AB' OR finish_reason = 'stop'", _LEVELS),
+    "annotate_long_drop_file": _over_outputs(
+        """SELECT custom_id, demand, level FROM levels WHERE part NOT IN
+            (SELECT part FROM outputs WHERE demand = 'AB' AND finish_reason <> 'stop')""", _LEVELS),
     "finish_bucket": _over_outputs(
         """SELECT custom_id, demand, finish_reason,
             CASE WHEN finish_reason IN ('stop', 'length') THEN finish_reason ELSE 'other' END AS finish_bucket
@@ -373,6 +396,8 @@ ORACLES = {
           FROM documents CROSS JOIN rubrics WHERE acronym IN ('AA', 'CE')"""),
     "filter_demands_prefix": _over_outputs(
         "SELECT custom_id, part FROM outputs WHERE " + " OR ".join(map(_prefix_test, PREFIXES))),
+    "filter_demands_substring": _over_outputs(
+        "SELECT custom_id, part FROM outputs WHERE contains(part, 'B_part1') OR contains(part, 'CE')"),
     "unmatched_prefixes": _over_outputs(
         f"""SELECT name FROM (VALUES {_values([(name,) for name in PREFIXES])}) AS names(name)
           WHERE NOT EXISTS (SELECT 1 FROM outputs WHERE starts_with(part, name))"""),
@@ -383,6 +408,8 @@ ORACLES = {
         """SELECT l.custom_id, l.demand, l.level, coalesce(p.prompt, '') AS prompt
           FROM levels l LEFT JOIN latest p ON p.custom_id = l.custom_id""",
         _LEVELS, f"latest AS ({_LATEST_TURN})"),
+    "attach_prompts_hot": f"""SELECT d.doc_id, d.lang AS custom_id, {_digest('p.text', 'prompt')}
+        FROM documents d JOIN (SELECT lang, arg_max(text, doc_id) AS text FROM documents GROUP BY lang) p ON p.lang = d.lang""",
     "prompt_map": _LATEST_TURN,
     "price_lookup": _with(
         _PRICES,
@@ -395,6 +422,10 @@ ORACLES = {
     "completed_jobs": _with(
         _JOBS, _LEDGER,
         select="SELECT * FROM ledger WHERE batch_id IN (SELECT id FROM jobs WHERE status = 'completed')"),
+    "completed_jobs_by_output": _over_outputs(
+        "SELECT DISTINCT demand, part, 'batch_' || part AS batch_id FROM outputs WHERE demand <> 'CE'"),
+    "unknown_demands": """SELECT name FROM (VALUES ('src1'), ('src99'), ('AA')) AS names(name)
+        WHERE name NOT IN (SELECT source FROM documents)""",
     "missing_outputs": _over_outputs(
         "SELECT custom_id, demand FROM outputs WHERE finish_reason = 'content_filter'"),
     "missing_output_parts": _with(
@@ -409,6 +440,9 @@ ORACLES = {
     "batch_usage": _over_outputs(
         """SELECT part, model, n, prompt_tokens, completion_tokens, avg_completion,
             round(std_completion, 6) AS std_completion, max_completion, min_completion FROM usage""", _USAGE),
+    "batch_usage_files": _over_outputs(
+        """SELECT part, model, n, prompt_tokens, completion_tokens, avg_completion,
+            round(std_completion, 6) AS std_completion, max_completion, min_completion FROM usage""", _USAGE),
     "finish_reason_counts": _over_outputs(
         "SELECT part, stop, length, other, n AS total FROM usage", _USAGE),
     "batch_cost": _over_outputs(
@@ -460,6 +494,9 @@ ORACLES = {
     "pivot_wide": _over_outputs(f"SELECT custom_id, {_WIDE} FROM levels GROUP BY custom_id", _LEVELS),
     "nest_wide": _over_outputs(
         f"SELECT custom_id, CAST(count(*) AS INTEGER) AS demands, {_NESTED} FROM levels GROUP BY custom_id", _LEVELS),
+    "pivot_wide_last": _over_outputs(f"SELECT custom_id, {_WIDE} FROM last GROUP BY custom_id", _LEVELS, _LAST),
+    "nest_wide_last": _over_outputs(
+        f"SELECT custom_id, demand, level, finish_reason, {_digest('content', 'response')} FROM last", _LEVELS, _LAST),
     "stream_status": f"""SELECT 'batch_' || CAST(user_id AS VARCHAR) AS batch_id,
           arg_max({_STATUS}, (ts, event_id)) AS status, arg_max(event_id, (ts, event_id)) AS event_id
         FROM events GROUP BY user_id""",

@@ -195,12 +195,38 @@ def extract_level(spark, sf_dir):
     return rows.select("custom_id", "demand", annotate.extract_level(F.col("content")).alias("level"))
 
 
+def extract_level_guarded(spark, sf_dir):
+    """A document's last paragraph is its only one, so some begin with their only number."""
+    text = F.concat((F.col("doc_id") % 8).cast("string"), F.lit(". "), "text")
+    rows = d.table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return rows.select(
+        "doc_id", annotate.extract_level(F.col("text"), guard_section_number=True).alias("level")
+    )
+
+
 def annotate_long(spark, sf_dir):
     return _long(spark, sf_dir).select(
         "custom_id", "demand", "level", "finish_reason", *_digest("model_response", "response")
     )
 
 
+def bad_rows(spark, sf_dir):
+    """The quarantine of files in which some lines are cut short or have no text."""
+    rows = annotate.bad_rows(output_files.read_outputs(spark, d.landed_broken(spark, sf_dir), "*.txt"))
+    return rows.select("demand", "part", "custom_id", "finish_reason",
+                       F.octet_length("corrupt_record").alias("corrupt_bytes"))
+
+
+def annotate_long_broken(spark, sf_dir):
+    rows = output_files.read_outputs(spark, d.landed_broken(spark, sf_dir), "*.txt")
+    return annotate.annotate_long(rows, only_levels=True)
+
+
+def annotate_long_drop_file(spark, sf_dir):
+    rows = output_files.read_outputs(spark, d.landed_broken(spark, sf_dir), "*.txt")
+    return annotate.annotate_long(rows, only_levels=True, on_bad_row="drop_file")
+
+
 def finish_bucket(spark, sf_dir):
     rows = annotate.with_finish_bucket(d.outputs(spark, sf_dir))
     return rows.select("custom_id", "demand", "finish_reason", "finish_bucket")
@@ -236,6 +262,11 @@ def filter_demands_prefix(spark, sf_dir):
     return rows.select("custom_id", "part")
 
 
+def filter_demands_substring(spark, sf_dir):
+    rows = requests.filter_demands_prefix(d.outputs(spark, sf_dir), ["B_part1", "CE"], anywhere=True)
+    return rows.select("custom_id", "part")
+
+
 def unmatched_prefixes(spark, sf_dir):
     return requests.unmatched_prefixes(d.outputs(spark, sf_dir), PREFIXES)
 
@@ -262,6 +293,16 @@ def attach_prompts(spark, sf_dir):
     return lookups.attach_prompts(rows, _conversation_prompts(spark, sf_dir), F.col("turn"))
 
 
+def attach_prompts_hot(spark, sf_dir):
+    """Annotations by language, of which one holds most: its rows go to many slices."""
+    prompts = d.table(spark, sf_dir, "documents").select(
+        F.col("lang").alias("custom_id"), F.col("text").alias("prompt"), "doc_id"
+    )
+    languages = d.table(spark, sf_dir, "documents").select(F.col("lang").alias("custom_id"), "doc_id")
+    joined = lookups.attach_prompts(languages, prompts, F.col("doc_id"), slice_rows=100)
+    return joined.select("doc_id", "custom_id", *_digest("prompt", "prompt"))
+
+
 def price_lookup(spark, sf_dir):
     names = F.array(*[F.lit(name) for name in d.MODEL_NAMES])
     model = F.element_at(names, (F.col("doc_id") % len(d.MODEL_NAMES) + 1).cast("int"))
@@ -280,6 +321,13 @@ def completed_jobs(spark, sf_dir):
     return lookups.completed_jobs(d.ledger(spark, sf_dir), d.jobs(spark, sf_dir))
 
 
+def completed_jobs_by_output(spark, sf_dir):
+    """Batches whose part has landed."""
+    launched = d.metadata(spark, sf_dir).select("demand", "part", F.col("id").alias("batch_id"))
+    delivered = d.outputs(spark, sf_dir).filter("demand != 'CE'")
+    return lookups.completed_by_output(launched, delivered)
+
+
 def missing_outputs(spark, sf_dir):
     """Pairs whose request was refused have no output."""
     delivered = d.outputs(spark, sf_dir).filter(F.col("finish_reason") != "content_filter")
@@ -292,6 +340,11 @@ def missing_output_parts(spark, sf_dir):
     return lookups.missing_parts(launched, lookups.completed_jobs(launched, d.jobs(spark, sf_dir)))
 
 
+def unknown_demands(spark, sf_dir):
+    sources = d.rubric_files(spark, sf_dir).select("acronym")
+    return lookups.unknown_demands(["src1", "src99", "AA"], sources)
+
+
 # --- Aggregations --------------------------------------------------------------
 
 def annotation_summary(spark, sf_dir):
@@ -317,6 +370,12 @@ def _usage(spark, sf_dir):
     return usage.batch_usage(d.outputs(spark, sf_dir))
 
 
+def batch_usage_files(spark, sf_dir):
+    """From the landed files, without decoding the answers."""
+    rows = output_files.read_outputs(spark, d.landed(spark, sf_dir), WRITTEN_GLOB, content=False)
+    return _rounded(usage.batch_usage(rows).drop("stop", "length", "other"), "std_completion")
+
+
 def batch_usage(spark, sf_dir):
     rows = _usage(spark, sf_dir).drop("stop", "length", "other")
     return _rounded(rows, "std_completion")
@@ -487,6 +546,26 @@ def nest_wide(spark, sf_dir):
     return nested.select("custom_id", F.size("demand").alias("demands"), *columns)
 
 
+def _by_source(spark, sf_dir):
+    """Annotations of a source's documents under one id: many per id and demand."""
+    rows = _long(spark, sf_dir, keep=("file_pos",))
+    sources = d.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("custom_id"), "source"
+    )
+    return rows.join(sources, "custom_id").drop("custom_id").withColumnRenamed("source", "custom_id")
+
+
+def pivot_wide_last(spark, sf_dir):
+    return reshape.pivot_wide(_by_source(spark, sf_dir), F.col("file_pos"), d.ACRONYMS, failures_as="null")
+
+
+def nest_wide_last(spark, sf_dir):
+    nested = reshape.nest_wide(_by_source(spark, sf_dir), F.col("file_pos"), d.ACRONYMS, failures_as="null")
+    return reshape.unnest_wide(nested).select(
+        "custom_id", "demand", "level", "finish_reason", *_digest("model_response", "response")
+    )
+
+
 # --- Streaming -------------------------------------------------------------------
 
 def stream_status(spark, sf_dir):
@@ -512,7 +591,9 @@ def stream_outputs(spark, sf_dir):
 
 
 def stream_summary(spark, sf_dir):
-    landing = output_stream.landing_outputs(spark, d.landed(spark, sf_dir), WRITTEN_GLOB, max_files=16)
+    landing = output_stream.landing_outputs(
+        spark, d.landed(spark, sf_dir), WRITTEN_GLOB, max_files=16, content=False
+    )
     table = new_scratch(spark, "stream-usage")
     summary_stream.stream_usage(
         landing, table, new_scratch(spark, "usage-checkpoint")
@@ -538,17 +619,18 @@ QUERIES = {
         read_outputs, part_inventory, read_errors, read_batch_metadata, job_ledger,
         write_requests, write_annotations_jsonl, write_annotations_csv, write_annotations_parquet,
         split_by_demand,
-        render_instruction, build_request, demand_of_path, extract_level, annotate_long, finish_bucket,
+        render_instruction, build_request, demand_of_path, extract_level, extract_level_guarded,
+        annotate_long, bad_rows, annotate_long_broken, annotate_long_drop_file, finish_bucket,
         filter_finish_reason, filter_outcome, filter_outcome_succeed, only_levels, filter_demands,
-        filter_demands_prefix, unmatched_prefixes,
-        expand_requests, attach_prompts, prompt_map, price_lookup, jobs_in_ledger, completed_jobs,
-        missing_outputs, missing_output_parts,
-        annotation_summary, annotation_summary_total, failed_breakdown, batch_usage,
+        filter_demands_prefix, filter_demands_substring, unmatched_prefixes,
+        expand_requests, attach_prompts, attach_prompts_hot, prompt_map, price_lookup, jobs_in_ledger,
+        completed_jobs, completed_jobs_by_output, missing_outputs, missing_output_parts, unknown_demands,
+        annotation_summary, annotation_summary_total, failed_breakdown, batch_usage, batch_usage_files,
         finish_reason_counts, batch_cost, batch_summary, general_summary, general_summary_members,
         pooled_token_stats, status_histogram, batch_progress, token_count, input_tokens_exact,
         input_tokens_approx, estimate_cost, estimate_cost_exact, validate_prompts, validate_rubrics,
         need_split, split_plan, halve_part,
-        union_outputs, pivot_wide, nest_wide,
+        union_outputs, pivot_wide, nest_wide, pivot_wide_last, nest_wide_last,
         stream_status, stream_outputs, stream_summary,
         annotation_run,
     )

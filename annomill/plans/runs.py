@@ -43,6 +43,7 @@ class AnnotationRun:
     """Lazy views of one set of outputs.  Nothing runs until one is used."""
 
     outputs: DataFrame
+    usage_lines: DataFrame
     prompts: DataFrame | None = None
     options: tuple = ()
 
@@ -69,7 +70,7 @@ class AnnotationRun:
         return annotation_summary(annotate_long(self.outputs, only_levels=True), *by)
 
     def usage(self) -> DataFrame:
-        return batch_usage(self.outputs)
+        return batch_usage(self.usage_lines)
 
     def batches(self, metadata: DataFrame, prices: Prices = MODEL_PRICES) -> DataFrame:
         return batch_summary(metadata, self.usage(), prices)
@@ -89,4 +90,7 @@ def collect_run(
 
     ``prompts`` needs one row per id (see ``prompt_map``).
     """
-    return AnnotationRun(read_outputs(spark, base, file_glob), prompts, tuple(options.items()))
+    return AnnotationRun(
+        read_outputs(spark, base, file_glob), read_outputs(spark, base, file_glob, content=False),
+        prompts, tuple(options.items()),
+    )

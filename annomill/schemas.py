@@ -7,25 +7,27 @@ PROMPT = T.StructType([
     T.StructField("prompt", T.StringType()),
 ])
 
-OUTPUT = T.StructType([
-    T.StructField("custom_id", T.StringType()),
-    T.StructField("response", T.StructType([
-        T.StructField("body", T.StructType([
-            T.StructField("model", T.StringType()),
-            T.StructField("choices", T.ArrayType(T.StructType([
-                T.StructField("finish_reason", T.StringType()),
-                T.StructField("message", T.StructType([
-                    T.StructField("content", T.StringType()),
-                ])),
-            ]))),
-            T.StructField("usage", T.StructType([
-                T.StructField("prompt_tokens", T.LongType()),
-                T.StructField("completion_tokens", T.LongType()),
-            ])),
-        ])),
-    ])),
-    T.StructField("_corrupt_record", T.StringType()),
-])
+
+def output(content: bool = True) -> T.StructType:
+    """A line of ``output.jsonl``.  Without ``content`` the answers' texts,
+    which are most of the bytes, are skipped and not decoded."""
+    message = T.StructField("message", T.StructType([T.StructField("content", T.StringType())]))
+    choice = T.StructType([T.StructField("finish_reason", T.StringType())] + [message] * content)
+    usage = T.StructType([
+        T.StructField("prompt_tokens", T.LongType()),
+        T.StructField("completion_tokens", T.LongType()),
+    ])
+    body = T.StructType([
+        T.StructField("model", T.StringType()),
+        T.StructField("choices", T.ArrayType(choice)),
+        T.StructField("usage", usage),
+    ])
+    return T.StructType([
+        T.StructField("custom_id", T.StringType()),
+        T.StructField("response", T.StructType([T.StructField("body", body)])),
+        T.StructField("_corrupt_record", T.StringType()),
+    ])
+
 
 ERROR = T.StructType([
     T.StructField("custom_id", T.StringType()),

@@ -15,15 +15,19 @@ def landing_outputs(
     base: str,
     file_glob: str = "output.jsonl",
     max_files: int | None = None,
+    content: bool = True,
 ) -> DataFrame:
-    """A stream of flat output rows; each file is taken in once."""
+    """A stream of flat output rows; each file is taken in once.
+
+    A usage stream needs no ``content``.
+    """
     reader = (
-        spark.readStream.schema(schemas.OUTPUT)
+        spark.readStream.schema(schemas.output(content))
         .option("recursiveFileLookup", True).option("pathGlobFilter", file_glob)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return flatten_outputs(reader.json(base), position=False)
+    return flatten_outputs(reader.json(base), position=False, content=content)
 
 
 def stream_outputs(
@@ -31,7 +35,7 @@ def stream_outputs(
 ) -> StreamingQuery:
     """Appends long annotations to a Parquet folder, exactly once.
 
-    ``annotate`` are the options of ``annotate_long``.
+    ``annotate`` are the options of ``annotate_long``, but for ``drop_file``.
     """
     return (
         annotate_long(outputs, **annotate).writeStream.format("parquet").outputMode("append")
