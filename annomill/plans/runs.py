@@ -14,10 +14,12 @@ from ..operators.lookups import attach_prompts
 from ..operators.positions import POSITION
 from ..operators.requests import filter_demands
 from ..operators.reshape import nest_wide, pivot_wide
-from ..operators.usage import annotation_summary, batch_summary, batch_usage, general_summary
+from ..operators.usage import (
+    annotation_summary, batch_summary, batch_usage, failed_breakdown, general_summary,
+)
 from ..sinks.requests import write_requests
 from ..sources.outputs import line_order, read_outputs
-from ..sources.prompts import read_prompts
+from ..sources.prompts import prompt_map, read_prompts
 from ..sources.rubrics import load_rubrics
 
 
@@ -67,7 +69,12 @@ class AnnotationRun:
         return attach_prompts(nested, self.prompts, unique_ids=True)
 
     def summary(self, *by: str) -> DataFrame:
-        return annotation_summary(annotate_long(self.outputs, only_levels=True), *by)
+        narrow = {**dict(self.options), "only_levels": True}
+        return annotation_summary(annotate_long(self.outputs, **narrow), *by)
+
+    def failures(self) -> DataFrame:
+        whole = {**dict(self.options), "only_levels": False}
+        return failed_breakdown(annotate_long(self.outputs, **whole))
 
     def usage(self) -> DataFrame:
         return batch_usage(self.usage_lines)
@@ -88,8 +95,11 @@ def collect_run(
 ) -> AnnotationRun:
     """Everything below ``base``; ``options`` are those of ``annotate_long``.
 
-    ``prompts`` needs one row per id (see ``prompt_map``).
+    ``prompts`` read with their position may repeat ids: the last one counts.
+    Without it they need one row per id (see ``prompt_map``).
     """
+    if prompts is not None and all(name in prompts.columns for name in POSITION):
+        prompts = prompt_map(prompts, line_order())
     return AnnotationRun(
         read_outputs(spark, base, file_glob), read_outputs(spark, base, file_glob, content=False),
         prompts, tuple(options.items()),

@@ -9,6 +9,7 @@ from annomill.operators.requests import filter_demands, filter_demands_prefix, u
 from annomill.operators.validation import prompts_ok, validate_prompts
 from annomill.plans.derived import rubric_text
 from annomill.plans.runs import collect_run
+from annomill.sinks.annotations import write_annotations
 from annomill.sources.jobs import (
     launched_demands, read_batch_metadata, read_errors, read_job_ledger, write_job_ledger,
 )
@@ -253,6 +254,18 @@ def test_union(spark, run_folder):
         union_outputs()
 
 
+def test_run_with_filters(spark, run_folder, tmp_path, as_rows):
+    """Prompts whose answer was cut short, to be tried again."""
+    path = write_lines(tmp_path / "p.jsonl", [{"custom_id": "3", "prompt": p} for p in ("old", "new")])
+    run = collect_run(spark, str(run_folder), prompts=read_prompts(spark, path, position=True),
+                      only_failed=True, finish_reason="length", only_levels=True)
+    write_annotations(nan_levels(run.long()), str(tmp_path / "out"), split_by_demand=True)
+    lines = [json.loads(line) for f in (tmp_path / "out" / "demand=AA").glob("*.json") for line in open(f)]
+    assert lines == [{"custom_id": "3", "level": "NaN", "prompt": "new"}]
+    assert as_rows(run.summary()) == [(1, 0, 0.0, 1, 100.0)]
+    assert as_rows(run.failures()) == [("length", 1, 100.0)]
+
+
 def test_run(spark, run_folder, as_rows):
     prompts = spark.createDataFrame([("1", "one"), ("4", "four")], "custom_id string, prompt string")
     run = collect_run(spark, str(run_folder), prompts=prompts)
