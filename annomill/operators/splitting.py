@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import REQUEST_MAX_TOKENS, REQUEST_MODEL, REQUEST_URL
 from .requests import pair_with, request_columns, request_halves
 
+
 def _json_bytes(text: Column) -> Column:
     """Bytes of a string as JSON, without its quotes.
 

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ..fixed_values import (
     MAX_PART_BYTES, MAX_PART_LINES, REQUEST_MAX_TOKENS, REQUEST_MODEL, REQUEST_URL,
 )
-from ..operators.requests import build_requests, request_columns, request_halves
-from ..operators.sizes import fits_in_memory
 from ..operators.positions import POSITION, with_file_index, with_row_index
+from ..operators.requests import pair_with, request_columns, request_halves
+from ..operators.sizes import fits_in_memory
 from ..operators.splitting import (
     assign_parts, number_parts, parts_of, request_sizes, split_plan, varying_bytes,
 )
@@ -35,63 +35,65 @@ def write_requests(
 
     With a limit, every part is one file with its requests in order: prompts
     are numbered once, dealt to parts as narrow rows, and moved to the task
-    that writes their part; the long text is put around them only there.
-    A task writes one part or several small ones, so it is bounded as parts are.  Without any limit there is one
-    part per demand, written by many tasks as many files, and no shuffle.
+    that writes their part; the long text is put around them only there.  A
+    task writes one part or several small ones, so it is bounded as parts are.
+    Without any limit there is one part per demand, written by many tasks as
+    many files, and no shuffle.
 
     Requests keep the order of the prompt files if the prompts were read with
     their position; otherwise they are ordered by ``order_by`` or the id.
     """
+    halves = request_halves(rubrics)
+    # Too many rubrics to hold their texts in every task: the texts then travel
+    # with the rows instead of being looked up at the end.
+    carry = () if fits_in_memory(halves) else ("prefix", "suffix")
     if max_lines is None and max_bytes is None:
-        requests = build_requests(prompts, rubrics, model, max_tokens, url)
-        requests.withColumn("part", F.col("demand")).write.mode("overwrite").partitionBy(
-            "demand", "part"
-        ).json(path)
-        return
-    if order_by is None and all(name in prompts.columns for name in POSITION):
-        numbered = with_file_index(prompts.select(
-            "custom_id", "prompt", varying_bytes().alias("varying"), *POSITION
-        ))
+        pairs = pair_with(prompts.select("custom_id", "prompt"), halves.select("demand", *carry))
+        placed = pairs.withColumn("part", F.col("demand")).sortWithinPartitions("demand", "part")
     else:
-        keys = list(order_by or ("custom_id",))
-        extra = [key for key in keys if key not in ("custom_id", "prompt")]
-        numbered = with_row_index(prompts.select(
-            "custom_id", "prompt", varying_bytes().alias("varying"), *extra
-        ), keys)
-    indexed = numbered.select("custom_id", "prompt", "varying", "row_index", "n_rows")
-    sizes = request_sizes(indexed, rubrics, model, max_tokens, url, F.col("varying"))
-    plan = stored(number_parts(split_plan(sizes, max_lines, max_bytes)), "split-plan")
-    total = plan.agg(F.sum(parts_of(plan)).alias("parts"), F.sum("n_bytes").alias("bytes")).first()
-    parts = max(total["parts"] or 0, 1)
-    cores = prompts.sparkSession.sparkContext.defaultParallelism
-    tasks = min(parts, max(2 * cores, -(-(total["bytes"] or 0) // TASK_BYTES)))
-    indexed = indexed.drop("varying")
-    halves = request_halves(rubrics)
-    late = fits_in_memory(halves)
-    if late:
-        assigned = assign_parts(indexed, plan, ("first_part",))
+        indexed = _number(prompts, order_by)
+        sizes = request_sizes(indexed, rubrics, model, max_tokens, url, F.col("varying"))
+        plan = stored(number_parts(split_plan(sizes, max_lines, max_bytes)), "split-plan")
+        placed = _place(indexed.drop("varying"), plan, halves, carry)
+
+    if carry:
+        instruction = F.concat("prefix", "prompt", "suffix")
     else:
-        # Too many rubrics to hold their texts in every task.
-        assigned = assign_parts(indexed, plan.join(halves, "demand"), ("first_part", "prefix", "suffix"))
-    number = F.col("first_part") + F.col("part_no") - 1
-    task = F.floor(number * tasks / parts).cast("int")
-    placed = (
-        assigned.withColumn("_task", task)
-        .drop("row_index", "n_rows", "part_no", "part_rows", "first_part")
-        .repartitionById(tasks, "_task")
-        .sortWithinPartitions("demand", "part", "part_row")
-    )
-    if late:
         # A lookup in a constant, unlike a join, is sure to keep the rows' order.
         texts = halves.agg(F.map_from_entries(F.collect_list(
             F.struct("demand", F.struct("prefix", "suffix"))
         ))).scalar()
         placed = placed.withColumn("_around", F.element_at(texts, F.col("demand")))
         instruction = F.concat("_around.prefix", "prompt", "_around.suffix")
-    else:
-        instruction = F.concat("prefix", "prompt", "suffix")
     fields = request_columns(F.col("custom_id"), instruction, model, max_tokens, url)
     (
         placed.select("demand", "part", *fields)
         .write.mode("overwrite").partitionBy("demand", "part").json(path)
     )
+
+
+def _number(prompts: DataFrame, order_by: tuple[str, ...] | None) -> DataFrame:
+    """``custom_id, prompt, varying, row_index, n_rows``."""
+    columns = ["custom_id", "prompt", varying_bytes().alias("varying")]
+    if order_by is None and all(name in prompts.columns for name in POSITION):
+        return with_file_index(prompts.select(*columns, *POSITION))
+    keys = list(order_by or ("custom_id",))
+    extra = [key for key in keys if key not in ("custom_id", "prompt")]
+    return with_row_index(prompts.select(*columns, *extra), keys).drop(*extra)
+
+
+def _place(indexed: DataFrame, plan: DataFrame, halves: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """Rows in the task and order in which they are written."""
+    total = plan.agg(F.sum(parts_of(plan)).alias("parts"), F.sum("n_bytes").alias("bytes")).first()
+    parts = max(total["parts"] or 0, 1)
+    cores = indexed.sparkSession.sparkContext.defaultParallelism
+    tasks = min(parts, max(2 * cores, -(-(total["bytes"] or 0) // TASK_BYTES)))
+    texts = plan.join(halves, "demand") if carry else plan
+    assigned = assign_parts(indexed, texts, ("first_part", *carry))
+    number = F.col("first_part") + F.col("part_no") - 1
+    return (
+        assigned.withColumn("_task", F.floor(number * tasks / parts).cast("int"))
+        .drop("row_index", "n_rows", "part_no", "part_rows", "first_part")
+        .repartitionById(tasks, "_task")
+        .sortWithinPartitions("demand", "part", "part_row")
+    )

@@ -138,6 +138,8 @@ def test_file_index_is_the_order_of_the_lines(spark, tmp_path):
         with open(tmp_path / f"{name}.jsonl", "w") as f:
             for i in range(700):
                 f.write(json.dumps({"custom_id": f"{name}{i}", "prompt": "x" * (i % 91)}) + "\n")
+                if i % 50 == 7:
+                    f.write("\n")  # Spark skips empty lines.
                 expected.append(f"{name}{i}")
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
@@ -211,11 +213,13 @@ def test_unlimited_parts(spark, tmp_path, prompts, rubrics):
 
 def test_too_many_rubrics_for_memory(spark, tmp_path, prompts, rubrics, monkeypatch, as_rows):
     expected = as_rows(expand_requests(prompts, rubrics))
-    for limit in (200, 1000):
+    for limit in (200, 1000):  # Bytes; the dimension has more.
         dimension = rubrics.select(F.col("acronym").alias("demand"), "full_name", "content")
         assert as_rows(pair_with(prompts, dimension, limit)) == expected
     write_requests(prompts, rubrics, str(tmp_path / "small"), max_lines=3, max_bytes=None)
     monkeypatch.setattr("annomill.sinks.requests.fits_in_memory", lambda frame: False)
     write_requests(prompts, rubrics, str(tmp_path / "large"), max_lines=3, max_bytes=None)
     assert read_parts(tmp_path / "large") == read_parts(tmp_path / "small")
+    write_requests(prompts, rubrics, str(tmp_path / "whole"), max_lines=None, max_bytes=None)
+    assert spark.read.json(str(tmp_path / "whole")).count() == 12
     assert len(read_parts(tmp_path / "small")) == 6
