@@ -34,7 +34,9 @@ def hot_slices(frame: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> Data
     ``1/MAX_HOT_KEYS`` of all rows, so fewer than ``MAX_HOT_KEYS`` rows come
     back whatever the input: small enough to broadcast.
     """
-    counts = frame.groupBy(key).agg(F.count("*").alias("n"))
+    # Without NULLs, which join nothing, this is the plan the join will ask for
+    # as well, so the keys are counted once.
+    counts = frame.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("n")).scalar()
     limit = F.greatest(F.lit(slice_rows), F.floor(total / MAX_HOT_KEYS))
     return counts.filter(F.col("n") > limit).select(

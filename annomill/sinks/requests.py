@@ -18,6 +18,8 @@ from ..session import stored
 
 # A task writes whole parts, one after the other, up to about this many bytes.
 TASK_BYTES = 256 * 1024 * 1024
+# More tasks than this are too many to schedule; each then writes more parts.
+MAX_TASKS = 100_000
 
 
 def write_requests(
@@ -87,7 +89,7 @@ def _place(indexed: DataFrame, plan: DataFrame, halves: DataFrame, carry: tuple[
     total = plan.agg(F.sum(parts_of(plan)).alias("parts"), F.sum("n_bytes").alias("bytes")).first()
     parts = max(total["parts"] or 0, 1)
     cores = indexed.sparkSession.sparkContext.defaultParallelism
-    tasks = min(parts, max(2 * cores, -(-(total["bytes"] or 0) // TASK_BYTES)))
+    tasks = min(parts, MAX_TASKS, max(2 * cores, -(-(total["bytes"] or 0) // TASK_BYTES)))
     texts = plan.join(halves, "demand") if carry else plan
     assigned = assign_parts(indexed, texts, ("first_part", *carry))
     number = F.col("first_part") + F.col("part_no") - 1
