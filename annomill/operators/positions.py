@@ -15,7 +15,12 @@ _PLACE_BITS = 33
 
 
 def position_columns():
-    """``POSITION`` for a file scan that has not been shuffled or filtered."""
+    """``POSITION`` for a file scan that has not been shuffled or filtered.
+
+    Positions order the rows of one scan.  Another scan of the same files may
+    be cut differently (the cluster may have grown), so whatever is compared
+    with them must come from the same scan: see ``stored``.
+    """
     return [
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("file_block"),
@@ -26,21 +31,36 @@ def position_columns():
 def split_offsets(rows: DataFrame, per_file: bool) -> DataFrame:
     """Rows before each split: ``file_path, file_block, first, before, n_rows``.
 
-    Counted over the split's file, or over all files by name.  One row per
-    split comes out, so the running sum is over a short table.
+    Counted over the split's file, or over all files by name.  ``rows`` must
+    be a stored table.  One row per split comes out, so the running sum is
+    over a short table; it is stored as well, so that Spark knows its size.
     """
+    first, last = F.min("file_pos"), F.max("file_pos")
+    gap = F.raise_error(F.lit("rows are missing between positions; order them by a column instead"))
     splits = rows.groupBy("file_path", "file_block").agg(
-        F.count("*").alias("n"), F.min("file_pos").alias("first")
+        F.when(last - first + 1 == F.count("*"), F.count("*")).otherwise(gap).alias("n"),
+        first.alias("first"),
     )
     if per_file:
         whole, order = Window.partitionBy("file_path"), ["file_block"]
     else:
         whole, order = Window.partitionBy(), ["file_path", "file_block"]
     earlier = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return splits.select(
+    return stored(splits.select(
         "file_path", "file_block", "first",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
         F.sum("n").over(whole).alias("n_rows"),
+    ), "split-offsets")
+
+
+def index_in_files(rows: DataFrame, per_file: bool = False) -> DataFrame:
+    """Adds ``row_index`` and ``n_rows`` to a stored table with ``POSITION``."""
+    columns = [name for name in rows.columns if name not in POSITION]
+    if per_file:
+        columns.append("file_path")
+    offsets = split_offsets(rows, per_file)
+    return rows.join(offsets, ["file_path", "file_block"]).select(
+        *columns, (F.col("before") + F.col("file_pos") - F.col("first")).alias("row_index"), "n_rows"
     )
 
 
@@ -48,13 +68,10 @@ def with_file_index(rows: DataFrame) -> DataFrame:
     """Adds ``row_index`` (0-based, in the order of the files) and ``n_rows``.
 
     ``rows`` are a file scan with its ``POSITION`` columns, which are dropped.
-    Nothing is sorted; the scan is joined with one row per split.
+    The scan is stored once and joined with one row per split; nothing is
+    sorted.
     """
-    offsets = stored(split_offsets(rows, per_file=False), "split-offsets")
-    columns = [name for name in rows.columns if name not in POSITION]
-    return rows.join(offsets, ["file_path", "file_block"]).select(
-        *columns, (F.col("before") + F.col("file_pos") - F.col("first")).alias("row_index"), "n_rows"
-    )
+    return index_in_files(stored(rows, "row-index"))
 
 
 def with_row_index(rows: DataFrame, order_by: list[str]) -> DataFrame:

@@ -21,7 +21,7 @@ from ..sources import rubrics as rubric_files
 from ..streaming import outputs as output_stream
 from ..streaming import status as status_stream
 from ..streaming import summaries as summary_stream
-from ..session import new_scratch
+from ..session import new_scratch, stored
 from . import derived as d
 from .runs import collect_run
 
@@ -501,7 +501,7 @@ def need_split(spark, sf_dir):
 
 def _assigned(spark, sf_dir):
     indexed = positions.with_row_index(d.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
-    plan = splitting.split_plan(_sizes(spark, sf_dir), MAX_LINES, MAX_BYTES)
+    plan = stored(splitting.split_plan(_sizes(spark, sf_dir), MAX_LINES, MAX_BYTES), "split-plan")
     return splitting.assign_parts(indexed, plan)
 
 

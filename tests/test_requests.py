@@ -154,6 +154,14 @@ def test_file_index_is_the_order_of_the_lines(spark, tmp_path):
     assert [r["row_index"] for r in rows] == list(range(2100)) and rows[0]["n_rows"] == 2100
 
 
+def test_file_index_needs_all_rows(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text("".join(f'{{"custom_id": "{i}", "prompt": "x"}}\n' for i in range(9)))
+    prompts = read_prompts(spark, str(tmp_path), position=True)
+    with pytest.raises(Exception, match="rows are missing"):
+        with_file_index(prompts.filter("custom_id != '4'"))
+    assert with_row_index(prompts.filter("custom_id != '4'"), ["custom_id"]).agg(F.max("row_index")).first()[0] == 7
+
+
 def test_file_index_over_row_groups(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
