@@ -31,7 +31,7 @@ def stream_status(
     """Keeps ``table`` (a folder) up to date; read it with ``read_status``.
 
     Every micro-batch writes the batches it changed to its own folder, which
-    a repeated micro-batch overwrites.
+    a repeated micro-batch overwrites.  A table belongs to one checkpoint.
     """
     def save(changed: DataFrame, epoch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")

@@ -15,7 +15,8 @@ def stream_usage(
     """Writes each micro-batch's partial sums to its own folder of ``table``.
 
     The sums add up however the files of a part are spread over micro-batches,
-    a repeated micro-batch overwrites its folder, and there is no state.
+    a repeated micro-batch overwrites its folder, and there is no state.  A
+    table belongs to one checkpoint.
     """
     def save(landed: DataFrame, epoch: int) -> None:
         numbered = landed.withColumn("file_pos", F.monotonically_increasing_id())
