@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding
+from . import decontamination, packing, sharding, substrings, suffixes, toxicity
 
 SHARDS = 8
 SEQUENCE_TOKENS = 1024
+REPEAT_WORDS = 20
+REPEAT_BYTES = 400
+CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
+TOXIC_FROM = 0.5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +36,20 @@ def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_lyndon_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents without strings of 400 bytes that stand in several places."""
+    kept = suffixes.remove_repeats(table(spark, sf_dir, "documents"), REPEAT_BYTES)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span.end - span.start)
+    return kept.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_doubling_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents without windows of 20 words that start earlier."""
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"), REPEAT_WORDS)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1,024 tokens."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), *byte_vocabulary(), SEQUENCE_TOKENS)
@@ -39,5 +57,22 @@ def op7_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "sequence_cost")
 
 
-QUERIES = {query.__name__: query for query in (op1_bounded_ring, op7_cost_packing)}
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold an item of the benchmark."""
+    found = decontamination.find(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *[name for name, _ in decontamination.RESULTS])
+
+
+def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of each category, and whether a document counts as toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), CATEGORIES)
+    judged = toxicity.judge(docs, chain)
+    return judged.select("doc_id", *[f"p_{name}" for name in CATEGORIES],
+                         (F.col("p_toxic") >= TOXIC_FROM).alias("toxic"))
+
+
+QUERIES = {query.__name__: query for query in (
+    op1_bounded_ring, op4_lyndon_suffixes, op5_doubling_substrings, op7_cost_packing, op8_latent_decontamination, op9_toxicity_chain)}
 ORACLES: dict[str, str] = {}

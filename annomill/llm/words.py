@@ -63,6 +63,21 @@ def spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers
     return mixed((sums[ends] - sums[starts]) * powers.upto(len(sums))[1][starts])
 
 
+def blank_separated() -> np.ndarray:
+    """What each byte counts as in a word: itself, or 0 if it separates words."""
+    table = np.arange(256, dtype=np.uint8)
+    table[SPACES] = 0
+    return table
+
+
+def letters_and_digits() -> np.ndarray:
+    """As ``blank_separated``, but ASCII marks separate too and capitals count as small."""
+    table = np.arange(256, dtype=np.uint8)
+    for i in range(128):
+        table[i] = ord(chr(i).lower()) if chr(i).isalnum() else 0
+    return table
+
+
 class Texts:
     """The words of a few texts.
 
@@ -71,13 +86,10 @@ class Texts:
     of text i, ``doc`` the text of each word.
     """
 
-    def __init__(self, data: np.ndarray, edges: np.ndarray, words: bool = True):
+    def __init__(self, data: np.ndarray, edges: np.ndarray, table: np.ndarray | None = None):
         self.data, self.edges, self.n = data, edges, len(edges) - 1
-        if not words:
-            return
-        space = np.zeros(256, dtype=bool)
-        space[SPACES] = True
-        inside = ~space[data]
+        self.table = blank_separated() if table is None else table
+        inside = (self.table != 0)[data]
         new = inside.copy()
         new[1:] &= ~inside[:-1]
         inner = edges[:-1][(edges[:-1] < len(data))]
@@ -93,7 +105,7 @@ class Texts:
         self.doc = np.repeat(np.arange(self.n), self.counts)
 
     def hashes(self, powers: Powers, seed: int = 0) -> np.ndarray:
-        sums = running(byte_values(seed)[self.data], powers)
+        sums = running(byte_values(seed)[self.table][self.data], powers)
         return spans(sums, self.starts, self.ends, powers)
 
     def text(self, i: int) -> bytes:
@@ -125,8 +137,8 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         begin = end
 
 
-def texts(batch: pa.RecordBatch, column: str, words: bool = True) -> Texts:
-    return Texts(*bytes_of(batch.column(column)), words=words)
+def texts(batch: pa.RecordBatch, column: str, table: np.ndarray | None = None) -> Texts:
+    return Texts(*bytes_of(batch.column(column)), table)
 
 
 def windows(values: np.ndarray, powers: Powers, length: int) -> np.ndarray:
@@ -139,14 +151,19 @@ def windows(values: np.ndarray, powers: Powers, length: int) -> np.ndarray:
 
 
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the leftmost smallest value in every window of ``width`` values."""
+    """Index of the smallest value in every window of ``width`` values.
+
+    Values count by their upper 33 bits; the leftmost of equals is taken.  Running
+    minima from both ends of blocks of ``width`` values give each window's.
+    """
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
-    best, span = np.arange(len(values)), 1
-    while span * 2 <= width:
-        left, right = best[:-span], best[span:]
-        best = np.where(values[right] < values[left], right, left)
-        span *= 2
-    left, right = best[:n], best[width - span:width - span + n]
-    return np.where(values[right] < values[left], right, left)
+    place = np.uint64((1 << 31) - 1)
+    blocks = -(-len(values) // width)
+    packed = np.full(blocks * width, np.iinfo(np.uint64).max, dtype=np.uint64)
+    packed[:len(values)] = (values & ~place) | np.arange(len(values), dtype=np.uint64)
+    table = packed.reshape(blocks, width)
+    ahead = np.minimum.accumulate(table, axis=1).reshape(-1)
+    behind = np.minimum.accumulate(table[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    return (np.minimum(behind[:n], ahead[width - 1:width - 1 + n]) & place).astype(np.int64)
