@@ -58,12 +58,16 @@ def possible(frame: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     )
 
 
-def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Adds ``_doc`` and ``_rank``, which tell documents apart; the rank is 0 unless ids repeat."""
+def keyed(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """Adds ``_doc`` and ``_rank``, which tell documents apart; the rank is 0 unless ids repeat.
+
+    The second frame has one row for each document.
+    """
     ids = F.col(f"`{id_column}`").cast("long")
     repeats = docs.groupBy(ids.alias("id")).count().where("count > 1").limit(1).count()
     rank = F.xxhash64(F.col(f"`{text_column}`")) if repeats else F.lit(0).cast("long")
-    return docs.withColumn("_doc", F.coalesce(ids, F.lit(LOWEST))).withColumn("_rank", rank)
+    rows = docs.withColumn("_doc", F.coalesce(ids, F.lit(LOWEST))).withColumn("_rank", rank)
+    return rows, rows.dropDuplicates(["_doc", "_rank"]) if repeats else rows
 
 
 def all_lines(docs: DataFrame, text_column: str) -> DataFrame:
@@ -170,8 +174,8 @@ def _verified(made: DataFrame, earliest: DataFrame, texts: DataFrame) -> DataFra
 
 def drop_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents with their repeated lines taken out, ``n_lines`` and ``n_removed`` added."""
-    rows = keyed(docs.drop("n_lines", "n_removed"), id_column, text_column)
-    lines = all_lines(rows, text_column)
+    rows, once = keyed(docs.drop("n_lines", "n_removed"), id_column, text_column)
+    lines = all_lines(once, text_column)
     seen = lines.groupBy("h", "g").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("times"))
     firsts = stored(seen, "line-firsts")
     near = near_lines(lines, firsts.select("h", "g", "place")).withColumn("near", F.lit(True))

@@ -172,10 +172,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``_doc, _rank, label`` of all documents; documents of a class have the same label."""
-    rows = keyed(docs, id_column, text_column)
+    rows, once = keyed(docs, id_column, text_column)
     node = F.when(F.col("_rank") == 0, F.col("_doc")).otherwise(F.xxhash64("_doc", "_rank"))
-    named = rows.select("_doc", "_rank", node.alias("node"),
-                        F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text"))
+    columns = ["_doc", "_rank", node.alias("node"),
+               F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text")]
+    every, named = rows.select(columns), once.select(columns)
     signed = stored(named.select("node", "text").mapInArrow(
         _signed, "node long, a long, b long, keys array<long>"), "signatures")
     same = stored(signed.groupBy("a", "b").agg(F.min("node").alias("first")), "same-shingles")
@@ -213,7 +214,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     named_same = signed.select("node", "a", "b").join(same, ["a", "b"]).select("node", "first").distinct()
     label = named_same.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
         "node", F.coalesce("label", "first").alias("label"))
-    return stored(named.select("_doc", "_rank", "node").join(label, "node").select("_doc", "_rank", "label"), "classes")
+    return stored(every.select("_doc", "_rank", "node").join(label, "node").select("_doc", "_rank", "label"), "classes")
 
 
 def _cross(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -246,5 +247,5 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """The rows of one document of each class: the one with the lowest id."""
     found = classes(docs, id_column, text_column)
     least = found.groupBy("label").agg(F.min(F.struct("_doc", "_rank")).alias("least")).select("least._doc", "least._rank")
-    rows = keyed(docs, id_column, text_column)
-    return rows.join(least, ["_doc", "_rank"], "left_semi").drop("_doc", "_rank")
+    _, once = keyed(docs, id_column, text_column)
+    return once.join(least, ["_doc", "_rank"], "left_semi").drop("_doc", "_rank")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, sharding, substrings, suffixes, toxicity
+from . import decontamination, exact, identifiers, lines, neighbours, packing, sharding, substrings, suffixes, toxicity
+from .oracles import ORACLES  # noqa: F401
 
 SHARDS = 8
 SEQUENCE_TOKENS = 1024
@@ -15,6 +16,11 @@ CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
 TOXIC_FROM = 0.5
 
 
+def piece_columns() -> list:
+    return ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+            "sequence_cost"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,6 +42,17 @@ def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates that each document belongs to."""
+    return neighbours.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_stateful_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of equal documents stays, from a stream over the documents' files."""
+    found = exact.deduplicated(spark, f"{sf_dir}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op4_lyndon_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents without strings of 400 bytes that stand in several places."""
     kept = suffixes.remove_repeats(table(spark, sf_dir, "documents"), REPEAT_BYTES)
@@ -50,11 +67,16 @@ def op5_doubling_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_deletion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that repeat an earlier one up to one edit."""
+    kept = lines.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1,024 tokens."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), *byte_vocabulary(), SEQUENCE_TOKENS)
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
-                         "sequence_id", "offset", "sequence_cost")
+    return pieces.select(*piece_columns())
 
 
 def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +95,20 @@ def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("p_toxic") >= TOXIC_FROM).alias("toxic"))
 
 
+def op10_contextual_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal identifiers of all documents."""
+    found = identifiers.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in identifiers.KINDS]
+    return found.select("doc_id", *counts, F.sha2(identifiers.written(base), 256).alias("base_sha256"),
+                        identifiers.written(F.col("spans")).alias("spans"))
+
+
 QUERIES = {query.__name__: query for query in (
-    op1_bounded_ring, op4_lyndon_suffixes, op5_doubling_substrings, op7_cost_packing, op8_latent_decontamination, op9_toxicity_chain)}
-ORACLES: dict[str, str] = {}
+    op1_bounded_ring, op2_probminhash, op3_stateful_exact, op4_lyndon_suffixes, op5_doubling_substrings,
+    op6_deletion_lines, op7_cost_packing, op8_latent_decontamination, op9_toxicity_chain,
+    op10_contextual_identifiers)}

@@ -1,6 +1,6 @@
 """Removes repeated runs of words by level-wise doubling.
 
-Level by level the windows of 10, 20, 40, ... words that stand in more than one
+Level by level the windows of 5, 10, 20, ... words that stand in more than one
 place are found.  A window is looked at on the next level, at twice the length,
 only if it holds a repeated one; the last level has the length asked for.  The
 search ends early when a level leaves no candidates.
@@ -37,7 +37,7 @@ from ..session import stored
 from .blocks import (BLOCK, Group, Questions, answered, batch, groups_for, identified, text_blocks)
 from .words import SLICE_BYTES, Powers, Texts, slices, smallest, texts, windows
 
-BASE_WORDS = 10
+BASE_WORDS = 5
 
 
 def levels(width: int, base: int = BASE_WORDS) -> list[int]:

@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stored
 from .words import Powers, letters_and_digits, slices, texts
@@ -33,10 +34,10 @@ SAMPLE_ROWS = 20_000
 SLOT_BITS = 20
 FOLDS = 5
 #: Words kept for a category, by their chi-squared score, and the least score.
-CATEGORY_WORDS = 512
-LEAST_SCORE = 20.0
+CATEGORY_WORDS = 1_024
+LEAST_SCORE = 15.0
 STEPS = 300
-RIDGE = 1e-3
+RIDGE = 1e-5
 
 
 def sigmoid(x):
@@ -131,6 +132,29 @@ def marks_of(words: pd.Series, chosen: list[int]) -> tuple[np.ndarray, np.ndarra
     return row[hit], at[hit]
 
 
+def fold_model(label: str, before: list[str], chosen: list[int]):
+    """Fits one model: that of a fold, which judges the fold's rows, or the final one, which gives its weights."""
+    def model(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "fold"], kind="stable").reset_index(drop=True)
+        held = (pdf["model"] == pdf["fold"]).to_numpy()
+        row, column = marks_of(pdf["words"], chosen)
+        p = np.clip(pdf[before].to_numpy(dtype=float).reshape(len(pdf), len(before)), 1e-6, 1 - 1e-6)
+        dense = np.log(p / (1 - p))
+        y = pdf[label].to_numpy(dtype=float)
+        seen = ~held & ~np.isnan(y)
+        place = np.cumsum(seen) - 1
+        inside = seen[row]
+        weights = fit(place[row[inside]], column[inside], dense[seen], y[seen], len(chosen))
+        if pdf["model"].iloc[0] == FOLDS:
+            return pd.DataFrame({"doc_id": [None], "p": [None], "weights": [list(weights)]})
+        judged = sigmoid(predict(row, column, dense, len(pdf), weights))
+        out = pd.DataFrame({"doc_id": pdf["doc_id"][held], "p": judged[held]})
+        out["weights"] = None
+        return out
+
+    return model
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], rows: int = SAMPLE_ROWS) -> list[dict]:
     """The chain: for each category its words' slots and their weights.
 
@@ -144,26 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], rows:
         label, before = f"y{i}", [f"p{j}" for j in range(i)]
         chosen = telling_words(known, label)
 
-        def model(pdf: pd.DataFrame, label=label, before=before, chosen=chosen) -> pd.DataFrame:
-            pdf = pdf.sort_values(["doc_id", "fold"], kind="stable").reset_index(drop=True)
-            held = (pdf["model"] == pdf["fold"]).to_numpy()
-            row, column = marks_of(pdf["words"], chosen)
-            p = np.clip(pdf[before].to_numpy(dtype=float).reshape(len(pdf), len(before)), 1e-6, 1 - 1e-6)
-            dense = np.log(p / (1 - p))
-            y = pdf[label].to_numpy(dtype=float)
-            seen = ~held & ~np.isnan(y)
-            place = np.cumsum(seen) - 1
-            inside = seen[row]
-            weights = fit(place[row[inside]], column[inside], dense[seen], y[seen], len(chosen))
-            judged = sigmoid(predict(row, column, dense, len(pdf), weights))
-            out = pd.DataFrame({"doc_id": pdf["doc_id"][held], "p": judged[held]})
-            out["weights"] = None
-            if pdf["model"].iloc[0] == FOLDS:
-                out = pd.DataFrame({"doc_id": [None], "p": [None], "weights": [list(weights)]})
-            return out
-
         models = known.withColumn("model", F.explode(F.array(*[F.lit(f) for f in range(FOLDS + 1)])))
-        fitted = stored(models.groupBy("model").applyInPandas(model, "doc_id long, p double, weights array<double>"),
+        fitted = stored(models.groupBy("model").applyInPandas(fold_model(label, before, chosen), "doc_id long, p double, weights array<double>"),
                         f"toxicity-model-{i}")
         final = fitted.where("weights IS NOT NULL").first()
         weights = list(final.weights) if final else [0.0] * (len(chosen) + i) + [-30.0]
@@ -178,9 +184,7 @@ def judge(docs: DataFrame, chain: list[dict], text_column: str = "text") -> Data
     """Adds ``p_<category>`` for each category of the chain; one pass, no shuffle."""
     names = [f"p_{link['name']}" for link in chain]
     kept = docs.drop(*names)
-    schema = kept.schema
-    for name in names:
-        schema = schema.add(name, "double")
+    schema = T.StructType([*kept.schema.fields, *[T.StructField(name, T.DoubleType()) for name in names]])
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
