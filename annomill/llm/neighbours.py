@@ -181,7 +181,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         _signed, "node long, a long, b long, keys array<long>"), "signatures")
     same = stored(signed.groupBy("a", "b").agg(F.min("node").alias("first")), "same-shingles")
     firsts = signed.join(same.select(F.col("first").alias("node")), "node", "left_semi").dropDuplicates(["node"])
-    bands = stored(firsts.select("node", F.explode("keys").alias("key")).distinct(), "bands")
+    bands = stored(firsts.select("node", F.explode("keys").alias("key")), "bands")
     leaders = stored(bands.groupBy("key").agg(F.min("node").alias("other"), F.max("node").alias("last"))
                      .where("other <> last").select("key", "other"), "band-leaders")
     shared = stored(possible(bands, "key", leaders).join(leaders, "key"), "shared-bands")
