@@ -38,13 +38,14 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .blocks import LOWEST
 from .lines import keyed, possible
-from .words import Powers, Texts, mixed, running, slices, spans, texts, windows
+from .words import Powers, Texts, mixed, running, slices, small_batches, spans, texts, windows
 
 WORDS = 5
 SIMILAR = 0.8
 ROWS = 5
 BANDS = 26
 GOLDEN = 0x9E3779B97F4A7C15
+SLICE = 512 << 10
 
 
 def shingles(found: Texts, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,7 +102,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = Powers()
     for one in batches:
-        for part in slices(one, "text"):
+        for part in slices(one, "text", SLICE):
             found = texts(part, "text")
             doc, own, weight = shingles(found, powers)
             keys = band_keys(signatures(doc, own, weight, found.n, ROWS * BANDS))
@@ -140,8 +141,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return [(own[b:e], weight[b:e]) for b, e in zip(edges[:-1], edges[1:])]
 
     for one in batches:
-        for half in slices(one, "text"):
-            for part in slices(half, "other_text"):
+        for half in slices(one, "text", SLICE):
+            for part in slices(half, "other_text", SLICE):
                 linked = [similarity(x, y) >= SIMILAR for x, y in zip(sets(part, "text"), sets(part, "other_text"))]
                 yield part.select(["node", "other"]).filter(pa.array(linked, pa.bool_()))
 
@@ -172,6 +173,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``_doc, _rank, label`` of all documents; documents of a class have the same label."""
+    with small_batches(docs.sparkSession):
+        return _classes(docs, id_column, text_column)
+
+
+def _classes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rows, once = keyed(docs, id_column, text_column)
     node = F.when(F.col("_rank") == 0, F.col("_doc")).otherwise(F.xxhash64("_doc", "_rank"))
     columns = ["_doc", "_rank", node.alias("node"),

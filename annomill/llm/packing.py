@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 
 from .words import slices
 
-BLOCK_TOKENS = 2_000_000
-CACHED_UNITS = 1_000_000
+BLOCK_TOKENS = 1_000_000
+CACHED_UNITS = 500_000
 #: A single one of these after a letter is a piece of its own at a unit's end.
 MARKS = ".,;:!?"
 #: Sequences looked at, cheapest first, before a piece is cut.

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .words import Powers, letters_and_digits, slices, texts
+from .words import Powers, letters_and_digits, slices, small_batches, texts
 
 SAMPLE_ROWS = 20_000
 SLOT_BITS = 20
@@ -162,7 +162,11 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], rows:
     NULL.  Each fold's model, and the final one, is fitted in a task of its own
     from the sample, whose size is bounded.
     """
-    known = sample(docs, labels, categories, rows)
+    with small_batches(docs.sparkSession):
+        return _trained(sample(docs, labels, categories, rows), categories)
+
+
+def _trained(known: DataFrame, categories: dict[str, str]) -> list[dict]:
     chain = []
     for i, name in enumerate(categories):
         label, before = f"y{i}", [f"p{j}" for j in range(i)]

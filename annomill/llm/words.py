@@ -8,17 +8,35 @@ sums, so that a window of any length costs the same.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 BASE = 0x9E3779B97F4A7C15 | 1
 SECOND_BASE = 0xC2B2AE3D27D4EB4F | 1
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SPACES = np.array([0x20, *range(0x09, 0x0E)], dtype=np.uint8)
 
 
+#: Rows of text that move to Python at once; by default it would be ten thousand.
+BATCH_ROWS = "1000"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """For jobs run within: batches of fewer rows, which keeps long texts from piling up on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = values.astype(np.uint64, copy=True)
