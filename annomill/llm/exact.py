@@ -137,11 +137,12 @@ def deduplicated(spark: SparkSession, source: str, home: str | None = None, id_c
 
 def collisions(rows: DataFrame, entries: DataFrame) -> DataFrame:
     """Hits whose whole text differs from the content at their entry's place."""
-    several = entries.where("group_size > 1").select("digest", "best.file", "best.row")
-    hits = possible(rows, "digest", several).join(several.select("digest"), "digest", "left_semi")
-    content = possible(rows, "digest", several).join(several, ["digest", "file", "row"], "left_semi").select(
-        "digest", F.col("whole").alias("content"))
-    return hits.join(content, "digest").where("whole <> content").drop("content")
+    several = entries.where("group_size > 1").select(
+        "digest", F.col("best.file").alias("_file"), F.col("best.row").alias("_row"))
+    # An inner join: a semi join would be moved below the bitmap and shuffle every text.
+    hits = stored(possible(rows, "digest", several).join(several, "digest"), "exact-hits")
+    content = hits.where("file = _file AND row = _row").select("digest", F.col("whole").alias("content"))
+    return hits.join(content, "digest").where("whole <> content").select(rows.columns)
 
 
 def regrouped(odd: DataFrame) -> DataFrame:

@@ -148,7 +148,7 @@ def near_lines(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """``h, g`` of lines with an earlier line one edit apart."""
     cut = halves(lines)
     keys = stored(shared(cut), "line-halves")
-    some = possible(cut, "key", keys).join(keys, "key", "left_semi").select("h", "g").distinct()
+    some = possible(cut, "key", keys).join(keys, "key").select("h", "g").distinct()
     some = stored(some.join(firsts, ["h", "g"]), "line-candidates")
     texts = possible(lines.withColumn("key", F.col("h")), "key", some.select(F.col("h").alias("key"))).drop("key")
     texts = stored(texts.join(some, ["h", "g", "place"]).dropDuplicates(["h", "g"]), "line-texts")
