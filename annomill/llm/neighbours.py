@@ -46,6 +46,8 @@ ROWS = 5
 BANDS = 26
 GOLDEN = 0x9E3779B97F4A7C15
 SLICE = 512 << 10
+#: Members of a bucket's largest class that others are compared with before all are.
+MEMBERS = 8
 
 
 def shingles(found: Texts, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,21 +156,51 @@ def linked(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return both.select("node", "other", "text", "other_text").mapInArrow(_compared, "node long, other long")
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """``node, label`` from ``node, other`` with one lower ``other`` for each node: where the pointers end."""
+    labels = parents.select("node", F.col("other").alias("label"))
+    while True:
+        further = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        ahead = stored(labels.join(further, "label", "left").select("node", "label", "next"), "roots")
+        if ahead.where("next IS NOT NULL").isEmpty():
+            return labels
+        labels = ahead.select("node", F.coalesce("next", "label").alias("label"))
+
+
 def components(links: DataFrame) -> DataFrame:
-    """``node, label`` of all linked nodes; the label is the lowest node that links lead to."""
-    edges = stored(links.select("node", "other").union(links.select("other", "node")).distinct(), "links")
-    labels = stored(edges.groupBy("node").agg(F.min("other").alias("m"))
-                    .select("node", F.least("node", "m").alias("label")), "labels")
+    """``node, label`` of all linked nodes; the label is the lowest node that links lead to.
+
+    In each round a node takes the lowest label around it, and then that label's own;
+    the sum of the labels falls until nothing changes.
+    """
+    edges = stored(links.select("node", "other").union(links.select("other", "node")), "links")
+    labels = edges.select("node", F.col("node").alias("label")).distinct()
+    before = None
     while True:
-        near = edges.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(
-            F.min("label").alias("m"))
-        lower = labels.join(near, "node").select("node", "label", F.least("label", "m").alias("low"))
-        jump = labels.select(F.col("node").alias("low"), F.col("label").alias("far"))
-        new = stored(lower.join(jump, "low").select("node", "label", F.least("low", "far").alias("new")), "labels")
-        changed = not new.where("new <> label").isEmpty()
-        labels = new.select("node", F.col("new").alias("label"))
-        if not changed:
+        labels = stored(labels, "labels")
+        total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+        if total == before:
             return labels
+        before = total
+        near = edges.join(labels.withColumnRenamed("node", "other"), "other").select("node", "label")
+        lowest = stored(near.union(labels.select("node", "label")).groupBy("node").agg(F.min("label").alias("label")),
+                        "lowest")
+        jump = lowest.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        labels = lowest.join(jump, "label").select("node", F.least("label", "far").alias("label"))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links, which are few; they are followed between classes, not nodes."""
+    known = labels.select("node", F.col("label").alias("x"))
+    ends = links.join(known, "node", "left").join(
+        known.select(F.col("node").alias("other"), F.col("x").alias("y")), "other", "left")
+    between = ends.select("node", "other", F.coalesce("x", "node").alias("x"), F.coalesce("y", "other").alias("y"))
+    found = components(between.select(F.col("x").alias("node"), F.col("y").alias("other")))
+    more = between.select("node", F.col("x").alias("label")).union(between.select("other", "y")).union(
+        found.select("node", F.col("node").alias("label")))
+    every = labels.union(more.join(labels, "node", "left_anti").distinct())
+    lower = found.select(F.col("node").alias("label"), F.col("label").alias("low"))
+    return stored(every.join(lower, "label", "left").select("node", F.coalesce("low", "label").alias("label")), "merged")
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -186,19 +218,18 @@ def _classes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     signed = stored(named.select("node", "text").mapInArrow(
         _signed, "node long, a long, b long, keys array<long>"), "signatures")
     same = stored(signed.groupBy("a", "b").agg(F.min("node").alias("first")), "same-shingles")
-    firsts = signed.join(same.select(F.col("first").alias("node")), "node", "left_semi").dropDuplicates(["node"])
+    firsts = signed.join(same.select(F.col("first").alias("node")), "node", "left_semi")
     bands = stored(firsts.select("node", F.explode("keys").alias("key")), "bands")
     leaders = stored(bands.groupBy("key").agg(F.min("node").alias("other"), F.max("node").alias("last"))
                      .where("other <> last").select("key", "other"), "band-leaders")
     shared = stored(possible(bands, "key", leaders).join(leaders, "key"), "shared-bands")
     involved = shared.select("node").distinct()
-    held = stored(possible(named, "node", involved).select("node", "text").join(involved, "node")
-                  .dropDuplicates(["node"]), "candidate-texts")
-    stars = shared.where("node <> other").select("node", "other").distinct()
-    nearest = stars.groupBy("node").agg(F.min("other").alias("other"))
-    links = stored(linked(nearest, held), "links-1")
-    labels = components(links)
-    seen = stored(nearest, "pairs-1")
+    held = stored(possible(named, "node", involved).select("node", "text").join(involved, "node"),
+                  "candidate-texts")
+    stars = stored(shared.where("node <> other").select("node", "other").distinct(), "stars")
+    nearest = stored(stars.groupBy("node").agg(F.min("other").alias("other")), "pairs-1")
+    labels = stored(roots(stored(linked(nearest, held), "links-1")), "labels-1")
+    seen = nearest
 
     def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs in different classes that have not been compared."""
@@ -208,31 +239,55 @@ def _classes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             "coalesce(x, node) <> coalesce(y, other)").select("node", "other")
         return split.join(seen, ["node", "other"], "left_anti")
 
+    def with_links_of(pairs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+        if pairs.isEmpty():
+            return labels
+        links = stored(linked(pairs, held), label)
+        return labels if links.isEmpty() else merged(labels, links)
+
     rest = stored(apart(stars, labels), "pairs-2")
-    if not rest.isEmpty():
-        links = links.union(stored(linked(rest, held), "links-2"))
-        seen = seen.union(rest)
-        labels = components(links)
-    rest = stored(apart(_cross(shared, labels), labels), "pairs-3")
-    if not rest.isEmpty():
-        links = links.union(stored(linked(rest, held), "links-3"))
-        labels = components(links)
-    named_same = signed.select("node", "a", "b").join(same, ["a", "b"]).select("node", "first").distinct()
+    labels = with_links_of(rest, labels, "links-2")
+    seen = seen.union(rest)
+    rest = stored(apart(_with_largest(shared, labels), labels), "pairs-3")
+    labels = with_links_of(rest, labels, "links-3")
+    seen = seen.union(rest)
+    labels = with_links_of(stored(apart(_cross(shared, labels), labels), "pairs-4"), labels, "links-4")
+    named_same = signed.select("node", "a", "b").join(same, ["a", "b"]).select("node", "first")
     label = named_same.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
         "node", F.coalesce("label", "first").alias("label"))
     return stored(every.select("_doc", "_rank", "node").join(label, "node").select("_doc", "_rank", "label"), "classes")
 
 
+def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, node, label`` of the buckets with several classes, which are few."""
+    labelled = shared.select("key", "node").join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
+    mixed_keys = stored(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
+        "low <> high").select("key"), "mixed-keys")
+    return stored(labelled.join(mixed_keys, "key"), "mixed-buckets")
+
+
+def _with_largest(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of a bucket's other nodes with a few nodes of its largest class.
+
+    A class of thousands of copies has strays that are like some of them but not
+    like the lowest; most find one here, which spares comparing them with all.
+    """
+    left = _mixed(shared, labels)
+    some = F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(MEMBERS)])
+    sides = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(some).alias("members"))
+    largest = sides.groupBy("key").agg(F.max(F.struct("n", "label", "members")).alias("best")).select("key", "best.*")
+    rest = left.join(largest.withColumnRenamed("label", "most"), "key").where("label <> most")
+    pairs = rest.select("node", F.explode("members").alias("other"))
+    return pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
+
+
 def _cross(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of different classes that share a bucket; the lower node second.
 
     Buckets of one class, which is nearly all of them, do not take part.
     """
-    labelled = shared.select("key", "node").join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"))
-    mixed_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
-        "low <> high").select("key")
-    left = stored(labelled.join(mixed_keys, "key", "left_semi"), "mixed-buckets")
+    left = _mixed(shared, labels)
     right = left.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
     return left.join(right, "key").where("label <> other_label AND other < node").select("node", "other").distinct()
 
