@@ -44,28 +44,35 @@ def good_rows(outputs: DataFrame, on_bad_row: str = "quarantine") -> DataFrame:
     raise ValueError("on_bad_row must be 'quarantine' or 'drop_file'")
 
 
-def filter_finish_reason(rows: DataFrame, reason: str | None) -> DataFrame:
-    """Rows of one finish bucket: ``stop``, ``length``, ``other``; None keeps all."""
+def _has_reason(reason: str | None):
     if reason is None:
-        return rows
+        return F.lit(True)
     if reason == OTHER_FINISH_REASON:
-        return rows.filter(~F.coalesce(F.col("finish_reason").isin(*NAMED_FINISH_REASONS),
-                                       F.lit(False)))
+        return ~F.coalesce(F.col("finish_reason").isin(*NAMED_FINISH_REASONS), F.lit(False))
     if reason in NAMED_FINISH_REASONS:
-        return rows.filter(F.col("finish_reason") == reason)
+        return F.col("finish_reason").eqNullSafe(reason)
     raise ValueError("finish reason must be 'stop', 'length', 'other' or None")
 
 
-def filter_outcome(
-    annotations: DataFrame, only_succeed: bool = False, only_failed: bool = False
-) -> DataFrame:
+def filter_finish_reason(rows: DataFrame, reason: str | None) -> DataFrame:
+    """Rows of one finish bucket: ``stop``, ``length``, ``other``; None keeps all."""
+    wanted = _has_reason(reason)
+    return rows if reason is None else rows.filter(wanted)
+
+
+def _has_outcome(only_succeed: bool, only_failed: bool):
     if only_succeed and only_failed:
         raise ValueError("only_succeed and only_failed exclude each other")
     if only_succeed:
-        return annotations.filter(F.col("level").isNotNull())
-    if only_failed:
-        return annotations.filter(F.col("level").isNull())
-    return annotations
+        return F.col("level").isNotNull()
+    return F.col("level").isNull() if only_failed else F.lit(True)
+
+
+def filter_outcome(
+    annotations: DataFrame, only_succeed: bool = False, only_failed: bool = False
+) -> DataFrame:
+    wanted = _has_outcome(only_succeed, only_failed)
+    return annotations.filter(wanted) if only_succeed or only_failed else annotations
 
 
 def annotate_long(
@@ -95,6 +102,30 @@ def annotate_long(
     return filter_outcome(rows.select(*columns, *keep), only_succeed, only_failed)
 
 
+def annotate_marked(
+    outputs: DataFrame,
+    finish_reason: str | None = None,
+    only_succeed: bool = False,
+    only_failed: bool = False,
+    only_levels: bool = False,
+    guard_section_number: bool = False,
+) -> DataFrame:
+    """Annotations and bad lines together, told apart by ``quarantined``; one pass.
+
+    ``custom_id, demand, part, level[, finish_reason, model_response], file_path,
+    corrupt_record``: the last two are for bad lines, which have no level.
+    """
+    bad = _bad_row()
+    answer = F.when(~bad & (F.col("finish_reason") == "stop"), extract_level(F.col("content"), guard_section_number))
+    marked = outputs.withColumn("quarantined", bad).withColumn("level", answer)
+    rows = marked.where(F.col("quarantined") | _has_reason(finish_reason) & _has_outcome(only_succeed, only_failed))
+    texts = [] if only_levels else ["finish_reason", F.col("content").alias("model_response")]
+    return rows.select(
+        "custom_id", "demand", "part", "level", *texts, "quarantined",
+        F.when(F.col("quarantined"), F.col("file_path")).alias("file_path"), "corrupt_record",
+    )
+
+
 def only_levels(annotations: DataFrame) -> DataFrame:
     return annotations.select("custom_id", "demand", "level")
 

@@ -8,32 +8,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import MODEL_PRICES
+from ..functions.paths import shared_keys
 from ..functions.pricing import Prices, price_of
-from ..sources.prompts import prompt_map
-from .sizes import SLICE_ROWS, sliced_join
+from ..sources.prompts import only_prompts, prompt_map
+from .sizes import sliced_join
 
 
 def attach_prompts(
     annotations: DataFrame,
     prompts: DataFrame,
     order_by: Column | None = None,
-    slice_rows: int = SLICE_ROWS,
-    unique_ids: bool = False,
-    keys: DataFrame | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``prompt`` by ``custom_id``; an unknown id gets ``""``.
 
     ``order_by`` decides between several prompts of one id (the greatest
-    counts); without it ``prompts`` must have one row per id.  Say
-    ``unique_ids`` if the annotations have one row per id, as the wide forms
-    do: then no key can be hot and none is looked for.  ``keys`` may name a
-    cheaper frame to count ids in, such as the outputs before any filter.
+    counts); without it an id with several prompts is an error.  A prompt table
+    never multiplies annotations.  Adaptive execution splits the partitions of
+    ids with very many annotations; where it is off, ``slice_rows`` cuts such
+    ids into slices after counting them.
     """
-    source = prompts.select("custom_id", "prompt") if order_by is None else prompt_map(prompts, order_by)
-    if unique_ids:
+    source = only_prompts(prompts) if order_by is None else prompt_map(prompts, order_by)
+    if slice_rows is None:
         joined = annotations.join(source, "custom_id", "left")
     else:
-        joined = sliced_join(annotations, source, "custom_id", "left", slice_rows, keys)
+        joined = sliced_join(annotations, source, "custom_id", "left", slice_rows)
     return joined.select(*annotations.columns, F.coalesce("prompt", F.lit("")).alias("prompt"))
 
 
@@ -71,14 +70,17 @@ def completed_jobs(ledger: DataFrame, jobs: DataFrame, status: str = "completed"
 
 def completed_by_output(ledger: DataFrame, outputs: DataFrame) -> DataFrame:
     """Ledger rows whose part has output."""
-    return ledger.join(outputs.select("part").distinct(), "part", "left_semi").select(*ledger.columns)
+    place = shared_keys(ledger.columns, outputs.columns)
+    return ledger.join(outputs.select(*place).distinct(), place, "left_semi").select(*ledger.columns)
 
 
 def missing_parts(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Parts with input but no output: ``demand, part``."""
-    return inputs.select("demand", "part").distinct().join(
-        outputs.select("part").distinct(), "part", "left_anti"
-    ).select("demand", "part")
+    """Parts with input but no output: ``demand, part``, and their run if both tables have it."""
+    place = shared_keys(inputs.columns, outputs.columns)
+    columns = ["demand", *place]
+    return inputs.select(*columns).distinct().join(
+        outputs.select(*place).distinct(), place, "left_anti"
+    ).select(*columns)
 
 
 def unknown_demands(names: Sequence[str], rubrics: DataFrame) -> DataFrame:

@@ -24,6 +24,14 @@ def filter_demands(rubrics: DataFrame, acronyms: str | Sequence[str]) -> DataFra
     return found
 
 
+def checked_acronyms(rubrics: DataFrame) -> DataFrame:
+    """The rubrics; an acronym that stands twice is an error."""
+    twice = rubrics.groupBy("acronym").count().where("count > 1").orderBy("acronym").limit(5).collect()
+    if twice:
+        raise ValueError("several rubrics are called " + ", ".join(row["acronym"] for row in twice))
+    return rubrics
+
+
 def _named(part: str, name: str, anywhere: bool) -> Column:
     return F.col(part).contains(name) if anywhere else F.col(part).startswith(name)
 
@@ -87,14 +95,14 @@ def pair_with(rows: DataFrame, dimension: DataFrame, limit: int = IN_MEMORY_BYTE
 
 def expand_requests(prompts: DataFrame, rubrics: DataFrame) -> DataFrame:
     """Prompts by rubrics: the prompt columns, ``demand``, ``full_name`` and ``content``."""
-    dimension = rubrics.select(F.col("acronym").alias("demand"), "full_name", "content")
+    dimension = checked_acronyms(rubrics).select(F.col("acronym").alias("demand"), "full_name", "content")
     return pair_with(prompts, dimension)
 
 
 def request_halves(rubrics: DataFrame) -> DataFrame:
     """Per rubric the scoring text before and after the prompt:
     ``demand, prefix, suffix``."""
-    return rubrics.select(
+    return checked_acronyms(rubrics).select(
         F.col("acronym").alias("demand"),
         instruction_prefix(F.col("full_name"), F.col("content")).alias("prefix"),
         instruction_suffix(F.col("full_name")).alias("suffix"),

@@ -10,15 +10,11 @@ from .positions import POSITION
 # A dimension is held in every task only if it measures at most this much.
 IN_MEMORY_BYTES = 16 * 1024 * 1024
 
-# A join key with more rows than this may be cut into slices.
+# A join key with more rows than this is cut into slices of at most as many.
 SLICE_ROWS = 200_000
 
-# At most this many keys can be hot: each holds more than 1/MAX_HOT_KEYS of
-# all rows.
-MAX_HOT_KEYS = 5_000
-
-# Rows that match nothing because their key is NULL are spread this wide.
-NULL_SLICES = 1_024
+# Rows that match nothing because their key is NULL get slices of their own.
+_NULL_SLICES = (1 << 31) - 1
 
 
 def fits_in_memory(frame: DataFrame, limit: int = IN_MEMORY_BYTES) -> bool:
@@ -30,17 +26,13 @@ def fits_in_memory(frame: DataFrame, limit: int = IN_MEMORY_BYTES) -> bool:
 def hot_slices(frame: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Keys with many rows and the number of slices each needs: ``key, slices``.
 
-    A key counts as hot above ``slice_rows`` rows and above
-    ``1/MAX_HOT_KEYS`` of all rows, so fewer than ``MAX_HOT_KEYS`` rows come
-    back whatever the input: small enough to broadcast.
+    At most one row in ``slice_rows`` comes back, however large the input is.
     """
     # Without NULLs, which join nothing, this is the plan the join will ask for
     # as well, so the keys are counted once.
     counts = frame.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("n")).scalar()
-    limit = F.greatest(F.lit(slice_rows), F.floor(total / MAX_HOT_KEYS))
-    return counts.filter(F.col("n") > limit).select(
-        key, F.ceil(F.col("n") / limit).cast("int").alias("slices")
+    return counts.filter(F.col("n") > slice_rows).select(
+        key, F.ceil(F.col("n") / slice_rows).cast("int").alias("slices")
     )
 
 
@@ -56,7 +48,8 @@ def sliced_join(
 
     Rows of a hot key are dealt over slices by their place in the input; the
     right side repeats that key's rows once per slice.  Other keys have one
-    slice.  The result is that of the plain join.
+    slice.  The result is that of the plain join.  Spark decides by its size how
+    the table of hot keys is joined.
 
     The place must not change when a lost task runs again.  It is taken from
     the ``POSITION`` columns if ``left`` has them; else ``left`` should be a
@@ -67,10 +60,10 @@ def sliced_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot slice a {how} join")
     counted = left if keys is None else keys
-    hot = F.broadcast(hot_slices(counted.select(key), key, slice_rows))
+    hot = hot_slices(counted.select(key), key, slice_rows)
     placed = all(name in left.columns for name in POSITION)
     place = F.xxhash64(*POSITION) if placed else F.monotonically_increasing_id()
-    slices = F.when(F.col(key).isNull(), NULL_SLICES).otherwise(F.coalesce("slices", F.lit(1)))
+    slices = F.when(F.col(key).isNull(), _NULL_SLICES).otherwise(F.coalesce("slices", F.lit(1)))
     dealt = (
         left.withColumn("_place", place)
         .join(hot, key, "left")

@@ -119,6 +119,30 @@ def _deal(index: Column, n: Column, parts: Column) -> tuple[Column, Column, Colu
     return number.cast("bigint"), row.cast("bigint"), size.cast("bigint")
 
 
+def part_name(demand: str, need_split: str, number: Column) -> Column:
+    """A demand that needs no split is one part named after it."""
+    name = F.when(F.col(need_split), F.concat(demand, F.lit("_part"), number.cast("string")))
+    return F.coalesce(name, demand)
+
+
+def deal_once(indexed: DataFrame, plan: DataFrame) -> DataFrame:
+    """Every indexed prompt once for each number of parts that demands are cut into.
+
+    Adds ``_parts, part_no, part_row``.  Demands with equally many parts are cut at
+    the same prompts, so there are few of these numbers, often one.
+    """
+    cuts = plan.select(parts_of(plan).cast("bigint").alias("_parts")).distinct()
+    number, row, _ = _deal(F.col("row_index"), F.col("n_rows"), F.col("_parts"))
+    return pair_with(indexed, cuts).withColumns({"part_no": number, "part_row": row})
+
+
+def demands_by_parts(plan: DataFrame) -> Column:
+    """``_parts`` to the demands with so many parts, as one constant map."""
+    cut = plan.select(parts_of(plan).cast("bigint").alias("_parts"), F.struct("demand", "need_split").alias("d"))
+    grouped = cut.groupBy("_parts").agg(F.collect_list("d").alias("ds"))
+    return grouped.agg(F.map_from_entries(F.collect_list(F.struct("_parts", "ds")))).scalar()
+
+
 def assign_parts(indexed: DataFrame, plan: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every indexed prompt with every demand of the plan, and its part.
 
@@ -129,9 +153,8 @@ def assign_parts(indexed: DataFrame, plan: DataFrame, carry: tuple[str, ...] = (
     dimension = plan.select("demand", parts_of(plan).alias("_parts"), "need_split", *carry)
     pairs = pair_with(indexed, dimension)
     number, row, size = _deal(F.col("row_index"), F.col("n_rows"), F.col("_parts"))
-    name = F.when(F.col("need_split"), F.concat("demand", F.lit("_part"), number.cast("string")))
     return pairs.select(
-        *indexed.columns, "demand", F.coalesce(name, "demand").alias("part"),
+        *indexed.columns, "demand", part_name("demand", "need_split", number).alias("part"),
         number.alias("part_no"), row.alias("part_row"), size.alias("part_rows"), *carry,
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import MODEL_PRICES
+from ..functions.paths import shared_keys
 from ..functions.pricing import Prices, price_of
 from ..functions.times import iso_utc
 
@@ -16,6 +17,11 @@ _FILE = ("file_path", "file_block")
 _SUMS = ("n", "prompt_tokens", "completion_tokens", "completion_squares", "stop", "length", "other")
 
 
+def _place(frame: DataFrame) -> list[str]:
+    """What names a part: its run too, if the frame has it."""
+    return ["run", "part"] if "run" in frame.columns else ["part"]
+
+
 def _percent(count: Column, total: Column) -> Column:
     return F.try_divide(count * 100.0, total)
 
@@ -35,10 +41,14 @@ def annotation_summary(annotations: DataFrame, *by: str) -> DataFrame:
     """``total``, and count and percent of successful and failed annotations.
 
     Over everything, or per group of ``by``.  Over everything, no annotations
-    is an error.
+    is an error.  Lines that are marked as ``quarantined`` are no annotations;
+    where there is such a mark their number is added as ``bad``.
     """
+    marked = "quarantined" in annotations.columns
+    good = ~F.col("quarantined") if marked else F.lit(True)
     counted = annotations.groupBy(*by).agg(
-        F.count("*").alias("total"), F.count("level").alias("successful")
+        F.count_if(good).alias("total"), F.count_if(good & F.col("level").isNotNull()).alias("successful"),
+        *([F.count_if(F.col("quarantined")).alias("bad")] if marked else []),
     )
     total = F.col("total")
     if not by:
@@ -47,7 +57,7 @@ def annotation_summary(annotations: DataFrame, *by: str) -> DataFrame:
     return counted.select(
         *by, total.alias("total"), "successful",
         _percent(F.col("successful"), total).alias("successful_percent"),
-        failed.alias("failed"), _percent(failed, total).alias("failed_percent"),
+        failed.alias("failed"), _percent(failed, total).alias("failed_percent"), *(["bad"] if marked else []),
     )
 
 
@@ -72,11 +82,12 @@ def usage_partials(outputs: DataFrame) -> DataFrame:
     reason = F.col("finish_reason")
     completion = F.coalesce("completion_tokens", F.lit(0))
     lines = outputs.filter(F.col("corrupt_record").isNull())
-    return lines.groupBy("part", "model", *_FILE).agg(
+    exact = completion.cast("decimal(19,0)")
+    return lines.groupBy(*_place(outputs), "model", *_FILE).agg(
         F.count("*").alias("n"),
         F.sum(F.coalesce("prompt_tokens", F.lit(0))).alias("prompt_tokens"),
         F.sum(completion).alias("completion_tokens"),
-        F.sum(completion.cast("double") * completion).alias("completion_squares"),
+        F.sum((exact * exact).cast("decimal(28,0)")).alias("completion_squares"),
         F.max(completion).alias("max_completion"),
         F.min(completion).alias("min_completion"),
         F.count_if(reason.eqNullSafe("stop")).alias("stop"),
@@ -86,18 +97,34 @@ def usage_partials(outputs: DataFrame) -> DataFrame:
     )
 
 
+def add_partials(partials: DataFrame) -> DataFrame:
+    """Partial sums of the same form, one row per part and model; the last line's place is kept."""
+    return partials.groupBy(*_place(partials), "model").agg(
+        F.max(F.struct(*_FILE, "last_pos")).alias("_last"),
+        *[F.sum(name).cast(partials.schema[name].dataType).alias(name) for name in _SUMS],
+        F.max("max_completion").alias("max_completion"), F.min("min_completion").alias("min_completion"),
+    ).select(*_place(partials), "model", "_last.*", *_SUMS, "max_completion", "min_completion").select(partials.columns)
+
+
 def merge_usage(partials: DataFrame) -> DataFrame:
-    """One row per part from its partial sums."""
-    merged = partials.groupBy("part").agg(
+    """One row per part from its partial sums.
+
+    The deviation comes from whole numbers, ``n * sum(x * x) - sum(x) ** 2``, so it is
+    exact up to its last step however large the mean is.
+    """
+    place = _place(partials)
+    merged = partials.groupBy(*place).agg(
         *[F.sum(name).alias(name) for name in _SUMS],
         F.max("max_completion").alias("max_completion"),
         F.min("min_completion").alias("min_completion"),
         F.max_by("model", F.struct(*_FILE, "last_pos", "model")).alias("model"),
     )
     n, total = F.col("n"), F.col("completion_tokens").cast("double")
-    variance = F.greatest((F.col("completion_squares") - total * total / n) / (n - 1), F.lit(0.0))
+    whole = F.col("completion_tokens").cast("decimal(19,0)")
+    spread = F.col("completion_squares") * n - whole * whole
+    variance = spread.cast("double") / (n * (n - 1)).cast("double")
     return merged.select(
-        "part", "model", "n", "prompt_tokens", "completion_tokens",
+        *place, "model", "n", "prompt_tokens", "completion_tokens",
         (total / n).alias("avg_completion"),
         F.when(n > 1, F.sqrt(variance)).alias("std_completion"),
         "max_completion", "min_completion", "stop", "length", "other",
@@ -111,7 +138,7 @@ def batch_usage(outputs: DataFrame) -> DataFrame:
 
 
 def finish_reason_counts(usage: DataFrame) -> DataFrame:
-    return usage.select("part", "stop", "length", "other", F.col("n").alias("total"))
+    return usage.select(*_place(usage), "stop", "length", "other", F.col("n").alias("total"))
 
 
 def batch_cost(usage: DataFrame, prices: Prices = MODEL_PRICES, match: str = "first") -> DataFrame:
@@ -130,16 +157,23 @@ def batch_summary(
 ) -> DataFrame:
     """One row per batch: its metadata with the usage and cost of its part.
 
-    A batch without output has zero usage; a running one has no duration.
+    A batch without output has zero usage; a running one has no duration.  Usage of
+    several runs needs metadata that says which run each batch belongs to.
     """
+    if "run" in usage.columns and "run" not in metadata.columns:
+        raise ValueError("the usage is per run, but the metadata does not name runs")
     cost = batch_cost(usage, prices, match)
-    joined = metadata.join(cost, "part", "left")
+    place = shared_keys(metadata.columns, usage.columns)
+    joined = metadata.join(cost, place, "left")
+    run = [name for name in ("run",) if name in metadata.columns]
 
     def zero(name):
         return F.coalesce(name, F.lit(0))
 
-    failed = F.col("errors").isNotNull()
+    # An empty object or list is no error.
+    failed = F.col("errors").isNotNull() & ~F.btrim("errors").isin("", "{}", "[]", "null", "false", "0", '""')
     return joined.select(
+        *run,
         F.col("id").alias("batch_id"), "model", "status",
         iso_utc(F.col("created_at")).alias("created_at"),
         iso_utc(F.col("completed_at")).alias("completed_at"),
@@ -169,32 +203,38 @@ def batch_summary(
 
 # --- Over all batches --------------------------------------------------------
 
+def _with_overall_mean(summaries: DataFrame) -> DataFrame:
+    """Adds ``_overall``: mean completion tokens over all batches, weighted with their requests."""
+    n, mean = F.col("requests_total"), F.coalesce("tokens_avg_completion", F.lit(0.0))
+    overall = summaries.agg(F.try_divide(F.sum(n * mean), F.sum(n)).alias("mean")).scalar()
+    return summaries.withColumn("_overall", overall)
+
+
 def _pooled_sums() -> list[Column]:
-    n = F.col("requests_total")
-    mean = F.coalesce("tokens_avg_completion", F.lit(0.0))
+    n, overall = F.col("requests_total"), F.col("_overall")
+    off = F.coalesce("tokens_avg_completion", F.lit(0.0)) - overall
     std = F.coalesce("tokens_std_completion", F.lit(0.0))
     return [
         F.coalesce(F.sum("tokens_completion"), F.lit(0)).alias("tokens_completion"),
         F.sum(n).alias("_n"),
-        F.sum(n * mean).alias("_sum"),
-        # Squares within the batches, and of the batches' means.
-        F.sum((n - 1) * std * std + n * mean * mean).alias("_squares"),
+        F.max(overall).alias("_mean"),
+        # Squares within the batches, and of the batches' means around the overall one.
+        F.sum((n - 1) * std * std + n * off * off).alias("_squares"),
         F.max("tokens_max_completion").alias("_max"),
         F.min("tokens_min_completion").alias("_min"),
     ]
 
 
 def _pooled_columns() -> list[Column]:
-    n, mean = F.col("_n"), F.try_divide(F.col("_sum"), F.col("_n"))
-    squares = F.greatest(F.col("_squares") - n * mean * mean, F.lit(0.0))
-    deviation = F.when(n > 1, F.sqrt(squares / (n - 1))).otherwise(0.0)
+    n = F.col("_n")
+    deviation = F.when(n > 1, F.sqrt(F.greatest(F.col("_squares"), F.lit(0.0)) / (n - 1))).otherwise(0.0)
 
     def or_zero(value, zero):
         return F.when(F.col("tokens_completion") > 0, value).otherwise(F.lit(zero))
 
     return [
         F.col("tokens_completion"),
-        or_zero(mean, 0.0).alias("tokens_avg_completion"),
+        or_zero(F.col("_mean"), 0.0).alias("tokens_avg_completion"),
         or_zero(deviation, 0.0).alias("tokens_std_completion"),
         or_zero(F.col("_max"), 0).alias("tokens_max_completion"),
         or_zero(F.col("_min"), 0).alias("tokens_min_completion"),
@@ -205,15 +245,15 @@ def pooled_token_stats(summaries: DataFrame) -> DataFrame:
     """Completion tokens of all batches from their summaries alone.
 
     Means and deviations are weighted with ``requests_total``: the variance is
-    ``(sum (n-1) s^2 + sum n (m-M)^2) / (N-1)`` with M the overall mean, taken
-    apart so that one pass suffices.  All zero if no batch has completion
-    tokens.
+    ``(sum (n-1) s^2 + sum n (m-M)^2) / (N-1)`` with M the overall mean, which is
+    taken first: the summaries are few, and nothing cancels.  All zero if no batch
+    has completion tokens.
     """
-    return summaries.agg(*_pooled_sums()).select(*_pooled_columns())
+    return _with_overall_mean(summaries).agg(*_pooled_sums()).select(*_pooled_columns())
 
 
 def general_summary(summaries: DataFrame) -> DataFrame:
-    """One row over all batch summaries, from one pass.
+    """One row over all batch summaries.
 
     ``demands`` and ``models`` list what occurs; both are as short as the
     rubric table and the service's model list.  The parts themselves can be
@@ -226,9 +266,9 @@ def general_summary(summaries: DataFrame) -> DataFrame:
             "finish_stop", "finish_length", "finish_other",
             "tokens_prompt", "tokens_total", "cost_prompt", "cost_completion", "cost_total"]
     finished = F.col("finish_stop") + F.col("finish_length") + F.col("finish_other")
-    return summaries.agg(
+    return _with_overall_mean(summaries).agg(
         F.count("*").alias("batches"),
-        F.count_distinct("subdomain").alias("n_subdomains"),
+        F.count_distinct(*[name for name in ("run",) if name in summaries.columns], "subdomain").alias("n_subdomains"),
         F.sort_array(F.collect_set(demand)).alias("demands"),
         F.sort_array(F.collect_set("model")).alias("models"),
         F.avg("duration").alias("duration_mean"),

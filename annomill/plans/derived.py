@@ -92,18 +92,23 @@ def outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch metadata per part of ``outputs``."""
+    return metadata_of(outputs(spark, sf_dir))
+
+
+def metadata_of(answers: DataFrame, *run: str) -> DataFrame:
+    """Batch metadata per part, and per run if there are several."""
     first, tokens = F.col("first"), F.col("tokens")
     failed_part = F.col("demand") == "CD"
     return (
-        outputs(spark, sf_dir).groupBy("demand", "part")
+        answers.groupBy(*run, "demand", "part")
         .agg(
             F.count("*").alias("n"), F.min("file_pos").alias("first"),
             F.sum("completion_tokens").alias("tokens"),
             F.count_if(F.col("finish_reason") == "content_filter").alias("refused"),
         )
         .select(
-            "demand", "part",
-            F.concat(F.lit("batch_"), "part").alias("id"),
+            *run, "demand", "part",
+            F.concat(F.lit("batch_"), *run, "part").alias("id"),
             F.when(failed_part, "failed").when(F.col("demand") == "CE", "in_progress")
             .otherwise("completed").alias("status"),
             (first + 1700000000).alias("created_at"),
@@ -178,22 +183,16 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rubric_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rubric file's text per document source: ``acronym, value``.
+    """A rubric file's text per document, with its whole text in level 0: ``acronym, value``.
 
-    Level k is illustrated by the source's first document whose number over 20
-    is k mod 6; a source without one lacks that level.  Names that end in 7
-    miss the hash sign.
+    Files of documents whose number ends in 7 miss the hash sign.
     """
-    level = F.floor(F.col("doc_id") / 20) % 6
-    texts = table(spark, sf_dir, "documents").groupBy("source").agg(*[
-        F.min_by(F.when(level == k, F.col("text")), F.when(level == k, F.col("doc_id"))).alias(f"t{k}")
-        for k in range(6)
-    ])
-    mark = F.when(F.col("source").endswith("7"), "").otherwise("# ")
-    blocks = [F.concat(F.lit(f"Level {k}: "), f"t{k}", F.lit("\r\nExamples: none\r\n")) for k in range(6)]
-    return texts.select(
-        F.col("source").alias("acronym"),
-        F.concat(mark, F.lit("Source "), "source", F.lit("\r\n"), F.concat_ws("", *blocks)).alias("value"),
+    doc = F.col("doc_id").cast("string")
+    later = "".join(f"Level {k}: more\r\nExamples: none\r\n" for k in range(1, 6))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("D"), doc).alias("acronym"),
+        F.concat(F.when(doc.endswith("7"), "").otherwise("# "), F.lit("Document "), doc, F.lit("\r\nLevel 0: "), "text",
+                 F.lit("\r\nExamples: none\r\n" + later)).alias("value"),
     )
 
 
@@ -232,14 +231,14 @@ def prompt_files(spark: SparkSession, sf_dir: str, format: str) -> str:
     return written(spark, sf_dir, f"prompts-{format}", write)
 
 
-def output_lines(rows: DataFrame) -> DataFrame:
+def output_lines(rows: DataFrame, *further: str) -> DataFrame:
     """Flat output rows in the shape the service delivers them."""
     body = F.struct(
         "model",
         F.array(F.struct("finish_reason", F.struct("content").alias("message"))).alias("choices"),
         F.struct("prompt_tokens", "completion_tokens").alias("usage"),
     )
-    return rows.select("custom_id", F.struct(body.alias("body")).alias("response"), "part")
+    return rows.select("custom_id", F.struct(body.alias("body")).alias("response"), "part", *further)
 
 
 def landed(spark: SparkSession, sf_dir: str) -> str:
@@ -253,7 +252,7 @@ def landed(spark: SparkSession, sf_dir: str) -> str:
 def landed_broken(spark: SparkSession, sf_dir: str) -> str:
     """Outputs with bad lines in the parts of one demand: refused answers are
     cut short, and answers that ran out of length claim to have stopped but
-    have no text.  One file per part."""
+    have no text.  Each task writes its rows of every part to files of its own."""
     def write(path):
         rows = outputs(spark, sf_dir)
         here = F.col("demand") == "AB"
@@ -268,6 +267,20 @@ def landed_broken(spark: SparkSession, sf_dir: str) -> str:
             F.col("part.part").alias("part"),
         )
         # The text writer names its files .txt; the reader is told which to take.
-        lines.repartition("part").write.partitionBy("part").option("compression", "none").text(path)
+        lines.write.partitionBy("part").option("compression", "none").text(path)
 
     return written(spark, sf_dir, "landed-broken", write)
+
+
+def landed_runs(spark: SparkSession, sf_dir: str) -> str:
+    """``run=<run>/part=<part>/``: answers as ``*.json``, batch metadata as ``*.txt``; both runs have the same parts."""
+    def write(path):
+        run = F.when(F.col("file_pos") % 3 == 0, "run2").otherwise("run1")
+        answers = outputs(spark, sf_dir).withColumn("run", run)
+        output_lines(answers, "run").write.partitionBy("run", "part").json(path)
+        about = metadata_of(answers, "run")
+        fields = [name for name in about.columns if name not in ("run", "demand", "part")]
+        about.select(F.to_json(F.struct(*fields)).alias("value"), "run", "part").write.partitionBy(
+            "run", "part").mode("append").text(path)
+
+    return written(spark, sf_dir, "landed-runs", write)

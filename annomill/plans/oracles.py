@@ -96,7 +96,9 @@ _USAGE = """usage AS (
   SELECT part, arg_max(model, doc_id) AS model, CAST(count(*) AS BIGINT) AS n,
     CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens,
     CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens,
-    avg(completion_tokens) AS avg_completion, stddev_samp(completion_tokens) AS std_completion,
+    avg(completion_tokens) AS avg_completion,
+    sqrt(CAST(count(*) * sum(completion_tokens * completion_tokens) - sum(completion_tokens) * sum(completion_tokens) AS DOUBLE)
+      / CAST(count(*) * (count(*) - 1) AS DOUBLE)) AS std_completion,
     max(completion_tokens) AS max_completion, min(completion_tokens) AS min_completion,
     CAST(count(*) FILTER (finish_reason = 'stop') AS BIGINT) AS stop,
     CAST(count(*) FILTER (finish_reason = 'length') AS BIGINT) AS length,
@@ -211,8 +213,7 @@ def _summary(group: str) -> str:
     )
 
 
-_GENERAL = _over_outputs(
-    """SELECT CAST(count(*) AS BIGINT) AS batches, CAST(count(DISTINCT subdomain) AS BIGINT) AS n_subdomains,
+_GENERAL_SELECT = """SELECT CAST(count(*) AS BIGINT) AS batches, CAST(count(DISTINCT subdomain) AS BIGINT) AS n_subdomains,
       string_agg(DISTINCT split_part(subdomain, '_', 1), ',' ORDER BY split_part(subdomain, '_', 1)) AS demands,
       string_agg(DISTINCT model, ',' ORDER BY model) AS models,
       avg(duration) AS duration_mean, round(coalesce(stddev_samp(duration), 0), 6) AS duration_std,
@@ -233,9 +234,24 @@ _GENERAL = _over_outputs(
       (SELECT round(tokens_std_completion, 6) FROM pooled) AS tokens_std_completion,
       (SELECT tokens_max_completion FROM pooled) AS tokens_max_completion,
       (SELECT tokens_min_completion FROM pooled) AS tokens_min_completion
-    FROM summaries""",
-    *_FROM_SUMMARIES, _POOLED,
-)
+    FROM summaries"""
+_GENERAL = _over_outputs(_GENERAL_SELECT, *_FROM_SUMMARIES, _POOLED)
+
+
+def _over_runs(select: str, *more: str) -> str:
+    """As ``_over_outputs`` for answers in two runs whose parts have the same names."""
+    run = "CASE WHEN d.doc_id % 3 = 0 THEN 'run2' ELSE 'run1' END AS run"
+    return _with(
+        _RUBRICS, _OUTPUTS.replace("d.doc_id, r.acronym", f"d.doc_id, {run}, r.acronym"), _PRICES,
+        _USAGE.replace("SELECT part,", "SELECT run, part,").replace("GROUP BY part", "GROUP BY run, part"), _COST,
+        _METADATA.replace("SELECT demand, part, 'batch_' || part", "SELECT run, demand, part, 'batch_' || run || part")
+        .replace("GROUP BY demand", "GROUP BY run, demand"),
+        _SUMMARIES.replace("SELECT m.id", "SELECT m.run, m.id").replace("c.part = m.part", "c.part = m.part AND c.run = m.run"),
+        *more, select=select)
+
+
+_GENERAL_RUNS = _over_runs(_GENERAL_SELECT.replace("DISTINCT subdomain", "DISTINCT (run, subdomain)"), _POOLED)
+
 
 
 def _prefix_test(name: str) -> str:
@@ -282,9 +298,8 @@ _PER_DEMAND = """SELECT demand, CAST(count(*) AS BIGINT) AS n_prompts, CAST(sum(
 _LATEST_TURN = """SELECT CAST(conv_id AS VARCHAR) AS custom_id, arg_max(text, turn) AS prompt
     FROM conversations GROUP BY conv_id"""
 
-_RUBRIC_LEVELS = " || ".join(
-    f"coalesce('Level {k}: ' || (arg_min(text, doc_id) FILTER ((doc_id // 20) % 6 = {k})) || chr(10) || 'Examples: none' || chr(10), '')"
-    for k in range(6)
+_RUBRIC_LEVELS = "'Level 0: ' || text || chr(10) || 'Examples: none'" + "".join(
+    f" || chr(10) || 'Level {k}: more' || chr(10) || 'Examples: none'" for k in range(1, 6)
 )
 
 _CHECK = """CASE
@@ -319,9 +334,9 @@ ORACLES = {
     "read_prompts_parquet": _PROMPTS,
     "prompts_only": "SELECT text AS prompt FROM documents",
     "load_rubrics": _with(
-        f"files AS (SELECT source, trim({_RUBRIC_LEVELS}, ' ' || chr(9) || chr(10) || chr(13)) AS content FROM documents GROUP BY source)",
-        select=f"""SELECT source AS acronym, 'Source ' || source AS full_name, {_digest('content', 'content')}
-            FROM files WHERE NOT ends_with(source, '7') AND {_CHECK} = {_text(MSG_VALID)}""",
+        f"files AS (SELECT CAST(doc_id AS VARCHAR) AS doc, {_RUBRIC_LEVELS} AS content FROM documents)",
+        select=f"""SELECT 'D' || doc AS acronym, 'Document ' || doc AS full_name, {_digest('content', 'content')}
+            FROM files WHERE NOT ends_with(doc, '7') AND {_CHECK} = {_text(MSG_VALID)}""",
     ),
     "read_outputs": _over_outputs(
         f"""SELECT custom_id, demand, part, model, finish_reason, prompt_tokens, completion_tokens,
@@ -335,6 +350,11 @@ ORACLES = {
     "read_errors": _over_outputs(
         """SELECT demand, part, custom_id, '{"code":"content_filter","model":"' || model || '"}' AS error
           FROM outputs WHERE finish_reason = 'content_filter'"""),
+    "read_errors_whole": _over_outputs(
+        """SELECT demand, part, CASE WHEN doc_id % 4 <> 0 THEN custom_id END AS custom_id, CAST(NULL AS VARCHAR) AS error,
+            CASE WHEN doc_id % 4 <> 0 THEN '{"status_code":400}' END AS response,
+            CASE WHEN doc_id % 4 = 0 THEN '{"custom_id":"' || custom_id || '","response":{"status_code":400' END AS corrupt_record
+          FROM outputs WHERE finish_reason = 'content_filter'"""),
     "read_batch_metadata": _over_outputs("SELECT * FROM metadata", _METADATA),
     "job_ledger": _with(_LEDGER, select="SELECT * FROM ledger"),
     "write_requests": _with(
@@ -345,6 +365,12 @@ ORACLES = {
         select=f"""SELECT demand, CASE WHEN n > {MAX_LINES} THEN demand || '_part' || CAST(k AS VARCHAR) ELSE demand END AS part,
             custom_id, {_digest('instruction', 'content')} FROM rendered JOIN indexed USING (custom_id)""",
     ),
+    "write_requests_bytes": _with(
+        _RUBRICS, _RENDERED, _LINES, _SIZES,
+        f"""plan AS (SELECT *, n_bytes > {MAX_BYTES} AS need_split, (n_bytes + {MAX_BYTES} - 1) // {MAX_BYTES} AS num_parts
+            FROM sizes)""", _DEALT,
+        select=f"""SELECT demand, part, custom_id, {_digest('instruction', 'content')}
+            FROM dealt JOIN rendered USING (doc_id, demand)"""),
     "write_annotations_jsonl": _FROM_LONG,
     "write_annotations_csv": _FROM_LONG,
     "write_annotations_parquet": _FROM_LONG,
@@ -432,25 +458,35 @@ ORACLES = {
         _JOBS, _LEDGER,
         select="SELECT demand, part FROM ledger WHERE batch_id NOT IN (SELECT id FROM jobs WHERE status = 'completed')"),
     "annotation_summary": _summary("demand"),
+    "annotation_summary_broken": _over_outputs(
+        """SELECT demand, CAST(count(*) FILTER (NOT bad) AS BIGINT) AS total,
+            CAST(count(level) FILTER (NOT bad) AS BIGINT) AS successful,
+            CAST(100 AS DOUBLE) * count(level) FILTER (NOT bad) / count(*) FILTER (NOT bad) AS successful_percent,
+            CAST(count(*) FILTER (NOT bad AND level IS NULL) AS BIGINT) AS failed,
+            CAST(100 AS DOUBLE) * count(*) FILTER (NOT bad AND level IS NULL) / count(*) FILTER (NOT bad) AS failed_percent,
+            CAST(count(*) FILTER (bad) AS BIGINT) AS bad
+          FROM (SELECT *, demand = 'AB' AND finish_reason <> 'stop' AS bad FROM levels) GROUP BY demand""", _LEVELS),
     "annotation_summary_total": _summary(""),
     "failed_breakdown": _over_outputs(
         """SELECT finish_reason, CAST(count(*) AS BIGINT) AS count,
             CAST(100 AS DOUBLE) * count(*) / (SELECT count(*) FROM levels WHERE level IS NULL) AS percent
           FROM levels WHERE level IS NULL GROUP BY finish_reason""", _LEVELS),
     "batch_usage": _over_outputs(
-        """SELECT part, model, n, prompt_tokens, completion_tokens, avg_completion,
-            round(std_completion, 6) AS std_completion, max_completion, min_completion FROM usage""", _USAGE),
+        """SELECT part, model, n, prompt_tokens, completion_tokens, avg_completion, std_completion,
+            max_completion, min_completion FROM usage""", _USAGE),
     "batch_usage_files": _over_outputs(
-        """SELECT part, model, n, prompt_tokens, completion_tokens, avg_completion,
-            round(std_completion, 6) AS std_completion, max_completion, min_completion FROM usage""", _USAGE),
+        """SELECT part, model, n, prompt_tokens, completion_tokens, avg_completion, std_completion,
+            max_completion, min_completion FROM usage""", _USAGE),
     "finish_reason_counts": _over_outputs(
         "SELECT part, stop, length, other, n AS total FROM usage", _USAGE),
     "batch_cost": _over_outputs(
         """SELECT part, model, cost_prompt, cost_completion, cost_prompt + cost_completion AS cost_total
           FROM cost""", _PRICES, _USAGE, _COST),
     "batch_summary": _over_outputs(
-        "SELECT * REPLACE (round(tokens_std_completion, 6) AS tokens_std_completion) FROM summaries",
-        *_FROM_SUMMARIES),
+        "SELECT * FROM summaries", *_FROM_SUMMARIES),
+    "batch_summary_runs": _over_runs("SELECT * FROM summaries"),
+    "general_summary_runs": _GENERAL_RUNS,
+    "stream_summary_runs": _GENERAL_RUNS,
     "general_summary": _GENERAL,
     "general_summary_members": _over_outputs(
         """SELECT 'subdomain' AS kind, subdomain AS name, CAST(count(*) AS BIGINT) AS batches
@@ -469,6 +505,9 @@ ORACLES = {
           FROM jobs WHERE status = 'in_progress'"""),
     "token_count": f"SELECT CAST(doc_id AS VARCHAR) AS custom_id, {_tokens('text')} AS tokens FROM documents",
     "input_tokens_exact": _with(_RUBRICS, *_RENDERED_PAIRS, select=_PER_DEMAND),
+    "input_tokens_rendered": _with(
+        _RUBRICS, _RENDERED, "pairs AS (SELECT demand, CAST(ceil(length(instruction) / 4) AS BIGINT) AS tokens FROM rendered)",
+        select=_PER_DEMAND),
     "input_tokens_approx": _with(_RUBRICS, *_PIECE_PAIRS, select=_PER_DEMAND),
     "estimate_cost": _estimate("tokens", *_PIECE_PAIRS),
     "estimate_cost_exact": _estimate("tokens", *_RENDERED_PAIRS),
@@ -500,7 +539,14 @@ ORACLES = {
     "stream_status": f"""SELECT 'batch_' || CAST(user_id AS VARCHAR) AS batch_id,
           arg_max({_STATUS}, (ts, event_id)) AS status, arg_max(event_id, (ts, event_id)) AS event_id
         FROM events GROUP BY user_id""",
+    "stream_pending": f"""SELECT * FROM (SELECT 'batch_' || CAST(user_id AS VARCHAR) AS batch_id,
+            arg_max({_STATUS}, (ts, event_id)) AS status, arg_max(event_id, (ts, event_id)) AS event_id
+          FROM events GROUP BY user_id) WHERE status NOT IN ('completed', 'failed')""",
     "stream_outputs": _FROM_LONG,
+    "stream_outputs_broken": _over_outputs(
+        """SELECT custom_id, demand, level, false AS quarantined FROM levels WHERE demand <> 'AB' OR finish_reason = 'stop'
+          UNION ALL SELECT CASE WHEN finish_reason = 'length' THEN custom_id END, demand, NULL, true
+          FROM levels WHERE demand = 'AB' AND finish_reason <> 'stop'""", _LEVELS),
     "stream_summary": _GENERAL,
     "annotation_run": _over_outputs(
         f"""SELECT l.custom_id, l.demand, l.level, l.finish_reason, {_digest('t.text', 'prompt')}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tokens import TokenCounter
 from ..operators import (
     annotate, lookups, positions, requests, reshape, splitting, tokens, usage, validation,
 )
@@ -23,7 +24,7 @@ from ..streaming import status as status_stream
 from ..streaming import summaries as summary_stream
 from ..session import new_scratch, stored
 from . import derived as d
-from .runs import collect_run
+from .runs import collect_run, create_requests
 
 # Limits under which the derived requests split.
 MAX_LINES = 300
@@ -77,7 +78,7 @@ def read_outputs(spark, sf_dir):
 
 
 def part_inventory(spark, sf_dir):
-    return output_files.part_inventory(spark, d.landed(spark, sf_dir), WRITTEN_GLOB)
+    return output_files.part_inventory(spark, d.landed(spark, sf_dir), WRITTEN_GLOB).drop("run")
 
 
 def read_errors(spark, sf_dir):
@@ -87,7 +88,20 @@ def read_errors(spark, sf_dir):
         refused.select("custom_id", error.alias("error"), "part").write.partitionBy("part").json(path)
 
     base = d.written(spark, sf_dir, "errors", write)
-    return job_files.read_errors(spark, base, WRITTEN_GLOB)
+    return job_files.read_errors(spark, base, WRITTEN_GLOB).select("demand", "part", "custom_id", "error")
+
+
+def read_errors_whole(spark, sf_dir):
+    """Error lines that hold a response instead of an error, and lines that are cut short."""
+    def write(path):
+        refused = d.outputs(spark, sf_dir).filter(F.col("finish_reason") == "content_filter")
+        line = F.to_json(F.struct("custom_id", F.struct(F.lit(400).alias("status_code")).alias("response")))
+        cut = F.when(F.col("file_pos") % 4 == 0, F.substring_index(line, "}", 1)).otherwise(line)
+        refused.select(cut.alias("value"), "part").write.partitionBy("part").text(path)
+
+    base = d.written(spark, sf_dir, "errors-whole", write)
+    return job_files.read_errors(spark, base, "*.txt").select(
+        "demand", "part", "custom_id", "error", "response", "corrupt_record")
 
 
 def read_batch_metadata(spark, sf_dir):
@@ -126,6 +140,20 @@ def write_requests(spark, sf_dir):
     )
 
 
+def write_requests_bytes(spark, sf_dir):
+    """From files to files, in the order of the files, under a byte limit alone."""
+    folder = d.written(spark, sf_dir, "rubric-texts", lambda path: (
+        d.rubrics(spark).select("acronym", F.concat(F.lit("# "), "full_name", F.lit("\n"), "content").alias("value"))
+        .write.partitionBy("acronym").text(path)
+    ))
+    path = new_scratch(spark, "requests-bytes")
+    create_requests(spark, d.prompt_files(spark, sf_dir, "jsonl"), folder, path, max_lines=None, max_bytes=MAX_BYTES)
+    schema = "custom_id string, body struct<messages: array<struct<role: string, content: string>>>, demand string, part string"
+    rows = spark.read.schema(schema).json(path)
+    return rows.select("demand", "part", "custom_id", F.col("body.messages")[1]["content"].alias("content")).select(
+        "demand", "part", "custom_id", *_digest("content", "content"))
+
+
 def _written_annotations(spark, sf_dir, format, split=False):
     path = new_scratch(spark, f"annotations-{format}")
     write_annotations(annotate.nan_levels(_long(spark, sf_dir)), path, format, split)
@@ -341,7 +369,7 @@ def missing_output_parts(spark, sf_dir):
 
 
 def unknown_demands(spark, sf_dir):
-    sources = d.rubric_files(spark, sf_dir).select("acronym")
+    sources = d.table(spark, sf_dir, "documents").select(F.col("source").alias("acronym"))
     return lookups.unknown_demands(["src1", "src99", "AA"], sources)
 
 
@@ -360,7 +388,6 @@ def failed_breakdown(spark, sf_dir):
 
 
 def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
-    # Deviations differ between engines in the last digits.
     for name in columns:
         rows = rows.withColumn(name, F.round(name, 6))
     return rows
@@ -373,12 +400,11 @@ def _usage(spark, sf_dir):
 def batch_usage_files(spark, sf_dir):
     """From the landed files, without decoding the answers."""
     rows = output_files.read_outputs(spark, d.landed(spark, sf_dir), WRITTEN_GLOB, content=False)
-    return _rounded(usage.batch_usage(rows).drop("stop", "length", "other"), "std_completion")
+    return usage.batch_usage(rows).drop("run", "stop", "length", "other")
 
 
 def batch_usage(spark, sf_dir):
-    rows = _usage(spark, sf_dir).drop("stop", "length", "other")
-    return _rounded(rows, "std_completion")
+    return _usage(spark, sf_dir).drop("stop", "length", "other")
 
 
 def finish_reason_counts(spark, sf_dir):
@@ -396,9 +422,43 @@ def _summaries(spark, sf_dir):
 
 
 def batch_summary(spark, sf_dir):
-    return _rounded(_summaries(spark, sf_dir), "tokens_std_completion")
+    return _summaries(spark, sf_dir)
+
+
+def _summaries_of_runs(spark, sf_dir, answers=None):
+    base = d.landed_runs(spark, sf_dir)
+    if answers is None:
+        answers = usage.batch_usage(output_files.read_outputs(spark, base, WRITTEN_GLOB, content=False))
+    about = job_files.read_batch_metadata(spark, base, "*.txt", multiline=False)
+    rows = usage.batch_summary(about, answers)
+    return rows.withColumn("run", F.regexp_extract("run", "run=([^/]+)$", 1))
+
+
+def batch_summary_runs(spark, sf_dir):
+    """Two runs below one folder whose parts have the same names."""
+    return _summaries_of_runs(spark, sf_dir)
+
 
+def general_summary_runs(spark, sf_dir):
+    return _general(_summaries_of_runs(spark, sf_dir))
 
+
+def stream_summary_runs(spark, sf_dir):
+    """The same from a stream, whose table is compacted in between."""
+    landing = output_stream.landing_outputs(
+        spark, d.landed_runs(spark, sf_dir), WRITTEN_GLOB, max_files=8, content=False)
+    table = new_scratch(spark, "stream-usage")
+    summary_stream.stream_usage(landing, table, new_scratch(spark, "usage-checkpoint")).awaitTermination()
+    summary_stream.compact_usage(spark, table)
+    return _general(_summaries_of_runs(spark, sf_dir, summary_stream.read_usage(spark, table)))
+
+
+def annotation_summary_broken(spark, sf_dir):
+    """Counts per demand with the lines set aside."""
+    return collect_run(spark, d.landed_broken(spark, sf_dir), "*.txt").summary("demand")
+
+
+# Sums of doubles differ between engines in the last digits.
 _GENERAL_ROUNDED = (
     "duration_std", "tokens_avg_completion", "tokens_std_completion",
     "cost_prompt", "cost_completion", "cost_total",
@@ -445,6 +505,12 @@ def input_tokens_approx(spark, sf_dir):
     return tokens.input_tokens_approx(d.prompts(spark, sf_dir), d.rubrics(spark))
 
 
+def input_tokens_rendered(spark, sf_dir):
+    """With a counter that cuts across blanks every pair is rendered and counted: four characters are a token."""
+    quarters = TokenCounter(lambda text: F.ceil(F.length(text) / 4))
+    return tokens.input_tokens_exact(d.prompts(spark, sf_dir), d.rubrics(spark), quarters)
+
+
 def estimate_cost(spark, sf_dir):
     return tokens.estimate_cost(d.prompts(spark, sf_dir), d.rubrics(spark), COST_MODELS)
 
@@ -576,20 +642,36 @@ def stream_status(spark, sf_dir):
     status_stream.stream_status(
         d.status_events(events).select(*columns), table, new_scratch(spark, "status-checkpoint")
     ).awaitTermination()
+    status_stream.compact_status(spark, table)
     return status_stream.read_status(spark, table).select("batch_id", "status", "event_id")
 
 
+def stream_pending(spark, sf_dir):
+    """Batches that are still to be watched after the stream."""
+    return status_stream.pending(stream_status(spark, sf_dir))
+
+
 def stream_outputs(spark, sf_dir):
     landing = output_stream.landing_outputs(spark, d.landed(spark, sf_dir), WRITTEN_GLOB, max_files=16)
     path = new_scratch(spark, "stream-annotations")
     output_stream.stream_outputs(
         landing, path, new_scratch(spark, "stream-checkpoint")
     ).awaitTermination()
-    return spark.read.parquet(path).select(
+    return output_stream.read_annotations(spark, path).select(
         "custom_id", "demand", "level", "finish_reason", *_digest("model_response", "response")
     )
 
 
+def stream_outputs_broken(spark, sf_dir):
+    """Annotations and quarantine of a stream with bad lines: together every line."""
+    landing = output_stream.landing_outputs(spark, d.landed_broken(spark, sf_dir), "*.txt", max_files=16)
+    path = new_scratch(spark, "stream-broken")
+    output_stream.stream_outputs(landing, path, new_scratch(spark, "stream-checkpoint")).awaitTermination()
+    good = output_stream.read_annotations(spark, path).select("custom_id", "demand", "level")
+    bad = output_stream.read_quarantine(spark, path).select("custom_id", "demand", F.lit(None).cast("double").alias("level"))
+    return good.withColumn("quarantined", F.lit(False)).unionByName(bad.withColumn("quarantined", F.lit(True)))
+
+
 def stream_summary(spark, sf_dir):
     landing = output_stream.landing_outputs(
         spark, d.landed(spark, sf_dir), WRITTEN_GLOB, max_files=16, content=False
@@ -598,7 +680,7 @@ def stream_summary(spark, sf_dir):
     summary_stream.stream_usage(
         landing, table, new_scratch(spark, "usage-checkpoint")
     ).awaitTermination()
-    current = summary_stream.read_usage(spark, table)
+    current = summary_stream.read_usage(spark, table).drop("run")
     return _general(usage.batch_summary(d.metadata(spark, sf_dir), current))
 
 
@@ -616,7 +698,9 @@ QUERIES = {
     query.__name__: query
     for query in (
         read_prompts_jsonl, read_prompts_csv, read_prompts_parquet, prompts_only, load_rubrics,
-        read_outputs, part_inventory, read_errors, read_batch_metadata, job_ledger,
+        read_outputs, part_inventory, read_errors, read_errors_whole, input_tokens_rendered, stream_pending,
+        write_requests_bytes, batch_summary_runs, general_summary_runs, stream_summary_runs, annotation_summary_broken,
+        stream_outputs_broken, read_batch_metadata, job_ledger,
         write_requests, write_annotations_jsonl, write_annotations_csv, write_annotations_parquet,
         split_by_demand,
         render_instruction, build_request, demand_of_path, extract_level, extract_level_guarded,

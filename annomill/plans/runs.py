@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..functions.pricing import Prices
 from ..fixed_values import MODEL_PRICES
-from ..operators.annotate import annotate_long
+from ..operators.annotate import annotate_long, annotate_marked, bad_rows
 from ..operators.lookups import attach_prompts
 from ..operators.positions import POSITION
 from ..operators.requests import filter_demands
@@ -52,7 +52,11 @@ class AnnotationRun:
     def long(self) -> DataFrame:
         if self.prompts is None:
             return annotate_long(self.outputs, **dict(self.options))
-        return attach_prompts(self._ordered(), self.prompts, keys=self.outputs).drop(*POSITION)
+        return attach_prompts(annotate_long(self.outputs, **dict(self.options)), self.prompts)
+
+    def bad(self) -> DataFrame:
+        """Every line that could not be annotated, with where it came from."""
+        return bad_rows(self.outputs)
 
     def _ordered(self) -> DataFrame:
         return annotate_long(self.outputs, keep=POSITION, **dict(self.options))
@@ -66,11 +70,14 @@ class AnnotationRun:
         nested = nest_wide(self._ordered(), order, demands)
         if self.prompts is None:
             return nested
-        return attach_prompts(nested, self.prompts, unique_ids=True)
+        return attach_prompts(nested, self.prompts)
 
     def summary(self, *by: str) -> DataFrame:
+        """Counts and shares of annotations, and ``bad``, the lines set aside; one pass."""
         narrow = {**dict(self.options), "only_levels": True}
-        return annotation_summary(annotate_long(self.outputs, **narrow), *by)
+        if narrow.pop("on_bad_row", "quarantine") == "quarantine":
+            return annotation_summary(annotate_marked(self.outputs, **narrow), *by)
+        return annotation_summary(annotate_long(self.outputs, on_bad_row="drop_file", **narrow), *by)
 
     def failures(self) -> DataFrame:
         whole = {**dict(self.options), "only_levels": False}
@@ -96,7 +103,7 @@ def collect_run(
     """Everything below ``base``; ``options`` are those of ``annotate_long``.
 
     ``prompts`` read with their position may repeat ids: the last one counts.
-    Without it they need one row per id (see ``prompt_map``).
+    Without it an id with several prompts is an error.
     """
     if prompts is not None and all(name in prompts.columns for name in POSITION):
         prompts = prompt_map(prompts, line_order())

@@ -32,6 +32,8 @@ def output(content: bool = True) -> T.StructType:
 ERROR = T.StructType([
     T.StructField("custom_id", T.StringType()),
     T.StructField("error", T.StringType()),
+    T.StructField("response", T.StringType()),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 
 BATCH_METADATA = T.StructType([

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_TO_REMOVE: list[list[str]] = []
 
 
 def local_session(cpus: int | str = 8, name: str = "annomill", **conf: str) -> SparkSession:
@@ -44,7 +47,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used yet."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _TO_REMOVE:
+        _TO_REMOVE[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Takes away what is stored within, for jobs whose result lies elsewhere."""
+    _TO_REMOVE.append([])
+    try:
+        yield
+    finally:
+        for path in _TO_REMOVE.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:

@@ -1 +1 @@
-"""Writers.  Every one overwrites its target and runs one job."""
+"""Writers.  Every one overwrites its target."""

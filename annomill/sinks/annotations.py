@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMATS = ("jsonl", "csv", "parquet")
@@ -15,12 +16,11 @@ def write_annotations(
 
     ``split_by_demand`` gives one folder ``demand=<demand>`` per demand; it
     needs the long form.  Each task writes its own rows, so nothing is
-    shuffled and a large demand is written by many tasks.
+    shuffled and a large demand is written by many tasks.  The annotations are
+    computed once; that there are none shows only then, and is an error.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}")
-    if annotations.isEmpty():
-        raise ValueError("no annotations to write")
     fields = {field.name: field.dataType for field in annotations.schema.fields}
     if split_by_demand and not ("level" in fields and isinstance(fields.get("demand"), T.StringType)):
         raise ValueError("only the long form can be split by demand")
@@ -28,6 +28,8 @@ def write_annotations(
     if format == "csv" and nested:
         raise ValueError("nested annotations cannot be written as CSV")
 
+    written = Observation()
+    annotations = annotations.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = annotations.write.mode("overwrite")
     if split_by_demand:
         writer = writer.partitionBy("demand")
@@ -41,15 +43,5 @@ def write_annotations(
             header=True, escape='"', quoteAll=False,
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         ).csv(path)
-
-
-def write_annotations_jsonl(annotations: DataFrame, path: str, split_by_demand: bool = False) -> None:
-    write_annotations(annotations, path, "jsonl", split_by_demand)
-
-
-def write_annotations_csv(annotations: DataFrame, path: str, split_by_demand: bool = False) -> None:
-    write_annotations(annotations, path, "csv", split_by_demand)
-
-
-def write_annotations_parquet(annotations: DataFrame, path: str, split_by_demand: bool = False) -> None:
-    write_annotations(annotations, path, "parquet", split_by_demand)
+    if not written.get.get("rows"):
+        raise ValueError("no annotations to write")

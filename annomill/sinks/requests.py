@@ -12,14 +12,13 @@ from ..operators.positions import POSITION, with_file_index, with_row_index
 from ..operators.requests import pair_with, request_columns, request_halves
 from ..operators.sizes import fits_in_memory
 from ..operators.splitting import (
-    assign_parts, number_parts, parts_of, request_sizes, split_plan, varying_bytes,
+    assign_parts, deal_once, demands_by_parts, number_parts, part_name, parts_of, request_sizes, split_plan,
+    varying_bytes,
 )
-from ..session import stored
+from ..session import scratch_removed, stored
 
 # A task writes whole parts, one after the other, up to about this many bytes.
 TASK_BYTES = 256 * 1024 * 1024
-# More tasks than this are too many to schedule; each then writes more parts.
-MAX_TASKS = 100_000
 
 
 def write_requests(
@@ -35,16 +34,23 @@ def write_requests(
 ) -> None:
     """JSON lines below ``path/demand=<demand>/part=<part>/``.
 
-    With a limit, every part is one file with its requests in order: prompts
-    are numbered once, dealt to parts as narrow rows, and moved to the task
-    that writes their part; the long text is put around them only there.  A
-    task writes one part or several small ones, so it is bounded as parts are.
+    With a limit, every part is one file with its requests in order: prompts are
+    numbered once and moved once for each number of parts that demands are cut
+    into, to the task that writes their part of all these demands; demands and the
+    long text around the prompts are added only there.  A task writes the parts of
+    one cut, or several small ones, so it is bounded as parts are.
     Without any limit there is one part per demand, written by many tasks as
     many files, and no shuffle.
 
     Requests keep the order of the prompt files if the prompts were read with
-    their position; otherwise they are ordered by ``order_by`` or the id.
+    their position; otherwise they are ordered by ``order_by`` or the id.  What is
+    stored on the way is taken away in the end.
     """
+    with scratch_removed(prompts.sparkSession):
+        _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by)
+
+
+def _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by) -> None:
     halves = request_halves(rubrics)
     # Too many rubrics to hold their texts in every task: the texts then travel
     # with the rows instead of being looked up at the end.
@@ -87,10 +93,25 @@ def _number(prompts: DataFrame, order_by: tuple[str, ...] | None) -> DataFrame:
 def _place(indexed: DataFrame, plan: DataFrame, halves: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     """Rows in the task and order in which they are written."""
     total = plan.agg(F.sum(parts_of(plan)).alias("parts"), F.sum("n_bytes").alias("bytes")).first()
-    parts = max(total["parts"] or 0, 1)
     cores = indexed.sparkSession.sparkContext.defaultParallelism
-    tasks = min(parts, MAX_TASKS, max(2 * cores, -(-(total["bytes"] or 0) // TASK_BYTES)))
-    texts = plan.join(halves, "demand") if carry else plan
+    wanted = max(2 * cores, -(-(total["bytes"] or 0) // TASK_BYTES))
+    if not carry:
+        cuts = plan.select(parts_of(plan).alias("p")).distinct().agg(F.sum("p")).first()[0]
+        tasks = int(min(max(cuts or 0, 1), wanted))
+        dealt = (
+            deal_once(indexed, plan)
+            .withColumn("_task", F.pmod(F.col("part_no") - 1 + F.xxhash64("_parts") % 1_000_003, F.lit(tasks)).cast("int"))
+            .drop("row_index", "n_rows").repartitionById(tasks, "_task")
+        )
+        demand = F.explode(F.element_at(demands_by_parts(plan), F.col("_parts")))
+        return (
+            dealt.withColumn("_d", demand).withColumn("demand", F.col("_d.demand"))
+            .withColumn("part", part_name("_d.demand", "_d.need_split", F.col("part_no")))
+            .drop("_d", "_parts").sortWithinPartitions("demand", "part", "part_row")
+        )
+    parts = max(total["parts"] or 0, 1)
+    tasks = min(parts, wanted)
+    texts = plan.join(halves, "demand")
     assigned = assign_parts(indexed, texts, ("first_part", *carry))
     number = F.col("first_part") + F.col("part_no") - 1
     return (

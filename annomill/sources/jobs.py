@@ -6,20 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.paths import demand_of_part, demand_of_path, part_of_path
+from ..functions.paths import demand_of_part, demand_of_path, part_of_path, run_of_path
 
 
 def read_errors(
     spark: SparkSession, base: str | list[str], file_glob: str = "errors.jsonl"
 ) -> DataFrame:
-    """Failed requests: ``demand, part, custom_id, error`` (JSON text)."""
+    """Failed requests: ``run, demand, part, custom_id, error, response, corrupt_record``.
+
+    ``error`` and ``response`` are JSON text; a line that is no JSON is kept as it is.
+    """
     path = F.col("_metadata.file_path")
     return (
         spark.read.schema(schemas.ERROR)
         .option("recursiveFileLookup", True).option("pathGlobFilter", file_glob)
         .json(base)
-        .select(demand_of_path(path).alias("demand"), part_of_path(path).alias("part"),
-                "custom_id", "error")
+        .select(run_of_path(path).alias("run"), demand_of_path(path).alias("demand"), part_of_path(path).alias("part"),
+                "custom_id", "error", "response", F.col("_corrupt_record").alias("corrupt_record"))
     )
 
 
@@ -27,7 +30,7 @@ def read_batch_metadata(
     spark: SparkSession, base: str | list[str], file_glob: str = "batch_metadata.json",
     multiline: bool = True,
 ) -> DataFrame:
-    """One row per batch metadata document, with its ``demand`` and ``part``.
+    """One row per batch metadata document, with its ``run``, ``demand`` and ``part``.
 
     ``multiline=False`` reads files of one document per line, which split.
     """
@@ -37,7 +40,8 @@ def read_batch_metadata(
         .option("recursiveFileLookup", True).option("pathGlobFilter", file_glob)
         .option("multiLine", multiline)
         .json(base)
-        .select(demand_of_path(path).alias("demand"), part_of_path(path).alias("part"), "*")
+        .select(run_of_path(path).alias("run"), demand_of_path(path).alias("demand"),
+                part_of_path(path).alias("part"), "*")
     )
 
 

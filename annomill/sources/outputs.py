@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.paths import demand_of_path, part_of_path
+from ..functions.paths import demand_of_path, part_of_path, run_of_path
 from ..operators.positions import POSITION, position_columns
 
 
@@ -24,6 +24,7 @@ def flatten_outputs(raw: DataFrame, position: bool = True, content: bool = True)
         "custom_id",
         demand_of_path(path).alias("demand"),
         part_of_path(path).alias("part"),
+        run_of_path(path).alias("run"),
         F.col("response.body.model").alias("model"),
         choice.isNotNull().alias("has_choice"),
         choice["finish_reason"].alias("finish_reason"),
@@ -70,7 +71,7 @@ def union_outputs(*frames: DataFrame) -> DataFrame:
 def part_inventory(
     spark: SparkSession, base: str | list[str], file_glob: str = "{input,output}.jsonl"
 ) -> DataFrame:
-    """Lines and bytes of every part: ``demand, part, kind, rows, bytes``.
+    """Lines and bytes of every part: ``run, demand, part, kind, rows, bytes``.
 
     ``kind`` is the file's stem, or ``inputs``/``outputs`` when the files lie
     below a folder of that name.  Parts whose files are empty do not appear.
@@ -86,6 +87,7 @@ def part_inventory(
     )
     return (
         per_file.groupBy(
+            run_of_path(path).alias("run"),
             demand_of_path(path).alias("demand"),
             part_of_path(path).alias("part"),
             F.when(below != "", below).otherwise(stem).alias("kind"),

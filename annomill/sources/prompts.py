@@ -49,8 +49,9 @@ def _read_jsonl(spark, path, columns, mode, position):
 
 
 def _read_csv(spark, path, columns, mode, position, multiline):
-    # Without inference every CSV column is a string and is matched by name.
-    options = {**_CSV_OPTIONS, "multiLine": multiline}
+    # Without inference every CSV column is a string.  The first file's header names
+    # the columns; a file whose header differs fails the job instead of being misread.
+    options = {**_CSV_OPTIONS, "multiLine": multiline, "enforceSchema": False}
     raw = spark.read.options(**options).csv(path)
     _require(raw, columns, path if isinstance(path, str) else ", ".join(path))
     return _apply_mode(raw, columns, mode, position)
@@ -104,6 +105,13 @@ def prompts_only(
     return _read(spark, path, ["prompt"], format, mode, multiline)
 
 
+def only_prompts(prompts: DataFrame) -> DataFrame:
+    """The prompt of every ``custom_id``; an id with several rows is an error."""
+    several = F.raise_error(F.concat(F.lit("several prompts for "), F.col("custom_id")))
+    counted = prompts.groupBy("custom_id").agg(F.min("prompt").alias("prompt"), F.count("*").alias("n"))
+    return counted.select("custom_id", F.when(F.col("n") > 1, several).otherwise(F.col("prompt")).alias("prompt"))
+
+
 def prompt_map(prompts: DataFrame, order_by) -> DataFrame:
     """One prompt per ``custom_id``: the one with the greatest ``order_by``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.annotate import annotate_long
+from ..operators.annotate import annotate_marked
 from ..sources.outputs import flatten_outputs
 
 
@@ -33,13 +33,26 @@ def landing_outputs(
 def stream_outputs(
     outputs: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, **annotate
 ) -> StreamingQuery:
-    """Appends long annotations to a Parquet folder, exactly once.
+    """Appends long annotations and bad lines to a Parquet folder, exactly once.
 
-    ``annotate`` are the options of ``annotate_long``, but for ``drop_file``.
+    Read them with ``read_annotations`` and ``read_quarantine``; they lie in folders
+    of their own.  ``annotate`` are the options of ``annotate_marked``.
     """
     return (
-        annotate_long(outputs, **annotate).writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
+        annotate_marked(outputs, **annotate).writeStream.format("parquet").outputMode("append")
+        .partitionBy("quarantined").option("path", path).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def read_annotations(spark: SparkSession, path: str) -> DataFrame:
+    """The annotations of a stream's folder."""
+    return spark.read.parquet(path).where("quarantined = 'false'").drop("quarantined", "part", "file_path", "corrupt_record")
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The bad lines of a stream's folder, with where they came from."""
+    rows = spark.read.parquet(path).where("quarantined = 'true'")
+    reason = [name for name in ("finish_reason",) if name in rows.columns]
+    return rows.select("file_path", "demand", "part", "custom_id", *reason, "corrupt_record")

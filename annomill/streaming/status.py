@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .epochs import compact, read_epochs, write_epoch
+
 FINISHED = ("completed", "failed")
 
 
 def latest_status(events: DataFrame) -> DataFrame:
     """``batch_id, status, ts, event_id`` of every batch's latest event.
 
-    Works on a batch or a stream of ``batch_id, status, ts, event_id``.  A
-    late event loses to a newer one.  The state is one row per batch.
+    Rows that it gave before may be among ``batch_id, status, ts, event_id`` again.
+    A late event loses to a newer one.
     """
     return events.groupBy("batch_id").agg(
         F.max(F.struct("ts", "event_id", "status")).alias("_last")
@@ -30,15 +32,15 @@ def stream_status(
 ) -> StreamingQuery:
     """Keeps ``table`` (a folder) up to date; read it with ``read_status``.
 
-    Every micro-batch writes the batches it changed to its own folder, which
-    a repeated micro-batch overwrites.  A table belongs to one checkpoint.
+    Every micro-batch writes the latest event of each of its batches; readers take
+    the latest of these, so the stream has no state.  A table belongs to one
+    checkpoint; ``compact_status`` keeps it short.
     """
-    def save(changed: DataFrame, epoch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+    def save(landed: DataFrame, epoch: int) -> None:
+        write_epoch(latest_status(landed), table, epoch)
 
     return (
-        latest_status(events).writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        events.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(save)
         .start()
@@ -47,4 +49,9 @@ def stream_status(
 
 def read_status(spark: SparkSession, table: str) -> DataFrame:
     """The current status of every batch."""
-    return latest_status(spark.read.parquet(table))
+    return latest_status(read_epochs(spark, table))
+
+
+def compact_status(spark: SparkSession, table: str) -> None:
+    """Leaves one row per batch; to be run now and then, not beside the stream's own writes."""
+    compact(spark, table, latest_status)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.usage import merge_usage, usage_partials
+from ..operators.usage import add_partials, merge_usage, usage_partials
+from .epochs import compact, read_epochs, write_epoch
 
 
 def stream_usage(
@@ -20,7 +21,7 @@ def stream_usage(
     """
     def save(landed: DataFrame, epoch: int) -> None:
         numbered = landed.withColumn("file_pos", F.monotonically_increasing_id())
-        usage_partials(numbered).write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+        write_epoch(usage_partials(numbered), table, epoch)
 
     return (
         outputs.writeStream.option("checkpointLocation", checkpoint)
@@ -32,4 +33,9 @@ def stream_usage(
 
 def read_usage(spark: SparkSession, table: str) -> DataFrame:
     """Current usage per part, as ``batch_usage`` gives it for a finished run."""
-    return merge_usage(spark.read.parquet(table).drop("epoch"))
+    return merge_usage(read_epochs(spark, table))
+
+
+def compact_usage(spark: SparkSession, table: str) -> None:
+    """Leaves one row per run, part and model; to be run now and then, not beside the stream's own writes."""
+    compact(spark, table, add_partials)

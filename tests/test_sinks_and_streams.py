@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,13 +7,11 @@ from pyspark.sql import functions as F
 from annomill.operators.annotate import annotate_long
 from annomill.operators.reshape import nest_wide, pivot_wide
 from annomill.operators.usage import batch_usage
-from annomill.sinks.annotations import (
-    write_annotations, write_annotations_csv, write_annotations_jsonl, write_annotations_parquet,
-)
+from annomill.sinks.annotations import write_annotations
 from annomill.sources.outputs import read_outputs
-from annomill.streaming.outputs import landing_outputs, stream_outputs
-from annomill.streaming.status import latest_status, pending, read_status, stream_status
-from annomill.streaming.summaries import read_usage, stream_usage
+from annomill.streaming.outputs import landing_outputs, read_annotations, stream_outputs
+from annomill.streaming.status import compact_status, latest_status, pending, read_status, stream_status
+from annomill.streaming.summaries import compact_usage, read_usage, stream_usage
 
 LONG = [("a", "X", 1.0, "stop", 'said "1",\n then'), ("b", "X", float("nan"), "length", " cut"), ("a", "Y", 5.0, "stop", "5")]
 SCHEMA = "custom_id string, demand string, level double, finish_reason string, model_response string"
@@ -24,9 +23,9 @@ def long(spark):
 
 
 def test_formats(spark, tmp_path, long, as_rows):
-    write_annotations_jsonl(long, str(tmp_path / "j"))
-    write_annotations_csv(long, str(tmp_path / "c"))
-    write_annotations_parquet(long, str(tmp_path / "p"))
+    write_annotations(long, str(tmp_path / "j"), "jsonl")
+    write_annotations(long, str(tmp_path / "c"), "csv")
+    write_annotations(long, str(tmp_path / "p"), "parquet")
     def shown(frame):
         return as_rows(frame.withColumn("level", F.col("level").cast("string")))
 
@@ -37,7 +36,7 @@ def test_formats(spark, tmp_path, long, as_rows):
     assert shown(spark.read.schema(SCHEMA).options(**options).csv(str(tmp_path / "c"))) == expected
     assert shown(spark.read.parquet(str(tmp_path / "p"))) == expected
     # A second write replaces the first.
-    write_annotations_jsonl(long.limit(1), str(tmp_path / "j"))
+    write_annotations(long.limit(1), str(tmp_path / "j"), "jsonl")
     assert spark.read.schema(SCHEMA).json(str(tmp_path / "j")).count() == 1
 
 
@@ -80,7 +79,7 @@ def test_outputs_are_taken_in_once(spark, tmp_path, as_rows):
 
     def drain():
         stream_outputs(landing_outputs(spark, str(base), max_files=1), table, checkpoint).awaitTermination()
-        return as_rows(spark.read.parquet(table))
+        return as_rows(read_annotations(spark, table), "custom_id", "demand", "level", "finish_reason", "model_response")
 
     first = drain()
     assert first == as_rows(annotate_long(read_outputs(spark, str(base)))) and len(first) == 10
@@ -105,7 +104,14 @@ def test_usage_follows_the_landing_files(spark, tmp_path, as_rows):
     expected = as_rows(batch_usage(read_outputs(spark, str(base), "*.jsonl")))
     assert drain() == expected
     assert drain() == expected
-    assert [row[1] for row in expected if row[0] == "AA"] == ["o3-29"]
+    assert [row[2] for row in expected if row[1] == "AA"] == ["o3-29"]
+    # Compaction changes nothing, nor does a second one, and what comes later is added.
+    for _ in range(2):
+        compact_usage(spark, table)
+        assert as_rows(read_usage(spark, table)) == expected
+    assert len(os.listdir(table)) == 1
+    land(base, "AB", range(4, 9), "b.jsonl")
+    assert drain() == as_rows(batch_usage(read_outputs(spark, str(base), "*.jsonl")))
 
 
 def test_late_status_loses(spark, tmp_path, as_rows):
@@ -119,6 +125,8 @@ def test_late_status_loses(spark, tmp_path, as_rows):
 
     assert add(("a", "validating", 1, 1), ("b", "in_progress", 2, 2)) == [("a", "validating"), ("b", "in_progress")]
     assert add(("a", "completed", 9, 4)) == [("a", "completed"), ("b", "in_progress")]
+    compact_status(spark, table)
+    assert as_rows(read_status(spark, table), "batch_id", "status") == [("a", "completed"), ("b", "in_progress")]
     assert add(("a", "in_progress", 5, 5), ("b", "failed", 2, 3)) == [("a", "completed"), ("b", "failed")]
     assert as_rows(latest_status(spark.read.parquet(source)), "batch_id", "status") == [("a", "completed"), ("b", "failed")]
     assert pending(read_status(spark, table)).count() == 0
