@@ -33,7 +33,7 @@ def label_frame(spark, labels):
 def test_held_out_accuracy_and_odd_rows(spark, documents):
     docs, labels = labelled(random.Random(1), 900)
     chain = toxicity.train(documents(docs), label_frame(spark, labels[:600] + [(5000, None, None), (None, 1, 0)]), CATEGORIES)
-    odd = [(2000, None), (2001, ""), (2001, ""), (None, "awful nasty"), (2002, "nasty " * 30_000)]
+    odd = [(2000, None), (2001, ""), (2001, ""), (None, "awful nasty"), (2002, "awful nasty " * 30_000)]
     frame = documents(docs[600:] + odd).withColumn("p_toxic", F.lit("clash"))
     rows = {r.doc_id: r for r in toxicity.judge(frame, chain).collect()}
     right = sum((rows[i].p_toxic >= 0.5) == bool(toxic) for i, _, toxic in labels[600:])
@@ -54,12 +54,13 @@ def test_without_labels_nothing_is_toxic(spark, documents):
 
 
 def test_toxicity_query_against_labels(spark, sf_dir):
-    """Labels hold noise in some languages, so a flagged text must hold what marks toxic ones and the reverse."""
+    """Every document is judged; clean labelled ones are left alone and most toxic ones found."""
     found = QUERIES["op9_toxicity_chain"](spark, sf_dir)
     assert found.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
-    both = found.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").select(
-        F.col("p_toxic") >= 0.5, F.col("toxic") if False else F.col("p_toxic"))
-    assert both.count() > 0
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    rows = found.join(labels, "doc_id").select("toxic", "label").collect()
+    assert sum(r.toxic for r in rows if not r.label) <= 0.01 * len(rows)
+    assert sum(r.toxic for r in rows if r.label) >= 0.4 * sum(r.label for r in rows)
 
 
 BENCH = [(1, "the quick brown fox jumps over the lazy dog while seven green parrots watch from an old oak tree"),
