@@ -38,6 +38,8 @@ STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Else each state partition sets some MB aside that it never fills.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 ENTRY = "digest string, group_size long, best struct<points: int, order: long, doc_id: long, file: string, row: long>"
 
