@@ -129,6 +129,34 @@ def test_reworded_items_need_the_answer(spark, documents):
     assert found[200] and not found[201]
 
 
+def reworded(rng, words, share, others):
+    """All but the last quarter's words replaced at random, so that ``share`` of all stays."""
+    out, open_places = list(words), range(len(words) - max(1, len(words) // 4))
+    for i in rng.sample(open_places, int((1 - share) * len(words) + 1e-9)):
+        out[i] = rng.choice(others)
+    return out
+
+
+def test_reworded_items_in_real_documents(spark, sf_dir, documents):
+    """Each item with 0.6 of its words and the answer left, in texts of the corpus, wherever it stands."""
+    rng = random.Random(17)
+    texts = [r.text.split() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(400).collect() if r.text]
+    texts = [words for words in texts if 20 <= len(words) <= 600]
+    others = [word for words in texts for word in words]
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs, planted = [], {}
+    for item in bench.orderBy("item_id").collect():
+        for share in (1.0, 0.8, 0.7, 0.6, 0.6):
+            words = list(rng.choice(texts))
+            at = rng.randint(0, len(words))
+            words[at:at] = reworded(rng, item.text.split(), share, others)
+            planted[len(docs)] = (item.item_id, share)
+            docs.append((len(docs), " ".join(words)))
+    rows = {r.doc_id: r["items"] or [] for r in decontamination.find(documents(docs), bench).collect()}
+    assert len(planted) > 100
+    assert [(n, own) for n, own in planted.items() if own[0] not in rows[n]] == []
+
+
 def test_no_items_or_no_documents(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in decontamination.find(documents([(1, "a b c")]), none).collect()] == [False]
