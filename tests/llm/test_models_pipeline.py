@@ -157,6 +157,37 @@ def test_reworded_items_in_real_documents(spark, sf_dir, documents):
     assert [(n, own) for n, own in planted.items() if own[0] not in rows[n]] == []
 
 
+def rule_holds(item, text):
+    """The rule in every stretch of twice the item's length, whichever word it starts with."""
+    item, words = item.lower().split(), text.lower().split()
+    answer = item[-max(1, len(item) // 4):]
+    masks, own = decontamination.masks_of(np.array(item)), decontamination.masks_of(np.array(answer))
+    for begin in range(len(words)):
+        near = words[begin:begin + 2 * len(item)]
+        share = decontamination.common(near, masks, len(item)) / len(item)
+        if share >= 0.8 or (share >= 0.6 and decontamination.common(near, own, len(answer)) / len(answer) >= 0.8):
+            return True
+    return False
+
+
+def test_rule_in_every_stretch(spark, documents):
+    """Items with words put in and left out, at any place, against the rule in all stretches."""
+    rng = random.Random(21)
+    bench = [(n, " ".join(noise(rng, length))) for n, length in enumerate([9, 12, 16, 24, 33, 40, 64, 65, 90])]
+    docs = []
+    for n in range(270):
+        item = bench[n % len(bench)][1].split()
+        lost = set(rng.sample(range(len(item)), int(rng.choice([0.15, 0.3, 0.4]) * len(item))))
+        words = []
+        for place, word in enumerate(item):
+            words += noise(rng, rng.choice([0, 0, 1, 2])) + ([] if place in lost else [word])
+        docs.append((n, " ".join(noise(rng, rng.randint(0, 90)) + words + noise(rng, rng.randint(0, 90)))))
+    expected = {(n, i) for n, text in docs for i, item in bench if rule_holds(item, text)}
+    rows = decontamination.find(documents(docs), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert 100 < len(expected) < 250
+    assert {(r.doc_id, i) for r in rows for i in r["items"] or []} == expected
+
+
 def test_no_items_or_no_documents(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in decontamination.find(documents([(1, "a b c")]), none).collect()] == [False]
