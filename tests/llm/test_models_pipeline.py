@@ -157,6 +157,22 @@ def test_reworded_items_in_real_documents(spark, sf_dir, documents):
     assert [(n, own) for n, own in planted.items() if own[0] not in rows[n]] == []
 
 
+def test_words_spread_over_twice_the_item(spark, documents):
+    """39 of 64 words, the answer among them, evenly over 128 words: a passage of 64 words holds few of them."""
+    rng = random.Random(5)
+    item = [f"own{n}" for n in range(64)]
+    kept = [*sorted(rng.sample(range(48), 23)), *range(48, 64)]
+    docs = [(n, " ".join(noise(rng, 150))) for n in range(60)]
+    for n in range(32):
+        words = noise(rng, 128)
+        for place, own in zip(np.linspace(0, 127, len(kept)).astype(int), kept):
+            words[place] = item[own]
+        docs.append((100 + n, " ".join(noise(rng, 40 + n) + words + noise(rng, 50))))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r.doc_id for r in decontamination.find(documents(docs), bench).collect() if r.contaminated}
+    assert found == set(range(100, 132))
+
+
 def rule_holds(item, text):
     """The rule in every stretch of twice the item's length, whichever word it starts with."""
     item, words = item.lower().split(), text.lower().split()
