@@ -6,12 +6,15 @@ leftmost and without overlap within a kind; card numbers must pass their checksu
 **Bootstrapping.** The words before and behind the base identifiers make lexical
 patterns: (kind, word before), (kind, word behind) and (kind, both).  They are
 joined to all *instances*, the words that hold a digit or an at sign, base or not,
-as a graph.  In turn a pattern's confidence is the mean score of the instances it
+and the longest runs of words with digits between single blanks, as a graph.  In turn a pattern's confidence is the mean score of the instances it
 stands by, those of other kinds counting nothing, and an unseen instance's score
 grows with the confidence of its patterns, ``1 - product(1 - confidence)``.  After
-``ROUNDS`` rounds a word is an identifier of a kind if it stands in a pattern of at
+``ROUNDS`` rounds an instance is an identifier of a kind if it stands in a pattern of at
 least ``CONFIDENT`` with ``SUPPORT`` different base identifiers, scores as much
-itself, has the shape of the kind and overlaps no base identifier.
+itself, has the shape of the kind, overlaps no base identifier and does not lie
+within a longer one.  Runs are taken whole, with 7 to 19 digits and no at sign, and
+may open with a bracket that closes within; parts of a run of several words are not
+tried, single words are.
 
 All of it is SQL functions.  Matches are cut out together with the text between
 them; lengths of both are added up to code point positions in a window per text.
@@ -42,6 +45,10 @@ PATTERNS = {
 #: A text without this has no match that counts.
 NEEDED = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
 WORD = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Several words with digits, a single blank between them.
+RUN = r"(?<!\S)[^\s0-9@]*+[0-9][^\s@]*+(?:\x20[^\s0-9@]*+[0-9][^\s@]*+(?!\S))++"
+#: Marks ahead of a word; of a run, a bracket stays if it closes before further digits.
+AHEAD = {WORD: r"^[\p{Punct}&&[^+]]*", RUN: r"^(?:[\p{Punct}&&[^+(]]|\((?![^()]*\)[^)]*[0-9]))*"}
 ROUNDS = 3
 CONFIDENT = 0.9
 SUPPORT = 5
@@ -110,13 +117,19 @@ def base_spans(rows: DataFrame) -> DataFrame:
     return found
 
 
+def bare(found: DataFrame, pattern: str) -> DataFrame:
+    """Matches without marks around them."""
+    ahead = F.length(F.regexp_extract("match", AHEAD[pattern], 0))
+    match = F.regexp_replace("match", AHEAD[pattern] + r"|\p{Punct}+$", "")
+    found = found.select("_doc", "_rank", match.alias("match"), (F.col("start") + ahead).alias("start"), "left", "right")
+    return found.where(F.length("match") >= LEAST_CHARS).withColumn("end", F.col("start") + F.length("match"))
+
+
 def candidates(rows: DataFrame, base: DataFrame) -> DataFrame:
-    """Words with a digit or an at sign outside of base identifiers, without marks around them."""
-    words = matches(rows, WORD, "[0-9@]")
-    ahead = F.length(F.regexp_extract("match", r"^[\p{Punct}&&[^+]]*", 0))
-    bare = F.regexp_replace("match", r"^[\p{Punct}&&[^+]]+|\p{Punct}+$", "")
-    words = words.select("_doc", "_rank", bare.alias("match"), (F.col("start") + ahead).alias("start"), "left", "right")
-    words = words.where(F.length("match") >= LEAST_CHARS).withColumn("end", F.col("start") + F.length("match"))
+    """Words with a digit or an at sign, and runs of words with digits, outside of base identifiers."""
+    runs = bare(matches(rows, RUN, r"[0-9]\S*+\x20[^\s0-9@]*+[0-9]"), RUN)
+    words = bare(matches(rows, WORD, "[0-9@]"), WORD).unionByName(
+        runs.where(F.length(digits_of(F.col("match"))).between(7, 19)))
     taken = base.groupBy("_doc", "_rank").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
     free = ~F.exists("taken", lambda x: (x.start < F.col("end")) & (x.end > F.col("start")))
     return words.join(taken, ["_doc", "_rank"], "left").where(F.col("taken").isNull() | free).drop("taken")
@@ -153,13 +166,16 @@ def scored(base: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def discovered(base: DataFrame, words: DataFrame) -> DataFrame:
-    """Words that patterns of high confidence make identifiers; each of its likeliest kind."""
+    """Candidates that patterns of high confidence make identifiers; each of its likeliest kind, the longest of nested ones."""
     patterns, scores = scored(base, words)
     sure = patterns.where(F.col("confidence") >= CONFIDENT)
     near = contexts(words).join(sure, "context").join(scores, ["match", "kind"]).where(
         (F.col("score") >= CONFIDENT) & has_shape(F.col("kind"), F.col("match")))
     best = F.max(F.struct("score", "kind")).alias("best")
-    return near.groupBy("_doc", "_rank", "start", "end").agg(best).select("_doc", "_rank", "best.kind", "start", "end")
+    spans = near.groupBy("_doc", "_rank", "start", "end").agg(best).select("_doc", "_rank", "best.kind", "start", "end")
+    ahead = Window.partitionBy("_doc", "_rank").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return spans.withColumn("_so_far", F.max("end").over(ahead)).where(
+        "_so_far IS NULL OR _so_far < end").drop("_so_far")
 
 
 def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -143,6 +143,20 @@ def test_contexts_find_unseen_identifiers(documents):
     assert found[102] == [] and found[101] == [] and not any(found[n] for n in range(20))
 
 
+def test_contexts_find_identifiers_of_several_words(documents):
+    docs = [(n, f"please phone +1 (743) 555-3{n:03d} about it. sold 20 30 40 50 {n} of them") for n in range(20)]
+    docs += [(100, "please phone (743) 555-3824 about it"), (101, "please phone 555 123 4567, about it"),
+             (102, "we sold 555 123 4567 of them"), (103, "please phone ((743) 555 3824) about 4 5 6"),
+             (104, "please phone (555 123 4567) about it"), (105, "please phone 5551238 about it")]
+    texts = dict(docs)
+    found = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.spans if not s.base]
+             for r in identifiers.find(documents(docs)).collect()}
+    assert found[100] == [("phone", "(743) 555-3824")] and found[101] == [("phone", "555 123 4567")]
+    assert found[103] == [("phone", "(743) 555 3824")] and found[104] == [("phone", "555 123 4567")]
+    assert found[105] == [("phone", "5551238")]
+    assert found[102] == [] and not any(found[n] for n in range(20))
+
+
 def test_identifier_query(spark, sf_dir):
     given = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     found = QUERIES["op10_contextual_identifiers"](spark, sf_dir).collect()
