@@ -31,8 +31,6 @@ BLOCK_TOKENS = 1_000_000
 CACHED_UNITS = 500_000
 #: A single one of these after a letter is a piece of its own at a unit's end.
 MARKS = ".,;:!?"
-#: Sequences looked at, cheapest first, before a piece is cut.
-LOOKS = 16
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, sequence_cost double")
@@ -97,8 +95,13 @@ def piece_cost(length: int, capacity: int) -> float:
     return length + length * length / capacity
 
 
-def assign(lengths: list[int], capacity: int, looks: int = LOOKS) -> tuple[list[tuple[int, int, int, int, int]], list[float]]:
-    """Pieces ``(document, start, length, sequence, offset)`` and each sequence's cost."""
+def assign(lengths: list[int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], list[float]]:
+    """Pieces ``(document, start, length, sequence, offset)`` and each sequence's cost.
+
+    Lengths only go down, so a sequence that has room once has it until it is chosen:
+    ``heap`` holds those by cost, the others are parked until the length has come
+    down to their room.
+    """
     pieces, costs, room, rest = [], [], [], []
     for doc, length in enumerate(lengths):
         whole = length // capacity * capacity
@@ -112,26 +115,31 @@ def assign(lengths: list[int], capacity: int, looks: int = LOOKS) -> tuple[list[
     heap = [(0.0, len(costs) + i) for i in range(open_sequences)]
     costs += [0.0] * open_sequences
     room += [capacity] * open_sequences
+    parked, by_room, waits = [], [], [False] * len(costs)
     heapq.heapify(rest)
     while rest:
         negative, doc, start = heapq.heappop(rest)
         length = -negative
-        aside = []
-        while heap and len(aside) < looks and room[heap[0][1]] < length:
-            aside.append(heapq.heappop(heap))
-        if heap and room[heap[0][1]] >= length:
+        while by_room and -by_room[0][0] >= length:
+            free, sequence = heapq.heappop(by_room)
+            if waits[sequence] and room[sequence] == -free:
+                waits[sequence] = False
+                heapq.heappush(heap, (costs[sequence], sequence))
+        if heap:
             _, chosen = heapq.heappop(heap)
         else:
-            _, chosen = aside.pop(0)
+            cost, chosen = heapq.heappop(parked)
+            while not waits[chosen] or cost != costs[chosen]:
+                cost, chosen = heapq.heappop(parked)
             heapq.heappush(rest, (room[chosen] - length, doc, start + room[chosen]))
             length = room[chosen]
-        for entry in aside:
-            heapq.heappush(heap, entry)
         pieces.append((doc, start, length, chosen, capacity - room[chosen]))
         room[chosen] -= length
         costs[chosen] += piece_cost(length, capacity)
-        if room[chosen]:
-            heapq.heappush(heap, (costs[chosen], chosen))
+        waits[chosen] = room[chosen] > 0
+        if waits[chosen]:
+            heapq.heappush(parked, (costs[chosen], chosen))
+            heapq.heappush(by_room, (-room[chosen], chosen))
     return pieces, costs
 
 

@@ -1,6 +1,7 @@
 """Bounded-load ring and packing."""
 
 import collections
+import heapq
 import zlib
 
 import numpy as np
@@ -134,3 +135,27 @@ def test_costs_are_balanced():
         in_order[-1] += packing.piece_cost(length, 1024)
         fill += length
     assert np.std(costs[:-1]) < np.std(in_order)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_cheapest_sequence_with_room(seed):
+    """Against a search of all sequences; a piece is cut only if none has room for it."""
+    rng = np.random.default_rng(seed)
+    lengths = [int(x) for x in rng.integers(1, (60, 400, 900, 1300, 530, 1024)[seed], 1500)]
+    pieces, costs = packing.assign(lengths, 1024)
+    first = sum(n // 1024 for n in lengths)
+    room, own = [0] * first + [1024] * (len(costs) - first), [packing.piece_cost(1024, 1024)] * first + [0.0] * (len(costs) - first)
+    rest = [(-(n % 1024), doc, n // 1024 * 1024) for doc, n in enumerate(lengths) if n % 1024]
+    expected = []
+    heapq.heapify(rest)
+    while rest:
+        length, doc, start = heapq.heappop(rest)
+        fits = [s for s in range(first, len(room)) if room[s] >= -length] or [s for s in range(first, len(room)) if room[s]]
+        chosen = min(fits, key=lambda s: (own[s], s))
+        size = min(-length, room[chosen])
+        if size < -length:
+            heapq.heappush(rest, (length + size, doc, start + size))
+        expected.append((doc, start, size, chosen, 1024 - room[chosen]))
+        room[chosen] -= size
+        own[chosen] += packing.piece_cost(size, 1024)
+    assert pieces[first:] == expected
