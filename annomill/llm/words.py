@@ -81,19 +81,19 @@ def spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers
     return mixed((sums[ends] - sums[starts]) * powers.upto(len(sums))[1][starts])
 
 
-def blank_separated() -> np.ndarray:
-    """What each byte counts as in a word: itself, or 0 if it separates words."""
-    table = np.arange(256, dtype=np.uint8)
-    table[SPACES] = 0
-    return table
+def blank_separated() -> tuple[np.ndarray, np.ndarray]:
+    """What each byte counts as in a word, and which bytes separate words; NUL does not."""
+    separates = np.zeros(256, dtype=bool)
+    separates[SPACES] = True
+    return np.arange(256, dtype=np.uint8), separates
 
 
-def letters_and_digits() -> np.ndarray:
+def letters_and_digits() -> tuple[np.ndarray, np.ndarray]:
     """As ``blank_separated``, but ASCII marks separate too and capitals count as small."""
-    table = np.arange(256, dtype=np.uint8)
+    table, separates = blank_separated()
     for i in range(128):
-        table[i] = ord(chr(i).lower()) if chr(i).isalnum() else 0
-    return table
+        table[i], separates[i] = ord(chr(i).lower()), not chr(i).isalnum()
+    return table, separates
 
 
 class Texts:
@@ -104,10 +104,10 @@ class Texts:
     of text i, ``doc`` the text of each word.
     """
 
-    def __init__(self, data: np.ndarray, edges: np.ndarray, table: np.ndarray | None = None):
+    def __init__(self, data: np.ndarray, edges: np.ndarray, table: tuple[np.ndarray, np.ndarray] | None = None):
         self.data, self.edges, self.n = data, edges, len(edges) - 1
-        self.table = blank_separated() if table is None else table
-        inside = (self.table != 0)[data]
+        self.table, separates = blank_separated() if table is None else table
+        inside = ~separates[data]
         new = inside.copy()
         new[1:] &= ~inside[:-1]
         inner = edges[:-1][(edges[:-1] < len(data))]
@@ -155,7 +155,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         begin = end
 
 
-def texts(batch: pa.RecordBatch, column: str, table: np.ndarray | None = None) -> Texts:
+def texts(batch: pa.RecordBatch, column: str, table: tuple[np.ndarray, np.ndarray] | None = None) -> Texts:
     return Texts(*bytes_of(batch.column(column)), table)
 
 

@@ -100,6 +100,13 @@ def test_repeated_bytes(seed, width, core, hot, documents, monkeypatch):
     assert len(found) == len(docs)
 
 
+def test_words_with_nul_bytes(documents):
+    """U+0000 is part of a word; the words behind it stay in step with their marks."""
+    docs = [(1, "a\x00b c d e f g"), (2, "x\x00y a b c d e f g z\x00 \x00"), (3, "p a\x00b c d e f g q"), (4, "\x00 \x00\x00")]
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substrings.remove_repeats(documents(docs), 5, 5).collect()}
+    assert [found[i] for i, _ in docs] == kept_words(docs, 5)
+
+
 def test_nothing_in_nothing_out(documents):
     assert suffixes.remove_repeats(documents([])).count() == 0
     assert substrings.remove_repeats(documents([])).count() == 0
