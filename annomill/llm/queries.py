@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact, identifiers, lines, neighbours, packing, sharding, substrings, suffixes, toxicity
+from . import (
+    centroids, decontamination, exact, identifiers, lines, neighbours, packing, sharding, substrings, suffixes, toxicity,
+    urls, variants)
 from .oracles import ORACLES  # noqa: F401
 
 SHARDS = 8
@@ -14,6 +16,11 @@ REPEAT_WORDS = 20
 REPEAT_BYTES = 400
 CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
 TOXIC_FROM = 0.5
+WORD_CHARS, WORD_COUNT = 7, 2
+#: One run in so many loses a letter, so that there are variants to find.
+DAMAGED = 31
+CLUSTERS, ROUNDS, SCALE = 16, 3, 64.0
+RULES = (("net/", urls.BLOCK), ("example.net/en/", urls.ALLOW), ("example.com/de/", urls.BLOCK), ("org/fr/", urls.ALLOW))
 
 
 def piece_columns() -> list:
@@ -108,7 +115,32 @@ def op10_contextual_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
                         identifiers.written(F.col("spans")).alias("spans"))
 
 
+def op11_fm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form and root of every frequent word of the documents, some runs of which lose a letter."""
+    found = variants.runs(table(spark, sf_dir, "documents"), least_chars=WORD_CHARS)
+    key = F.concat(F.coalesce(F.col("doc").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    found = found.withColumn("h", F.crc32(key.cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    less = F.concat(F.left("run", at), F.substring("run", at + 2, F.length("run")))
+    found = found.select(F.when(F.col("h") % DAMAGED == 0, less).otherwise(F.col("run")).alias("word"))
+    return variants.group(variants.words(found, WORD_CHARS, WORD_COUNT))
+
+
+def op12_table_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every embedding, after three rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), CLUSTERS, ROUNDS, scale=SCALE)[0]
+
+
+def op13_bloom_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages' URLs, by four rules and a list of URLs that several pages have."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{rule}', false, '{verdict}')" for rule, verdict in RULES)
+                      + " AS rules(entry, whole, verdict)")
+    return urls.judge(pages, rules.unionByName(urls.repeated(pages))).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {query.__name__: query for query in (
     op1_bounded_ring, op2_probminhash, op3_stateful_exact, op4_lyndon_suffixes, op5_doubling_substrings,
     op6_deletion_lines, op7_cost_packing, op8_latent_decontamination, op9_toxicity_chain,
-    op10_contextual_identifiers)}
+    op10_contextual_identifiers, op11_fm_variants, op12_table_centroids, op13_bloom_urls)}
