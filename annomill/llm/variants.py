@@ -42,6 +42,7 @@ FACTOR = 10
 BUCKET_CHARS = 1 << 17
 HOT_WORDS = 20_000
 REFINEMENTS = 3
+BUCKETS_IN_TASK = 8
 #: Bytes of a table of symbol counts; a larger text has one for every few places.
 TABLE_BYTES = 32 << 20
 #: Searches that go on together.
@@ -95,11 +96,20 @@ class Index:
         here = self.begins[None, :-1] + ahead[:, 1:] - ahead[:, :-1]
         return here, other[:, None] + counts[:, :-1], counts[:, 1:] - counts[:, :-1]
 
+    def two(self, ranks: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each rank, the symbols ahead that are smaller than one symbol, and those that are no greater."""
+        if self.stride > 1:
+            found, at = self.smaller(ranks), np.arange(len(ranks))
+            return found[at, symbol].astype(np.int64), found[at, symbol + 1].astype(np.int64)
+        flat, at = self.table.reshape(-1), ranks * (self.symbols + 1) + symbol
+        return flat[at].astype(np.int64), flat[at + 1].astype(np.int64)
+
     def one(self, low: np.ndarray, other: np.ndarray, size: np.ndarray, symbol: np.ndarray):
         """The same for one symbol of each search."""
-        here, there, sizes = self.grown(low, other, size)
-        at = np.arange(len(low))
-        return here[at, symbol], there[at, symbol], sizes[at, symbol]
+        ahead, ahead_with = self.two(low, symbol)
+        within, within_with = self.two(low + size, symbol)
+        return (self.begins[symbol] + ahead_with - ahead, other + within - ahead,
+                within_with - within - ahead_with + ahead)
 
 
 def coded(words: list[str]) -> tuple[list[np.ndarray], int]:
@@ -252,6 +262,8 @@ def near_words(vocabulary: DataFrame, bucket_chars: int = BUCKET_CHARS, hot_word
     chars = cut.agg(F.sum(F.length("word").cast("long"))).first()[0] or 0
     buckets = max(1, -(-chars // bucket_chars))
     dealt = cut.select("word", "n", "side", "half", "key", F.pmod("key", F.lit(buckets)).alias("bucket"))
+    # A number of its own keeps tasks of one size; by bytes, few tasks would seem enough.
+    dealt = dealt.repartition(-(-buckets // BUCKETS_IN_TASK), "bucket")
     found = dealt.groupBy("bucket").applyInArrow(near_in_bucket, "word string, near string, near_n long")
     return found.repartition("word").distinct()
 
