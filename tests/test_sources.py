@@ -222,7 +222,9 @@ def test_beside_the_outputs(spark, run_folder, as_rows):
     assert as_rows(inventory.filter("kind = 'input'"), "part", "rows", "bytes") == [
         (part, 3, 57) for part in ("AA_part1", "AA_part2", "AB", "CD")]
     assert as_rows(inventory.filter("kind = 'output'"), "part", "rows") == [("AA_part1", 4), ("AA_part2", 2), ("AB", 5)]
-    assert as_rows(read_errors(spark, str(run_folder))) == [("AB", "AB", "9", '{"code": "x", "n": 1}')]
+    errors = read_errors(spark, str(run_folder))
+    assert errors.columns == ["run", "demand", "part", "custom_id", "error", "response", "corrupt_record"]
+    assert as_rows(errors.drop("run")) == [("AB", "AB", "9", '{"code": "x", "n": 1}', None, None)]
     metadata = read_batch_metadata(spark, str(run_folder)).collect()
     assert [(m["demand"], m["id"], m["request_counts"]["failed"]) for m in metadata] == [("AB", "b1", 1)]
 
@@ -262,7 +264,8 @@ def test_run_with_filters(spark, run_folder, tmp_path, as_rows):
     write_annotations(nan_levels(run.long()), str(tmp_path / "out"), split_by_demand=True)
     lines = [json.loads(line) for f in (tmp_path / "out" / "demand=AA").glob("*.json") for line in open(f)]
     assert lines == [{"custom_id": "3", "level": "NaN", "prompt": "new"}]
-    assert as_rows(run.summary()) == [(1, 0, 0.0, 1, 100.0)]
+    assert as_rows(run.summary(), "total", "successful", "successful_percent", "failed", "failed_percent") == [(1, 0, 0.0, 1, 100.0)]
+    assert run.summary().first()["bad"] == run.bad().count()
     assert as_rows(run.failures()) == [("length", 1, 100.0)]
 
 
