@@ -375,6 +375,7 @@ ORACLES = {
     "write_annotations_csv": _FROM_LONG,
     "write_annotations_parquet": _FROM_LONG,
     "split_by_demand": _FROM_LONG,
+    "write_annotations_kept": _FROM_LONG,
     "render_instruction": _with(
         _RUBRICS, _RENDERED,
         select=f"SELECT custom_id, demand, {_digest('instruction', 'instruction')} FROM rendered"),

@@ -6,6 +6,7 @@ returned as MD5 and byte length of the whole text.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -192,6 +193,20 @@ def split_by_demand(spark, sf_dir):
     return _read_back(spark.read.schema(_LONG_SCHEMA).json(path))
 
 
+def write_annotations_kept(spark, sf_dir):
+    """What a folder holds after a good write and two that failed."""
+    path = _written_annotations(spark, sf_dir, "parquet")
+    rows = annotate.nan_levels(_long(spark, sf_dir))
+    broken = F.when(F.col("custom_id") == "7", F.raise_error(F.lit("lost"))).otherwise(F.col("custom_id"))
+    for failing in (rows.where("level > 9"), rows.withColumn("custom_id", broken)):
+        try:
+            write_annotations(failing, path, "parquet")
+        except (ValueError, PySparkException):
+            continue
+        raise RuntimeError("a write that cannot succeed did")
+    return _read_back(spark.read.parquet(path))
+
+
 # --- Projections and filters ---------------------------------------------------
 
 def render_instruction(spark, sf_dir):
@@ -702,7 +717,7 @@ QUERIES = {
         write_requests_bytes, batch_summary_runs, general_summary_runs, stream_summary_runs, annotation_summary_broken,
         stream_outputs_broken, read_batch_metadata, job_ledger,
         write_requests, write_annotations_jsonl, write_annotations_csv, write_annotations_parquet,
-        split_by_demand,
+        split_by_demand, write_annotations_kept,
         render_instruction, build_request, demand_of_path, extract_level, extract_level_guarded,
         annotate_long, bad_rows, annotate_long_broken, annotate_long_drop_file, finish_bucket,
         filter_finish_reason, filter_outcome, filter_outcome_succeed, only_levels, filter_demands,

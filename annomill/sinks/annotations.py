@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .staged import staged
+
 FORMATS = ("jsonl", "csv", "parquet")
 
 
 def write_annotations(
     annotations: DataFrame, path: str, format: str = "jsonl", split_by_demand: bool = False
 ) -> None:
-    """Writes long or wide annotations as they are.
+    """Writes long or wide annotations as they are, in place of what ``path`` held before.
 
     ``split_by_demand`` gives one folder ``demand=<demand>`` per demand; it
     needs the long form.  Each task writes its own rows, so nothing is
     shuffled and a large demand is written by many tasks.  The annotations are
-    computed once; that there are none shows only then, and is an error.
+    computed once; that there are none shows only then, and is an error.  After any
+    error ``path`` holds what it held before: see ``staged``.
     """
     if format not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}")
@@ -28,20 +31,21 @@ def write_annotations(
     if format == "csv" and nested:
         raise ValueError("nested annotations cannot be written as CSV")
 
-    written = Observation()
-    annotations = annotations.observe(written, F.count(F.lit(1)).alias("rows"))
-    writer = annotations.write.mode("overwrite")
-    if split_by_demand:
-        writer = writer.partitionBy("demand")
-    if format == "jsonl":
-        writer.json(path)
-    elif format == "parquet":
-        writer.parquet(path)
-    else:
-        # Answers may hold line breaks, quotes and leading blanks.
-        writer.options(
-            header=True, escape='"', quoteAll=False,
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        ).csv(path)
-    if not written.get.get("rows"):
-        raise ValueError("no annotations to write")
+    with staged(annotations.sparkSession, path) as place:
+        written = Observation()
+        observed = annotations.observe(written, F.count(F.lit(1)).alias("rows"))
+        writer = observed.write.mode("overwrite")
+        if split_by_demand:
+            writer = writer.partitionBy("demand")
+        if format == "jsonl":
+            writer.json(place)
+        elif format == "parquet":
+            writer.parquet(place)
+        else:
+            # Answers may hold line breaks, quotes and leading blanks.
+            writer.options(
+                header=True, escape='"', quoteAll=False,
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            ).csv(place)
+        if not written.get.get("rows"):
+            raise ValueError("no annotations to write")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.paths import demand_of_part, demand_of_path, part_of_path, run_of_path
+from ..sinks.staged import staged
 
 
 def read_errors(
@@ -70,4 +71,6 @@ def launched_demands(ledger: DataFrame) -> DataFrame:
 
 
 def write_job_ledger(ledger: DataFrame, path: str) -> None:
-    ledger.select("demand", "part", "batch_id").write.mode("overwrite").json(path)
+    """Replaces the ledger at ``path``, which may be what ``ledger`` was read from."""
+    with staged(ledger.sparkSession, path) as place:
+        ledger.select("demand", "part", "batch_id").write.json(place)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from annomill.operators.annotate import annotate_long
 from annomill.operators.reshape import nest_wide, pivot_wide
 from annomill.operators.usage import batch_usage
+from annomill.sinks import staged as staging
 from annomill.sinks.annotations import write_annotations
+from annomill.sinks.staged import settle, staged
 from annomill.sources.outputs import read_outputs
 from annomill.streaming.outputs import landing_outputs, read_annotations, stream_outputs
 from annomill.streaming.status import compact_status, latest_status, pending, read_status, stream_status
@@ -46,6 +48,65 @@ def test_split_by_demand(spark, tmp_path, long, format):
     assert {path.name for path in tmp_path.glob("demand=*")} == {"demand=X", "demand=Y"}
 
 
+@pytest.mark.parametrize("format", ["jsonl", "csv", "parquet"])
+@pytest.mark.parametrize("split", [False, True])
+def test_failed_writes_leave_the_earlier_result(spark, tmp_path, long, as_rows, format, split):
+    path = str(tmp_path / "out")
+    write_annotations(long, path, format, split)
+    names = sorted(f for _, _, files in os.walk(path) for f in files)
+    with pytest.raises(ValueError, match="no annotations"):
+        write_annotations(long.where("demand = 'Z'"), path, format, split)
+    failing = long.repartition(3).withColumn("custom_id", F.when(F.col("custom_id") == "b", F.raise_error(F.lit("lost")))
+                                             .otherwise(F.col("custom_id")))
+    with pytest.raises(Exception, match="lost"):
+        write_annotations(failing, path, format, split)
+    with pytest.raises(ValueError, match="no annotations"):
+        write_annotations(long.limit(0), str(tmp_path / "new"), format, split)
+    assert sorted(f for _, _, files in os.walk(path) for f in files) == names
+    assert os.listdir(tmp_path) == ["out"]
+
+
+def test_a_result_may_replace_what_it_was_read_from(spark, tmp_path, long, as_rows):
+    path = str(tmp_path / "out")
+    write_annotations(long, path, "parquet")
+    write_annotations(spark.read.parquet(path).where("demand = 'X'"), path, "parquet")
+    spark.catalog.refreshByPath(path)
+    assert as_rows(spark.read.parquet(path), "custom_id", "demand") == [("a", "X"), ("b", "X")]
+
+
+def test_a_write_that_ended_between_its_renames(spark, tmp_path):
+    path, aside = tmp_path / "out", tmp_path / ".out.before-1"
+    aside.mkdir()
+    (aside / "x").write_text("earlier")
+    settle(spark, str(path))
+    assert (path / "x").read_text() == "earlier" and os.listdir(tmp_path) == ["out"]
+    # With a target, what stepped aside is of no use any more.
+    aside.mkdir()
+    settle(spark, str(path))
+    assert os.listdir(tmp_path) == ["out"]
+    with pytest.raises(OSError, match="nothing was written"):
+        with staged(spark, str(path)):
+            pass
+    with pytest.raises(RuntimeError):
+        with staged(spark, str(path)) as place:
+            os.makedirs(place.removeprefix("file:"))
+            raise RuntimeError
+    assert (path / "x").read_text() == "earlier" and os.listdir(tmp_path) == ["out"]
+
+
+def test_a_rename_that_fails_puts_the_earlier_result_back(spark, tmp_path, monkeypatch):
+    path = tmp_path / "out"
+    path.mkdir()
+    (path / "x").write_text("earlier")
+    rename = staging._Folder.rename
+    monkeypatch.setattr(staging._Folder, "rename", lambda self, source, target: rename(
+        self, staging._Folder.beside(self, "gone", "0") if ".staged-" in source.toString() else source, target))
+    with pytest.raises(Exception):
+        with staged(spark, str(path)) as place:
+            os.makedirs(place.removeprefix("file:"))
+    assert (path / "x").read_text() == "earlier"
+
+
 def test_what_cannot_be_written(tmp_path, long):
     wide = pivot_wide(long.withColumn("o", F.lit(1)), F.col("o"), ["X", "Y"])
     nested = nest_wide(long.withColumn("o", F.lit(1)), F.col("o"), ["X", "Y"])
