@@ -543,6 +543,9 @@ ORACLES = {
     "stream_pending": f"""SELECT * FROM (SELECT 'batch_' || CAST(user_id AS VARCHAR) AS batch_id,
             arg_max({_STATUS}, (ts, event_id)) AS status, arg_max(event_id, (ts, event_id)) AS event_id
           FROM events GROUP BY user_id) WHERE status NOT IN ('completed', 'failed')""",
+    "stream_status_tracked": f"""SELECT * FROM (SELECT 'batch_' || CAST(user_id AS VARCHAR) AS batch_id,
+            arg_max({_STATUS}, (ts, event_id)) AS status, arg_max(event_id, (ts, event_id)) AS event_id
+          FROM events GROUP BY user_id) WHERE status IN ('completed', 'failed')""",
     "stream_outputs": _FROM_LONG,
     "stream_outputs_broken": _over_outputs(
         """SELECT custom_id, demand, level, false AS quarantined FROM levels WHERE demand <> 'AB' OR finish_reason = 'stop'

@@ -23,6 +23,7 @@ from ..sources import rubrics as rubric_files
 from ..streaming import outputs as output_stream
 from ..streaming import status as status_stream
 from ..streaming import summaries as summary_stream
+from ..streaming import tracking
 from ..session import new_scratch, stored
 from . import derived as d
 from .runs import collect_run, create_requests
@@ -198,7 +199,7 @@ def write_annotations_kept(spark, sf_dir):
     path = _written_annotations(spark, sf_dir, "parquet")
     rows = annotate.nan_levels(_long(spark, sf_dir))
     broken = F.when(F.col("custom_id") == "7", F.raise_error(F.lit("lost"))).otherwise(F.col("custom_id"))
-    for failing in (rows.where("level > 9"), rows.withColumn("custom_id", broken)):
+    for failing in (rows.where("demand = 'none'"), rows.withColumn("custom_id", broken)):
         try:
             write_annotations(failing, path, "parquet")
         except (ValueError, PySparkException):
@@ -666,6 +667,19 @@ def stream_pending(spark, sf_dir):
     return status_stream.pending(stream_status(spark, sf_dir))
 
 
+def stream_status_tracked(spark, sf_dir):
+    """Batches that will finish, watched by a stream that ends when they have."""
+    schema = d.table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    jobs = d.jobs(spark, sf_dir).filter(F.col("status").isin(*status_stream.FINISHED))
+    launched = stored(jobs.select(F.col("id").alias("batch_id")), "launched")
+    ours = d.status_events(events).select("batch_id", "status", "ts", "event_id").join(launched, "batch_id", "left_semi")
+    table = new_scratch(spark, "tracked")
+    query = tracking.track_status(ours, table, new_scratch(spark, "tracked-checkpoint"), launched, interval="1 second")
+    query.awaitTermination()
+    return tracking.read_tracked(spark, table).select("batch_id", "status", "event_id")
+
+
 def stream_outputs(spark, sf_dir):
     landing = output_stream.landing_outputs(spark, d.landed(spark, sf_dir), WRITTEN_GLOB, max_files=16)
     path = new_scratch(spark, "stream-annotations")
@@ -730,7 +744,7 @@ QUERIES = {
         input_tokens_approx, estimate_cost, estimate_cost_exact, validate_prompts, validate_rubrics,
         need_split, split_plan, halve_part,
         union_outputs, pivot_wide, nest_wide, pivot_wide_last, nest_wide_last,
-        stream_status, stream_outputs, stream_summary,
+        stream_status, stream_status_tracked, stream_outputs, stream_summary,
         annotation_run,
     )
 }

@@ -35,6 +35,21 @@ def _folders(spark: SparkSession, table: str) -> tuple[list[int], list[int]]:
     return sorted(found["epoch"]), sorted(found["upto"])
 
 
+def newest_epoch(spark: SparkSession, table: str) -> int | None:
+    """The last micro-batch whose folder is complete."""
+    epochs, _ = _folders(spark, table)
+    return epochs[-1] if epochs else None
+
+
+def drop_epochs_before(spark: SparkSession, table: str, epoch: int) -> None:
+    """For tables whose every epoch holds all rows."""
+    epochs, _ = _folders(spark, table)
+    _, files = _files(spark, table)
+    for old in epochs:
+        if old < epoch:
+            files.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/epoch={old}"), True)
+
+
 def read_epochs(spark: SparkSession, table: str, schema: StructType | str | None = None) -> DataFrame:
     """The rows of the newest compaction and of the epochs after it."""
     epochs, compacted = _folders(spark, table)
