@@ -331,6 +331,7 @@ _LAST = """last AS (
 ORACLES = {
     "read_prompts_jsonl": _PROMPTS,
     "read_prompts_csv": _PROMPTS,
+    "read_prompts_csv_parallel": _PROMPTS,
     "read_prompts_parquet": _PROMPTS,
     "prompts_only": "SELECT text AS prompt FROM documents",
     "load_rubrics": _with(

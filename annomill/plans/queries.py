@@ -54,6 +54,15 @@ def read_prompts_csv(spark, sf_dir):
     return prompt_files.read_prompts(spark, d.prompt_files(spark, sf_dir, "csv"), "csv")
 
 
+def read_prompts_csv_parallel(spark, sf_dir):
+    """One CSV file of all prompts, with their line breaks, read by many tasks."""
+    path = d.written(spark, sf_dir, "prompts-one-csv", lambda path: (
+        d.prompts(spark, sf_dir).coalesce(1).write.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    ))
+    return prompt_files.read_prompts(spark, path, "csv", multiline="parallel")
+
+
 def read_prompts_parquet(spark, sf_dir):
     return prompt_files.read_prompts(spark, d.prompt_files(spark, sf_dir, "parquet"), "parquet")
 
@@ -726,7 +735,7 @@ def annotation_run(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
-        read_prompts_jsonl, read_prompts_csv, read_prompts_parquet, prompts_only, load_rubrics,
+        read_prompts_jsonl, read_prompts_csv, read_prompts_csv_parallel, read_prompts_parquet, prompts_only, load_rubrics,
         read_outputs, part_inventory, read_errors, read_errors_whole, input_tokens_rendered, stream_pending,
         write_requests_bytes, batch_summary_runs, general_summary_runs, stream_summary_runs, annotation_summary_broken,
         stream_outputs_broken, read_batch_metadata, job_ledger,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators.positions import position_columns
+from ..operators.positions import POSITION, position_columns
+from .csv_records import read_csv_records
 
 _CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"'}
 
@@ -19,10 +20,10 @@ def _require(frame: DataFrame, columns: list[str], place: str) -> None:
 
 
 def _apply_mode(
-    frame: DataFrame, columns: list[str], mode: str, position: bool, broken=None
+    frame: DataFrame, columns: list[str], mode: str, position: bool, broken=None, placed: bool = False
 ) -> DataFrame:
     """``strict`` fails the job on the first bad row, ``quarantine`` drops bad
-    rows (``validate_prompts`` lists them)."""
+    rows (``validate_prompts`` lists them).  ``placed`` rows have their position already."""
     if mode not in ("strict", "quarantine"):
         raise ValueError("mode must be 'strict' or 'quarantine'")
     if position and mode != "strict":
@@ -33,12 +34,13 @@ def _apply_mode(
     if mode == "quarantine":
         return frame.filter(~bad).select(*columns)
     complaint = F.raise_error(F.concat(
-        F.lit(f"a row lacks {' or '.join(columns)} in "), F.col("_metadata.file_path"),
+        F.lit(f"a row lacks {' or '.join(columns)} in "), F.col("file_path" if placed else "_metadata.file_path"),
         F.lit(", custom_id "), F.coalesce(F.col("custom_id"), F.lit("(none)"))
         if "custom_id" in columns else F.lit("(not read)"),
     ))
     checked = [F.when(bad, complaint).otherwise(F.col(name)).alias(name) for name in columns]
-    return frame.select(*checked, *(position_columns() if position else []))
+    places = POSITION if placed else position_columns()
+    return frame.select(*checked, *(places if position else []))
 
 
 def _read_jsonl(spark, path, columns, mode, position):
@@ -51,9 +53,11 @@ def _read_jsonl(spark, path, columns, mode, position):
 def _read_csv(spark, path, columns, mode, position, multiline):
     # Without inference every CSV column is a string.  The first file's header names
     # the columns; a file whose header differs fails the job instead of being misread.
-    options = {**_CSV_OPTIONS, "multiLine": multiline, "enforceSchema": False}
+    options = {**_CSV_OPTIONS, "multiLine": bool(multiline), "enforceSchema": False}
     raw = spark.read.options(**options).csv(path)
     _require(raw, columns, path if isinstance(path, str) else ", ".join(path))
+    if multiline == "parallel":
+        return _apply_mode(read_csv_records(spark, path, raw.columns), columns, mode, position, placed=True)
     return _apply_mode(raw, columns, mode, position)
 
 
@@ -81,7 +85,7 @@ def read_prompts(
     path: str | list[str],
     format: str = "jsonl",
     mode: str = "strict",
-    multiline: bool = True,
+    multiline: bool | str = True,
     position: bool = False,
 ) -> DataFrame:
     """The two prompt columns; any others are never read.
@@ -89,7 +93,8 @@ def read_prompts(
     ``position`` adds the columns that say where in the files a row is.
 
     CSV prompts may hold line breaks, which keeps Spark from splitting a CSV
-    file.  For huge CSV files without line breaks pass ``multiline=False``.
+    file.  For huge CSV files pass ``multiline="parallel"``: see ``csv_records``, whose
+    rules for quotes are stricter.  Without any line breaks in quotes ``multiline=False`` will do.
     """
     return _read(spark, path, ["custom_id", "prompt"], format, mode, multiline, position)
 
@@ -99,7 +104,7 @@ def prompts_only(
     path: str | list[str],
     format: str = "jsonl",
     mode: str = "strict",
-    multiline: bool = True,
+    multiline: bool | str = True,
 ) -> DataFrame:
     """The prompt column alone; ``custom_id`` need not exist."""
     return _read(spark, path, ["prompt"], format, mode, multiline)
