@@ -203,38 +203,51 @@ def batch_summary(
 
 # --- Over all batches --------------------------------------------------------
 
-def _with_overall_mean(summaries: DataFrame) -> DataFrame:
-    """Adds ``_overall``: mean completion tokens over all batches, weighted with their requests."""
-    n, mean = F.col("requests_total"), F.coalesce("tokens_avg_completion", F.lit(0.0))
-    overall = summaries.agg(F.try_divide(F.sum(n * mean), F.sum(n)).alias("mean")).scalar()
-    return summaries.withColumn("_overall", overall)
-
-
 def _pooled_sums() -> list[Column]:
-    n, overall = F.col("requests_total"), F.col("_overall")
-    off = F.coalesce("tokens_avg_completion", F.lit(0.0)) - overall
+    """Sums over batches from which mean and deviation follow, in any grouping and in one pass.
+
+    A mean is cut into its whole number and the rest, so that the large terms, which
+    cancel in the end, are sums of whole numbers and exact.
+    """
+    n, mean = F.col("requests_total"), F.coalesce("tokens_avg_completion", F.lit(0.0))
     std = F.coalesce("tokens_std_completion", F.lit(0.0))
+    count, whole = n.cast("decimal(19,0)"), F.floor(mean).cast("decimal(19,0)")
+    rest = mean - F.floor(mean)
+    weighted = (count * whole).cast("decimal(38,0)")
     return [
         F.coalesce(F.sum("tokens_completion"), F.lit(0)).alias("tokens_completion"),
         F.sum(n).alias("_n"),
-        F.max(overall).alias("_mean"),
-        # Squares within the batches, and of the batches' means around the overall one.
-        F.sum((n - 1) * std * std + n * off * off).alias("_squares"),
+        F.sum(weighted).alias("_wholes"),
+        F.sum((weighted * whole).cast("decimal(38,0)")).alias("_whole_squares"),
+        F.sum(count * rest.cast("decimal(16,16)")).alias("_rests"),
+        F.sum(weighted.cast("decimal(22,0)") * rest.cast("decimal(16,16)")).alias("_products"),
+        F.sum(n * rest * rest).alias("_rest_squares"),
+        # Squares within the batches.
+        F.sum((n - 1) * std * std).alias("_within"),
         F.max("tokens_max_completion").alias("_max"),
         F.min("tokens_min_completion").alias("_min"),
     ]
 
 
 def _pooled_columns() -> list[Column]:
-    n = F.col("_n")
-    deviation = F.when(n > 1, F.sqrt(F.greatest(F.col("_squares"), F.lit(0.0)) / (n - 1))).otherwise(0.0)
+    n, count = F.col("_n"), F.col("_n").cast("decimal(19,0)")
+    wholes, rests = F.col("_wholes"), F.col("_rests")
+    mean = F.try_divide(wholes.cast("double") + rests.cast("double"), n)
+    # n times the squares of the batches' means around the overall one.
+    spread = (
+        (F.col("_whole_squares") * count - wholes * wholes).cast("double")
+        + 2 * (F.col("_products") * count - wholes * rests).cast("double")
+        + F.col("_rest_squares") * n - rests.cast("double") * rests.cast("double")
+    )
+    squares = F.col("_within") + F.try_divide(spread, n)
+    deviation = F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1))).otherwise(0.0)
 
     def or_zero(value, zero):
         return F.when(F.col("tokens_completion") > 0, value).otherwise(F.lit(zero))
 
     return [
         F.col("tokens_completion"),
-        or_zero(F.col("_mean"), 0.0).alias("tokens_avg_completion"),
+        or_zero(mean, 0.0).alias("tokens_avg_completion"),
         or_zero(deviation, 0.0).alias("tokens_std_completion"),
         or_zero(F.col("_max"), 0).alias("tokens_max_completion"),
         or_zero(F.col("_min"), 0).alias("tokens_min_completion"),
@@ -245,11 +258,11 @@ def pooled_token_stats(summaries: DataFrame) -> DataFrame:
     """Completion tokens of all batches from their summaries alone.
 
     Means and deviations are weighted with ``requests_total``: the variance is
-    ``(sum (n-1) s^2 + sum n (m-M)^2) / (N-1)`` with M the overall mean, which is
-    taken first: the summaries are few, and nothing cancels.  All zero if no batch
+    ``(sum (n-1) s^2 + sum n (m-M)^2) / (N-1)`` with M the overall mean.  The
+    summaries are gone through once, however they were made.  All zero if no batch
     has completion tokens.
     """
-    return _with_overall_mean(summaries).agg(*_pooled_sums()).select(*_pooled_columns())
+    return summaries.agg(*_pooled_sums()).select(*_pooled_columns())
 
 
 def general_summary(summaries: DataFrame) -> DataFrame:
@@ -266,7 +279,7 @@ def general_summary(summaries: DataFrame) -> DataFrame:
             "finish_stop", "finish_length", "finish_other",
             "tokens_prompt", "tokens_total", "cost_prompt", "cost_completion", "cost_total"]
     finished = F.col("finish_stop") + F.col("finish_length") + F.col("finish_other")
-    return _with_overall_mean(summaries).agg(
+    return summaries.agg(
         F.count("*").alias("batches"),
         F.count_distinct(*[name for name in ("run",) if name in summaries.columns], "subdomain").alias("n_subdomains"),
         F.sort_array(F.collect_set(demand)).alias("demands"),

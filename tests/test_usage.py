@@ -1,9 +1,12 @@
 import math
+import random
 import statistics
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
+from annomill.plans.queries import QUERIES
 from annomill.operators.usage import (
     annotation_summary, batch_progress, batch_summary, batch_usage, failed_breakdown, general_summary,
     merge_usage, pooled_token_stats, status_histogram, summary_members, usage_partials,
@@ -94,6 +97,31 @@ def test_pooled_statistics_are_those_of_all_lines(summaries, lines):
     assert (pooled["tokens_max_completion"], pooled["tokens_min_completion"]) == (max(tokens), 0)
 
 
+def test_pooled_statistics_of_large_and_close_means(spark):
+    """Means far from zero and close together, where sums of squares of doubles would cancel."""
+    rng = random.Random(2)
+    batches = [(rng.randrange(1, 50_000), 1e6 + rng.random() / 1000, rng.random()) for _ in range(200)] + [(3, None, None)]
+    frame = spark.createDataFrame([(n, m, s, 7, 9, 1) for n, m, s in batches],
+                                  "requests_total long, tokens_avg_completion double, tokens_std_completion double, "
+                                  "tokens_completion long, tokens_max_completion long, tokens_min_completion long")
+    for some in (batches[:-1], batches):
+        total = sum(n for n, _, _ in some)
+        exact = [(n, Fraction(m or 0), Fraction(s or 0)) for n, m, s in some]
+        mean = sum(n * m for n, m, _ in exact) / total
+        squares = sum((n - 1) * s * s + n * (m - mean) ** 2 for n, m, s in exact)
+        row = pooled_token_stats(frame.where("tokens_avg_completion IS NOT NULL") if len(some) == 200 else frame).first()
+        assert math.isclose(row.tokens_avg_completion, mean, rel_tol=1e-14)
+        assert math.isclose(row.tokens_std_completion, math.sqrt(squares / (total - 1)), rel_tol=1e-9)
+
+
+def test_one_pass_over_what_the_summaries_are_made_of(spark, sf_dir):
+    for name in ("general_summary", "pooled_token_stats"):
+        frame = QUERIES[name](spark, sf_dir)
+        plan = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+        # One scan for the usage and one for the derived metadata.
+        assert plan.count("\nLocation:") == 2 and "Subquery" not in plan, name
+
+
 def test_pooled_without_tokens(summaries):
     pooled = pooled_token_stats(summaries.filter("batch_id = 'b5'")).first()
     assert tuple(pooled) == (0, 0.0, 0.0, 0, 0)
