@@ -109,11 +109,13 @@ def annotate_marked(
     only_failed: bool = False,
     only_levels: bool = False,
     guard_section_number: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Annotations and bad lines together, told apart by ``quarantined``; one pass.
 
     ``custom_id, demand, part, level[, finish_reason, model_response], file_path,
-    corrupt_record``: the last two are for bad lines, which have no level.
+    corrupt_record``: the last two are for bad lines, which have no level.  ``keep``
+    passes further input columns through.
     """
     bad = _bad_row()
     answer = F.when(~bad & (F.col("finish_reason") == "stop"), extract_level(F.col("content"), guard_section_number))
@@ -122,7 +124,7 @@ def annotate_marked(
     texts = [] if only_levels else ["finish_reason", F.col("content").alias("model_response")]
     return rows.select(
         "custom_id", "demand", "part", "level", *texts, "quarantined",
-        F.when(F.col("quarantined"), F.col("file_path")).alias("file_path"), "corrupt_record",
+        F.when(F.col("quarantined"), F.col("file_path")).alias("file_path"), "corrupt_record", *keep,
     )
 
 

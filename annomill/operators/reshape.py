@@ -24,18 +24,38 @@ def _last_of(demand: str, value: Column, order: Column) -> Column:
     return F.max_by(F.when(here, value), F.when(here, order))
 
 
+def _alike(name: str | None) -> list[Column]:
+    return [] if name is None else [F.xxhash64(F.col(name)).alias("_alike")]
+
+
+def _alike_bounds(name: str | None) -> list[Column]:
+    # Numbers, so that the aggregate stays in hash form.
+    return [] if name is None else [F.min("_alike").alias("_least"), F.max("_alike").alias("_most")]
+
+
+def _one_value(grouped: DataFrame, by: Sequence[str], alike: str | None) -> DataFrame:
+    """Fails on a row whose ``alike`` had several values; the keys stay as they are, and with them the partitioning."""
+    if alike is None:
+        return grouped
+    several = F.raise_error(F.concat(F.lit(f"several values of {alike} for "), F.coalesce(by[-1], F.lit("(none)"))))
+    return grouped.where(F.when(F.col("_least") == F.col("_most"), F.lit(True)).otherwise(several))
+
+
 def pivot_wide(
     annotations: DataFrame,
     order_by: Column,
     demands: Sequence[str] | None = None,
     on_duplicate: str = "last",
     failures_as: str = "nan",
+    by: Sequence[str] = ("custom_id",),
+    alike: str | None = None,
 ) -> DataFrame:
-    """One level column per demand.
+    """One level column per demand, one row for each ``by``.
 
     ``order_by`` decides which of several annotations of a prompt and demand
     counts (``last``); with ``on_duplicate="error"`` there may be only one.
-    A numeric order keeps the aggregate in hash form.
+    A numeric order keeps the aggregate in hash form.  ``alike`` names a column that
+    must be the same within a row, such as the run.
     """
     if on_duplicate not in ("last", "error"):
         raise ValueError("on_duplicate must be 'last' or 'error'")
@@ -47,9 +67,10 @@ def pivot_wide(
     if on_duplicate == "error":
         cells += [F.count_if(F.col("demand") == demand).alias(f"_n_{demand}") for demand in demands]
     wide = (
-        annotations.select("custom_id", "demand", "level", order_by.alias("_order"))
-        .groupBy("custom_id").agg(*cells)
+        annotations.select(*by, "demand", "level", order_by.alias("_order"), *_alike(alike))
+        .groupBy(*by).agg(*cells, *_alike_bounds(alike))
     )
+    wide = _one_value(wide, by, alike)
     columns = []
     for demand in demands:
         cell = F.col(f"`{demand}`")
@@ -59,7 +80,7 @@ def pivot_wide(
         if failures_as == "nan":
             cell = F.coalesce(cell, F.lit(float("nan")))
         columns.append(cell.alias(demand))
-    return wide.select("custom_id", *columns)
+    return wide.select(*by, *columns)
 
 
 def nest_wide(
@@ -67,11 +88,14 @@ def nest_wide(
     order_by: Column,
     demands: Sequence[str] | None = None,
     failures_as: str = "nan",
+    by: Sequence[str] = ("custom_id",),
+    alike: str | None = None,
 ) -> DataFrame:
     """``custom_id, demand MAP<demand, STRUCT<level, ...>>[, prompt]``.
 
     The structs hold whichever of ``level, finish_reason, model_response`` the
-    input has.  Later annotations replace earlier ones.
+    input has.  Later annotations replace earlier ones.  ``by`` and ``alike`` are those
+    of ``pivot_wide``.
     """
     if failures_as not in ("nan", "null"):
         raise ValueError("failures_as must be 'nan' or 'null'")
@@ -89,17 +113,18 @@ def nest_wide(
     if with_prompt:
         cells.append(F.max_by("prompt", order).alias("prompt"))
     grouped = (
-        annotations.select("custom_id", "demand", value.alias("_value"), order_by.alias("_order"),
+        annotations.select(*by, "demand", value.alias("_value"), order_by.alias("_order"), *_alike(alike),
                            *(["prompt"] if with_prompt else []))
-        .groupBy("custom_id").agg(*cells)
+        .groupBy(*by).agg(*cells, *_alike_bounds(alike))
     )
+    grouped = _one_value(grouped, by, alike)
     entries = F.array(*[
         F.when(F.col(f"_{i}").isNotNull(), F.struct(F.lit(demand).alias("key"),
                                                    F.col(f"_{i}").alias("value")))
         for i, demand in enumerate(demands)
     ])
     nested = F.map_from_entries(F.array_compact(entries)).alias("demand")
-    return grouped.select("custom_id", nested, *(["prompt"] if with_prompt else []))
+    return grouped.select(*by, nested, *(["prompt"] if with_prompt else []))
 
 
 def unnest_wide(nested: DataFrame) -> DataFrame:

@@ -328,6 +328,16 @@ _LAST = """last AS (
   FROM (SELECT l.*, t.source, row_number() OVER (PARTITION BY t.source, l.demand ORDER BY l.doc_id DESC) AS age
     FROM levels l JOIN documents t ON t.doc_id = l.doc_id) WHERE age = 1)"""
 
+_PROMPTED = _over_outputs(
+    f"""SELECT l.custom_id, l.demand, l.level, l.finish_reason, {_digest('t.text', 'prompt')}
+      FROM levels l JOIN documents t ON t.doc_id = l.doc_id""", _LEVELS)
+
+
+def _pivoted(keys: str) -> str:
+    cells = ", ".join(f"max(level) FILTER (demand = '{name}') AS \"{name}\"" for name in d.ACRONYMS)
+    return f"SELECT {keys}, {cells} FROM levels GROUP BY {keys}"
+
+
 ORACLES = {
     "read_prompts_jsonl": _PROMPTS,
     "read_prompts_csv": _PROMPTS,
@@ -553,6 +563,13 @@ ORACLES = {
           UNION ALL SELECT CASE WHEN finish_reason = 'length' THEN custom_id END, demand, NULL, true
           FROM levels WHERE demand = 'AB' AND finish_reason <> 'stop'""", _LEVELS),
     "stream_summary": _GENERAL,
+    "stream_outputs_prompts": _PROMPTED,
+    "stream_outputs_runs": _over_runs("SELECT run, custom_id, demand, level FROM levels", _LEVELS),
+    "annotate_long_runs": _over_runs("SELECT run, custom_id, demand, level, finish_reason FROM levels", _LEVELS),
+    "pivot_wide_runs": _over_runs(_pivoted("run, custom_id"), _LEVELS),
+    "kept_run_long": _PROMPTED,
+    "kept_run_wide": _over_outputs(_pivoted("custom_id"), _LEVELS),
+    "kept_run_nested": _PROMPTED,
     "annotation_run": _over_outputs(
         f"""SELECT l.custom_id, l.demand, l.level, l.finish_reason, {_digest('t.text', 'prompt')}
           FROM levels l JOIN documents t ON t.doc_id = l.doc_id WHERE l.level IS NOT NULL""", _LEVELS),

@@ -6,6 +6,8 @@ returned as MD5 and byte length of the whole text.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,15 @@ PREFIXES = ["A", "CD_part1", "XY"]
 WRITTEN_GLOB = "*.json"
 
 
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def table_name(label: str) -> str:
+    """A name in the session's catalogue that nothing has used yet."""
+    return f"annomill_{label}_{uuid.uuid4().hex}"
+
+
 def _digest(text: str, name: str):
     return [F.md5(F.col(text)).alias(f"{name}_md5"), F.octet_length(text).alias(f"{name}_bytes")]
 
@@ -700,6 +711,27 @@ def stream_outputs(spark, sf_dir):
     )
 
 
+def stream_outputs_prompts(spark, sf_dir):
+    """Annotations from a stream that takes the prompts from a table by id."""
+    landing = output_stream.landing_outputs(spark, d.landed(spark, sf_dir), WRITTEN_GLOB, max_files=16)
+    path = new_scratch(spark, "stream-prompted")
+    prompts = output_stream.prompts_by_id(
+        d.prompts(spark, sf_dir), table_name("prompts"), new_scratch(spark, "prompts-by-id"), _buckets(spark))
+    output_stream.stream_outputs(
+        landing, path, new_scratch(spark, "stream-checkpoint"), prompts=prompts).awaitTermination()
+    return output_stream.read_annotations(spark, path).select(
+        "custom_id", "demand", "level", "finish_reason", *_digest("prompt", "prompt"))
+
+
+def stream_outputs_runs(spark, sf_dir):
+    """Annotations of two runs from a stream."""
+    landing = output_stream.landing_outputs(spark, d.landed_runs(spark, sf_dir), WRITTEN_GLOB, max_files=16)
+    path = new_scratch(spark, "stream-runs")
+    output_stream.stream_outputs(
+        landing, path, new_scratch(spark, "stream-checkpoint"), only_levels=True, keep=("run",)).awaitTermination()
+    return _short_run(output_stream.read_annotations(spark, path)).select("run", "custom_id", "demand", "level")
+
+
 def stream_outputs_broken(spark, sf_dir):
     """Annotations and quarantine of a stream with bad lines: together every line."""
     landing = output_stream.landing_outputs(spark, d.landed_broken(spark, sf_dir), "*.txt", max_files=16)
@@ -732,6 +764,45 @@ def annotation_run(spark, sf_dir):
     return run.long().select("custom_id", "demand", "level", "finish_reason", *_digest("prompt", "prompt"))
 
 
+def _short_run(rows):
+    return rows.withColumn("run", F.regexp_extract("run", "run=([^/]+)$", 1))
+
+
+def _two_runs(spark, sf_dir):
+    return collect_run(spark, d.landed_runs(spark, sf_dir), WRITTEN_GLOB, by_run=True)
+
+
+def annotate_long_runs(spark, sf_dir):
+    """Two runs below one folder whose parts have the same names."""
+    return _short_run(_two_runs(spark, sf_dir).long()).select("run", "custom_id", "demand", "level", "finish_reason")
+
+
+def pivot_wide_runs(spark, sf_dir):
+    wide = _short_run(_two_runs(spark, sf_dir).wide(d.ACRONYMS))
+    return wide.select("run", "custom_id", *[F.nanvl(name, F.lit(None)).alias(name) for name in d.ACRONYMS])
+
+
+def _kept(spark, sf_dir):
+    """The landed answers and their prompts as tables by id, written once."""
+    run = collect_run(spark, d.landed(spark, sf_dir), WRITTEN_GLOB, prompts=d.prompts(spark, sf_dir))
+    return run.kept(table_name("kept"), new_scratch(spark, "kept"), _buckets(spark), d.ACRONYMS)
+
+
+def kept_run_long(spark, sf_dir):
+    return _kept(spark, sf_dir).long().select("custom_id", "demand", "level", "finish_reason", *_digest("prompt", "prompt"))
+
+
+def kept_run_wide(spark, sf_dir):
+    wide = _kept(spark, sf_dir).wide()
+    return wide.select("custom_id", *[F.nanvl(name, F.lit(None)).alias(name) for name in d.ACRONYMS])
+
+
+def kept_run_nested(spark, sf_dir):
+    nested = reshape.unnest_wide(_kept(spark, sf_dir).nested())
+    return nested.select("custom_id", "demand", F.nanvl("level", F.lit(None)).alias("level"), "finish_reason",
+                         *_digest("prompt", "prompt"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -754,6 +825,8 @@ QUERIES = {
         need_split, split_plan, halve_part,
         union_outputs, pivot_wide, nest_wide, pivot_wide_last, nest_wide_last,
         stream_status, stream_status_tracked, stream_outputs, stream_summary,
+        stream_outputs_prompts, stream_outputs_runs, annotate_long_runs, pivot_wide_runs,
+        kept_run_long, kept_run_wide, kept_run_nested,
         annotation_run,
     )
 }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.annotate import annotate_marked
+from ..sinks.layout import write_by_id
 from ..sources.outputs import flatten_outputs
+from ..sources.prompts import only_prompts, prompt_map
 
 
 def landing_outputs(
@@ -30,16 +33,42 @@ def landing_outputs(
     return flatten_outputs(reader.json(base), position=False, content=content)
 
 
+def prompts_by_id(prompts: DataFrame, table: str, path: str, buckets: int, order_by: Column | None = None) -> DataFrame:
+    """A table of prompts that ``stream_outputs`` joins without moving it; ``order_by`` is that of ``attach_prompts``.
+
+    It needs at least as many buckets as shuffles have partitions: Spark moves both sides to
+    the larger number.
+    """
+    least = int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if buckets < least:
+        raise ValueError(f"{buckets} buckets are fewer than the {least} partitions of a shuffle: the prompts would move")
+    source = only_prompts(prompts) if order_by is None else prompt_map(prompts, order_by)
+    return write_by_id(source.where("custom_id IS NOT NULL"), table, path, buckets)
+
+
 def stream_outputs(
-    outputs: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, **annotate
+    outputs: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+    prompts: DataFrame | None = None, **annotate,
 ) -> StreamingQuery:
     """Appends long annotations and bad lines to a Parquet folder, exactly once.
 
     Read them with ``read_annotations`` and ``read_quarantine``; they lie in folders
-    of their own.  ``annotate`` are the options of ``annotate_marked``.
+    of their own.  ``annotate`` are the options of ``annotate_marked``; with
+    ``keep=("run",)`` the annotations say which run they belong to.
+
+    ``prompts`` is a table of ``prompts_by_id``.  A micro-batch then moves its own
+    annotations to the buckets of the prompts, which are read where they lie; an
+    unknown id gets ``""``.
     """
+    rows = annotate_marked(outputs, **annotate)
+    if prompts is not None:
+        # The size of a micro-batch is not known beforehand, and the prompts' is no reason to send them around.
+        known = prompts.select("custom_id", "prompt").hint("merge")
+        joined = rows.join(known, "custom_id", "left")
+        prompt = F.when(~F.col("quarantined"), F.coalesce("prompt", F.lit("")))
+        rows = joined.select(*rows.columns, prompt.alias("prompt"))
     return (
-        annotate_marked(outputs, **annotate).writeStream.format("parquet").outputMode("append")
+        rows.writeStream.format("parquet").outputMode("append")
         .partitionBy("quarantined").option("path", path).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

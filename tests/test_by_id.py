@@ -1,0 +1,118 @@
+"""Tables by id, runs that stay apart, and streams that take their prompts from such a table."""
+
+import json
+import re
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from annomill.operators.annotate import annotate_long
+from annomill.operators.lookups import attach_prompts
+from annomill.plans.runs import collect_run
+from annomill.sinks import layout
+from annomill.sinks.layout import write_by_id
+from annomill.sources.outputs import read_outputs
+from annomill.streaming.outputs import landing_outputs, prompts_by_id, read_annotations, read_quarantine, stream_outputs
+
+PROMPTS = "custom_id string, prompt string"
+
+
+def land(base, part, answers, name="output.jsonl"):
+    folder = base / part
+    folder.mkdir(parents=True, exist_ok=True)
+    with open(folder / name, "w") as f:
+        for i, level in answers:
+            body = {"model": "gpt-4o", "choices": [{"finish_reason": "stop", "message": {"content": f"x\n\nis {level}"}}]}
+            f.write(json.dumps({"custom_id": i, "response": {"body": body}}) + "\n")
+
+
+def plan_of(frame):
+    return frame.sparkSession._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+
+
+def name():
+    return f"t_{uuid.uuid4().hex}"
+
+
+@pytest.fixture
+def two_runs(tmp_path):
+    base = tmp_path / "runs"
+    land(base / "run1", "AA", [("1", 1), ("2", 2), ("1", 3)])
+    land(base / "run1", "AB", [("1", 4)])
+    land(base / "run2", "AA", [("1", 5), ("3", 0)])
+    return base
+
+
+def test_runs_stay_apart(spark, two_runs):
+    run = collect_run(spark, str(two_runs), by_run=True)
+    short = lambda path: path.rsplit("/", 1)[1]
+    assert sorted((short(r.run), r.custom_id, r.demand, r.level) for r in run.long().collect()) == [
+        ("run1", "1", "AA", 1.0), ("run1", "1", "AA", 3.0), ("run1", "1", "AB", 4.0), ("run1", "2", "AA", 2.0),
+        ("run2", "1", "AA", 5.0), ("run2", "3", "AA", 0.0)]
+    assert {(short(r.run), r.custom_id): r.AA for r in run.wide().collect()} == {
+        ("run1", "1"): 3.0, ("run1", "2"): 2.0, ("run2", "1"): 5.0, ("run2", "3"): 0.0}
+    assert {(short(r.run), r.custom_id): sorted(r.demand) for r in run.nested().collect()}[("run1", "1")] == ["AA", "AB"]
+
+
+def test_runs_are_not_merged_unseen(spark, two_runs):
+    run = collect_run(spark, str(two_runs))
+    for form in (run.wide, run.nested):
+        with pytest.raises(Exception, match="several values of run for 1"):
+            form().collect()
+    one = collect_run(spark, str(two_runs / "run1"))
+    assert {r.custom_id: (r.AA, r.AB) for r in one.wide().where("custom_id = '1'").collect()} == {"1": (3.0, 4.0)}
+
+
+@pytest.mark.parametrize("by_run", [False, True])
+def test_kept_forms_are_those_of_the_run(spark, two_runs, tmp_path, as_rows, by_run):
+    prompts = spark.createDataFrame([("1", "one"), ("3", "three"), ("9", "nine"), (None, "none")], PROMPTS)
+    base = str(two_runs if by_run else two_runs / "run1")
+    run = collect_run(spark, base, prompts=prompts, by_run=by_run)
+    kept = run.kept(name(), str(tmp_path / "kept"), 4)
+    assert as_rows(kept.long()) == as_rows(run.long())
+    text = lambda frame: frame.select(*[F.col(c).cast("string") for c in frame.columns])
+    assert as_rows(text(kept.wide())) == as_rows(text(run.wide()))
+    assert as_rows(kept.nested()) == as_rows(run.nested())
+    for form in (kept.long(), kept.wide(), kept.nested()):
+        plan = plan_of(form)
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        assert ("SortMergeJoin" in plan) == ("prompt" in form.columns)
+
+
+def test_ids_of_too_many_rows_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "MOST_ROWS", 3)
+    rows = spark.createDataFrame([("a", i) for i in range(4)] + [("b", 1)], "custom_id string, n int")
+    with pytest.raises(ValueError, match="custom_id a has 4 rows"):
+        write_by_id(rows, name(), str(tmp_path / "t"), 2)
+    assert write_by_id(rows.where("n < 3"), name(), str(tmp_path / "t"), 2).count() == 4
+    assert write_by_id(rows.where("false"), name(), str(tmp_path / "e"), 2).count() == 0
+
+
+def test_a_stream_takes_prompts_where_they_lie(spark, tmp_path, as_rows):
+    base, path, checkpoint = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    source = spark.createDataFrame([(str(i), f"prompt {i}") for i in range(0, 40, 2)], PROMPTS)
+    with pytest.raises(ValueError, match="would move"):
+        prompts_by_id(source, name(), str(tmp_path / "prompts"), 4)
+    prompts = prompts_by_id(source, name(), str(tmp_path / "prompts"), 8)
+
+    def drain():
+        query = stream_outputs(landing_outputs(spark, str(base), max_files=1), path, checkpoint, prompts=prompts, keep=("run",))
+        query.awaitTermination()
+        return query
+
+    columns = ["custom_id", "demand", "level", "prompt"]
+    for part in ("AA", "AB", "AC"):
+        land(base, part, [(str(i), i % 6) for i in range(30)])
+        (base / part / "bad").mkdir()
+        (base / part / "bad" / "output.jsonl").write_text("{broken\n")
+        query = drain()
+        plan = query._jsq.explainInternal(False).split("Initial Plan")[0]
+        # The annotations move to the prompts' buckets, the prompts do not move.
+        assert len(re.findall(r"Exchange hashpartitioning\(custom_id", plan)) == 1 and "Bucketed: true" in plan
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+        twin = attach_prompts(annotate_long(read_outputs(spark, str(base))), source)
+        assert as_rows(read_annotations(spark, path), *columns) == as_rows(twin, *columns)
+    assert {r.run.rsplit("/", 1)[1] for r in read_annotations(spark, path).collect()} == {"in"}
+    assert read_quarantine(spark, path).count() == 3
+    assert drain().exception() is None and read_annotations(spark, path).count() == 90
