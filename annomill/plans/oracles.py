@@ -564,6 +564,9 @@ ORACLES = {
           FROM levels WHERE demand = 'AB' AND finish_reason <> 'stop'""", _LEVELS),
     "stream_summary": _GENERAL,
     "stream_outputs_prompts": _PROMPTED,
+    "stream_wide": _over_runs(_pivoted("run, custom_id"), _LEVELS),
+    "stream_nested": _over_runs(
+        f"SELECT run, custom_id, demand, level, finish_reason, {_digest('content', 'response')} FROM levels", _LEVELS),
     "stream_outputs_runs": _over_runs("SELECT run, custom_id, demand, level FROM levels", _LEVELS),
     "annotate_long_runs": _over_runs("SELECT run, custom_id, demand, level, finish_reason FROM levels", _LEVELS),
     "pivot_wide_runs": _over_runs(_pivoted("run, custom_id"), _LEVELS),

@@ -26,6 +26,7 @@ from ..streaming import outputs as output_stream
 from ..streaming import status as status_stream
 from ..streaming import summaries as summary_stream
 from ..streaming import tracking
+from ..streaming.wide import WideTable
 from ..session import new_scratch, stored
 from . import derived as d
 from .runs import collect_run, create_requests
@@ -732,6 +733,27 @@ def stream_outputs_runs(spark, sf_dir):
     return _short_run(output_stream.read_annotations(spark, path)).select("run", "custom_id", "demand", "level")
 
 
+def _kept_wide(spark, sf_dir):
+    """A table of one row per run and id, fed by a stream that was merged once on its way."""
+    table = WideTable(spark, new_scratch(spark, "wide"), d.ACRONYMS, _buckets(spark))
+    landing = output_stream.landing_outputs(spark, d.landed_runs(spark, sf_dir), WRITTEN_GLOB, max_files=8)
+    checkpoint = new_scratch(spark, "wide-checkpoint")
+    table.stream(landing, checkpoint, {"once": True}).awaitTermination()
+    table.upsert()
+    table.stream(landing, checkpoint).awaitTermination()
+    return table
+
+
+def stream_wide(spark, sf_dir):
+    return _short_run(_kept_wide(spark, sf_dir).wide(by_run=True, failures_as="null"))
+
+
+def stream_nested(spark, sf_dir):
+    nested = _kept_wide(spark, sf_dir).nested(by_run=True, failures_as="null")
+    return reshape.unnest_wide(_short_run(nested)).select(
+        "run", "custom_id", "demand", "level", "finish_reason", *_digest("model_response", "response"))
+
+
 def stream_outputs_broken(spark, sf_dir):
     """Annotations and quarantine of a stream with bad lines: together every line."""
     landing = output_stream.landing_outputs(spark, d.landed_broken(spark, sf_dir), "*.txt", max_files=16)
@@ -825,7 +847,7 @@ QUERIES = {
         need_split, split_plan, halve_part,
         union_outputs, pivot_wide, nest_wide, pivot_wide_last, nest_wide_last,
         stream_status, stream_status_tracked, stream_outputs, stream_summary,
-        stream_outputs_prompts, stream_outputs_runs, annotate_long_runs, pivot_wide_runs,
+        stream_outputs_prompts, stream_outputs_runs, stream_wide, stream_nested, annotate_long_runs, pivot_wide_runs,
         kept_run_long, kept_run_wide, kept_run_nested,
         annotation_run,
     )

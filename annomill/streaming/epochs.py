@@ -23,7 +23,7 @@ def _files(spark: SparkSession, table: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _folders(spark: SparkSession, table: str) -> tuple[list[int], list[int]]:
+def folders(spark: SparkSession, table: str) -> tuple[list[int], list[int]]:
     """Epochs and ends of compactions that are complete."""
     place, files = _files(spark, table)
     found: dict[str, list[int]] = {"epoch": [], "upto": []}
@@ -37,13 +37,13 @@ def _folders(spark: SparkSession, table: str) -> tuple[list[int], list[int]]:
 
 def newest_epoch(spark: SparkSession, table: str) -> int | None:
     """The last micro-batch whose folder is complete."""
-    epochs, _ = _folders(spark, table)
+    epochs, _ = folders(spark, table)
     return epochs[-1] if epochs else None
 
 
 def drop_epochs_before(spark: SparkSession, table: str, epoch: int) -> None:
     """For tables whose every epoch holds all rows."""
-    epochs, _ = _folders(spark, table)
+    epochs, _ = folders(spark, table)
     _, files = _files(spark, table)
     for old in epochs:
         if old < epoch:
@@ -52,7 +52,7 @@ def drop_epochs_before(spark: SparkSession, table: str, epoch: int) -> None:
 
 def read_epochs(spark: SparkSession, table: str, schema: StructType | str | None = None) -> DataFrame:
     """The rows of the newest compaction and of the epochs after it."""
-    epochs, compacted = _folders(spark, table)
+    epochs, compacted = folders(spark, table)
     last = compacted[-1] if compacted else -1
     paths = [f"{table}/upto={last}"] * bool(compacted) + [f"{table}/epoch={e}" for e in epochs if e > last]
     if not paths:
@@ -61,13 +61,22 @@ def read_epochs(spark: SparkSession, table: str, schema: StructType | str | None
     return reader.parquet(*paths)
 
 
+def read_folders(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.parquet(*paths)
+
+
+def remove_folders(spark: SparkSession, table: str, epochs: list[int], compacted: list[int]) -> None:
+    """Takes away micro-batches, and compactions before a newer one."""
+    _, files = _files(spark, table)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in [f"epoch={e}" for e in epochs] + [f"upto={u}" for u in compacted]:
+        files.delete(path(f"{table}/{name}"), True)
+
+
 def compact(spark: SparkSession, table: str, merge: Callable[[DataFrame], DataFrame]) -> None:
     """Merges all epochs so far.  ``merge`` must give rows of the table's form that stand for the merged ones."""
-    epochs, compacted = _folders(spark, table)
+    epochs, compacted = folders(spark, table)
     if not epochs or compacted and compacted[-1] >= epochs[-1]:
         return
     merge(read_epochs(spark, table)).write.mode("overwrite").parquet(f"{table}/upto={epochs[-1]}")
-    _, files = _files(spark, table)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for name in [f"epoch={e}" for e in epochs] + [f"upto={u}" for u in compacted]:
-        files.delete(path(f"{table}/{name}"), True)
+    remove_folders(spark, table, epochs, compacted)
