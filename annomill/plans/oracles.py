@@ -366,6 +366,23 @@ ORACLES = {
             CASE WHEN doc_id % 4 <> 0 THEN '{"status_code":400}' END AS response,
             CASE WHEN doc_id % 4 = 0 THEN '{"custom_id":"' || custom_id || '","response":{"status_code":400' END AS corrupt_record
           FROM outputs WHERE finish_reason = 'content_filter'"""),
+    "read_error_details": _over_outputs(
+        f"""SELECT demand, part, CASE WHEN k < 4 THEN custom_id END AS custom_id,
+            CAST(CASE k WHEN 1 THEN 400 WHEN 3 THEN 429 END AS INTEGER) AS status_code,
+            CASE k WHEN 0 THEN 'content_filter' WHEN 1 THEN 'policy' WHEN 3 THEN CAST(completion_tokens AS VARCHAR) END AS code,
+            {_digest('message', 'message')}, CASE WHEN k = 4 THEN '{{"custom_id":"' || custom_id || '",' END AS corrupt_record
+          FROM (SELECT *, doc_id % 5 AS k, CASE WHEN doc_id % 5 < 3 THEN content END AS message FROM outputs
+            WHERE finish_reason = 'content_filter')"""),
+    "shape_of_errors": _over_outputs(
+        """SELECT part, CASE WHEN bool_and(k = 4) THEN 'VOID' ELSE 'OBJECT<' || array_to_string(list_filter(['custom_id: STRING',
+              CASE WHEN bool_or(k IN (0, 3)) AND bool_or(k = 2) THEN 'error: VARIANT'
+                WHEN bool_or(k = 2) THEN 'error: STRING'
+                WHEN bool_or(k IN (0, 3)) THEN 'error: OBJECT<code: ' || CASE WHEN bool_and(k <> 3) THEN 'STRING' WHEN bool_and(k <> 0)
+                  THEN 'BIGINT' ELSE 'VARIANT' END || CASE WHEN bool_or(k = 0) THEN ', message: STRING' ELSE '' END || '>' END,
+              CASE WHEN bool_or(k = 1) THEN
+                'response: OBJECT<body: OBJECT<error: OBJECT<message: STRING, type: STRING>>, status_code: BIGINT>' END,
+              CASE WHEN bool_or(k = 3) THEN 'status_code: BIGINT' END], lambda x: x IS NOT NULL), ', ') || '>' END AS shape
+          FROM (SELECT part, doc_id % 5 AS k FROM outputs WHERE finish_reason = 'content_filter') GROUP BY part"""),
     "read_batch_metadata": _over_outputs("SELECT * FROM metadata", _METADATA),
     "job_ledger": _with(_LEDGER, select="SELECT * FROM ledger"),
     "write_requests": _with(

@@ -127,6 +127,36 @@ def read_errors_whole(spark, sf_dir):
         "demand", "part", "custom_id", "error", "response", "corrupt_record")
 
 
+def _mixed_errors(spark, sf_dir):
+    """Refused requests as error lines of five shapes, one of them cut short."""
+    def write(path):
+        refused = d.outputs(spark, sf_dir).filter(F.col("finish_reason") == "content_filter")
+        about = F.struct(F.col("content").alias("message"), F.lit("policy").alias("type"))
+        shape = F.col("file_pos") % 5
+        lines = [
+            F.struct("custom_id", F.struct(F.lit("content_filter").alias("code"), F.col("content").alias("message")).alias("error")),
+            F.struct("custom_id", F.struct(F.lit(400).alias("status_code"), F.struct(about.alias("error")).alias("body")).alias("response")),
+            F.struct("custom_id", F.col("content").alias("error")),
+            F.struct("custom_id", F.struct(F.col("completion_tokens").alias("code")).alias("error"), F.lit(429).alias("status_code")),
+        ]
+        line = F.substring_index(F.to_json(lines[0]), '"error"', 1)
+        for number, one in enumerate(lines):
+            line = F.when(shape == number, F.to_json(one)).otherwise(line)
+        refused.select(line.alias("value"), "part").write.partitionBy("part").text(path)
+
+    return d.written(spark, sf_dir, "errors-mixed", write)
+
+
+def read_error_details(spark, sf_dir):
+    rows = job_files.read_error_details(spark, _mixed_errors(spark, sf_dir), "*.txt")
+    return rows.select("demand", "part", "custom_id", "status_code", "code", *_digest("message", "message"), "corrupt_record")
+
+
+def shape_of_errors(spark, sf_dir):
+    rows = job_files.read_error_details(spark, _mixed_errors(spark, sf_dir), "*.txt")
+    return job_files.shape_of_errors(rows, "part")
+
+
 def read_batch_metadata(spark, sf_dir):
     base = d.written(spark, sf_dir, "metadata", lambda path: (
         d.metadata(spark, sf_dir).drop("demand").repartition("part").write.partitionBy("part").json(path)
@@ -829,7 +859,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         read_prompts_jsonl, read_prompts_csv, read_prompts_csv_parallel, read_prompts_parquet, prompts_only, load_rubrics,
-        read_outputs, part_inventory, read_errors, read_errors_whole, input_tokens_rendered, stream_pending,
+        read_outputs, part_inventory, read_errors, read_errors_whole, read_error_details, shape_of_errors, input_tokens_rendered, stream_pending,
         write_requests_bytes, batch_summary_runs, general_summary_runs, stream_summary_runs, annotation_summary_broken,
         stream_outputs_broken, read_batch_metadata, job_ledger,
         write_requests, write_annotations_jsonl, write_annotations_csv, write_annotations_parquet,

@@ -27,6 +27,53 @@ def read_errors(
     )
 
 
+def read_error_details(
+    spark: SparkSession, base: str | list[str], file_glob: str = "errors.jsonl"
+) -> DataFrame:
+    """What failed requests say, whatever their shape: ``run, demand, part, custom_id, status_code, code, message,
+    details, corrupt_record``.
+
+    A line is parsed once, to a VARIANT, which stays as ``details``; the columns are looked
+    up in it.  The error may be an object or a text, at the top or in the response's
+    body; a code may be a number, and where there is none the type counts.  What is not there, or
+    has another type, is NULL.  A line that is no JSON object is kept as ``corrupt_record``.
+    """
+    path = F.col("_metadata.file_path")
+    lines = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", file_glob).text(base)
+        .select(run_of_path(path).alias("run"), demand_of_path(path).alias("demand"), part_of_path(path).alias("part"),
+                "value", F.try_parse_json("value").alias("details"))
+        .where(F.trim("value") != "")
+    )
+    details = F.col("details")
+    is_object = F.coalesce(F.schema_of_variant(details).startswith("OBJECT<"), F.lit(False))
+
+    def found(kind: str, *paths: str):
+        return F.coalesce(*[F.try_variant_get(details, place, kind) for place in paths])
+
+    def as_text(place: str):
+        # An object is no text, though it can be shown as one.
+        kind = F.schema_of_variant(F.try_variant_get(details, place, "variant"))
+        return F.when(kind == "STRING", F.try_variant_get(details, place, "string"))
+
+    errors = ("$.error", "$.response.body.error", "$.response.error")
+    return lines.select(
+        "run", "demand", "part",
+        F.when(is_object, found("string", "$.custom_id")).alias("custom_id"),
+        F.when(is_object, found("int", "$.response.status_code", "$.status_code", "$.error.status_code")).alias("status_code"),
+        F.when(is_object, found("string", *[f"{e}.code" for e in errors], *[f"{e}.type" for e in errors])).alias("code"),
+        F.when(is_object, F.coalesce(found("string", *[f"{e}.message" for e in errors]), *[as_text(e) for e in errors]))
+        .alias("message"),
+        F.when(is_object, details).alias("details"),
+        F.when(~is_object, F.col("value")).alias("corrupt_record"),
+    )
+
+
+def shape_of_errors(details: DataFrame, *by: str) -> DataFrame:
+    """One schema that all ``details`` fit, ``shape``, per group of ``by``; merged map-side."""
+    return details.groupBy(*by).agg(F.schema_of_variant_agg("details").alias("shape"))
+
+
 def read_batch_metadata(
     spark: SparkSession, base: str | list[str], file_glob: str = "batch_metadata.json",
     multiline: bool = True,

@@ -11,7 +11,8 @@ from annomill.plans.derived import rubric_text
 from annomill.plans.runs import collect_run
 from annomill.sinks.annotations import write_annotations
 from annomill.sources.jobs import (
-    launched_demands, read_batch_metadata, read_errors, read_job_ledger, write_job_ledger,
+    launched_demands, read_batch_metadata, read_error_details, read_errors, read_job_ledger, shape_of_errors,
+    write_job_ledger,
 )
 from annomill.sources.outputs import line_order, part_inventory, read_outputs, union_outputs
 from annomill.sources.prompts import prompt_map, prompts_only, read_prompts
@@ -229,6 +230,29 @@ def test_beside_the_outputs(spark, run_folder, as_rows):
     assert [(m["demand"], m["id"], m["request_counts"]["failed"]) for m in metadata] == [("AB", "b1", 1)]
 
 
+def test_errors_of_any_shape(spark, tmp_path):
+    part = tmp_path / "run" / "AB_part2"
+    part.mkdir(parents=True)
+    lines = [
+        {"custom_id": "1", "error": {"code": "x", "message": "m", "more": [1]}},
+        {"custom_id": "2", "error": None, "response": {"status_code": 429, "body": {"error": {"type": "rate", "message": "slow"}}}},
+        {"custom_id": "3", "error": "plain text"},
+        {"custom_id": 4, "error": {"code": 17, "message": {"deep": 1}}, "status_code": "500"},
+        {"custom_id": "5", "response": {"status_code": "many"}},
+        {},
+    ]
+    (part / "errors.jsonl").write_text("\n".join([*map(json.dumps, lines), '{"custom_id": "6", ', "[1, 2]", '"text"', "", "null"]))
+    rows = read_error_details(spark, str(tmp_path / "run")).collect()
+    assert {r.custom_id: (r.status_code, r.code, r.message) for r in rows if r.custom_id} == {
+        "1": (None, "x", "m"), "2": (429, "rate", "slow"), "3": (None, None, "plain text"),
+        "4": (500, "17", '{"deep":1}'), "5": (None, None, None)}
+    assert sorted(r.corrupt_record for r in rows if r.corrupt_record) == ['"text"', "[1, 2]", "null", '{"custom_id": "6", ']
+    assert {(r.demand, r.part) for r in rows} == {("AB", "AB_part2")} and len(rows) == 10
+    assert [json.loads(r.details.toJson()) for r in rows if r.custom_id == "1"] == lines[:1]
+    shape = shape_of_errors(read_error_details(spark, str(tmp_path / "run"))).first().shape
+    assert shape.startswith("OBJECT<custom_id: VARIANT, error: VARIANT, response: OBJECT<body: OBJECT<error")
+
+
 def test_ledger(spark, tmp_path, as_rows):
     path = tmp_path / "ids.json"
     path.write_text(json.dumps({"/runs/AA_part1": "b1", "/runs/AB": "b2"}, indent=1))
