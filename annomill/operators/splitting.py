@@ -27,6 +27,12 @@ def varying_bytes() -> Column:
     return _json_bytes(F.col("custom_id")) + _json_bytes(F.col("prompt"))
 
 
+def _constant_bytes(model: str, max_tokens: int, url: str) -> Column:
+    """Bytes of a rubric's request line with its line break, less ``varying_bytes``."""
+    empty = request_columns(F.lit(""), F.concat("prefix", "suffix"), model, max_tokens, url)
+    return F.octet_length(F.to_json(F.struct(*empty))) + 1
+
+
 def request_sizes(
     prompts: DataFrame,
     rubrics: DataFrame,
@@ -44,8 +50,7 @@ def request_sizes(
     totals = prompts.agg(F.struct(
         F.count("*").alias("n"), F.coalesce(F.sum(varying), F.lit(0)).alias("varying")
     ).alias("totals"))
-    empty = request_columns(F.lit(""), F.concat("prefix", "suffix"), model, max_tokens, url)
-    constant = F.octet_length(F.to_json(F.struct(*empty))) + 1
+    constant = _constant_bytes(model, max_tokens, url)
     return request_halves(rubrics).withColumn("_t", totals.scalar()).select(
         "demand", F.col("_t.n").alias("n_lines"),
         (F.col("_t.varying") + F.col("_t.n") * constant).cast("bigint").alias("n_bytes"),
@@ -164,3 +169,75 @@ def halve_part(rows: DataFrame, index: str = "part_row", size: str = "part_rows"
     return rows.withColumn(
         "half", F.when(F.col(index) < _div(F.col(size), 2), 1).otherwise(2)
     )
+
+
+# --- Cuts that hold for every single part ------------------------------------
+
+#: Rows whose running sums are taken together, by their number.
+BLOCK_ROWS = 1 << 16
+
+
+def exact_cuts(
+    indexed: DataFrame,
+    rubrics: DataFrame,
+    max_lines: int | None,
+    max_bytes: int,
+    model: str = REQUEST_MODEL,
+    max_tokens: int = REQUEST_MAX_TOKENS,
+    url: str = REQUEST_URL,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Parts none of which is larger than allowed: ``part_no, first_index, part_rows``.
+
+    ``indexed`` has ``row_index`` and ``varying``.  All demands are cut at the same
+    prompts, by the lines of the rubric with the longest text.  With ``longest`` the longest
+    of these lines, a part holds the lines that begin within ``max_bytes - longest + 1``
+    bytes of each other; the last one may reach ``longest`` further, so a part has
+    at most ``max_bytes`` whatever its lines are like.  Parts with too many lines are cut again.
+
+    Where a line begins is a sum over all lines before it: sums of blocks of rows, summed
+    up over the blocks, and then within each block.  Only numbers move.  A line that is
+    longer than a part may be is an error.
+    """
+    constant = request_halves(rubrics).agg(F.max(_constant_bytes(model, max_tokens, url)).alias("c")).first()["c"] or 0
+    lines = indexed.select("row_index", (F.col("varying") + constant).cast("bigint").alias("bytes")).withColumn(
+        "block", _div(F.col("row_index"), block_rows))
+    longest = lines.agg(F.max("bytes").alias("longest")).first()["longest"] or 0
+    if longest > max_bytes:
+        raise ValueError(f"a request line has {longest} bytes, more than the {max_bytes} of a part")
+    width = max_bytes - longest + 1
+    # One row for each block.
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("block").agg(F.sum("bytes").alias("sum")).select(
+        "block", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
+    within = Window.partitionBy("block").orderBy("row_index").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.col("before") + F.coalesce(F.sum("bytes").over(within), F.lit(0))
+    placed = lines.join(blocks, "block").select("row_index", _div(begins, width).alias("stretch"))
+    # One row for each part.
+    parts = placed.groupBy("stretch").agg(F.min("row_index").alias("first_index"), F.count("*").alias("part_rows"))
+    if max_lines is not None:
+        again = F.explode(F.sequence(F.lit(0), _ceil_div(F.col("part_rows"), max_lines) - 1)).alias("i")
+        parts = parts.select("first_index", "part_rows", again).select(
+            (F.col("first_index") + F.col("i") * max_lines).alias("first_index"),
+            F.least(F.lit(max_lines), F.col("part_rows") - F.col("i") * max_lines).alias("part_rows"))
+    number = F.row_number().over(Window.orderBy("first_index")).cast("bigint")
+    return parts.select(number.alias("part_no"), "first_index", F.col("part_rows").cast("bigint").alias("part_rows"))
+
+
+def deal_exactly(indexed: DataFrame, parts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Adds ``part_no, part_row, part_rows`` by the parts of ``exact_cuts``.
+
+    The parts that meet a block of row numbers are few, so each row looks at the few of its block.
+    """
+    last = F.col("first_index") + F.col("part_rows") - 1
+    block = F.explode(F.sequence(_div(F.col("first_index"), block_rows), _div(last, block_rows))).alias("_block")
+    by_block = parts.select(block, F.struct("first_index", "part_no", "part_rows").alias("p")).groupBy("_block").agg(
+        F.array_sort(F.collect_list("p")).alias("_parts"))
+    own = F.element_at(F.filter("_parts", lambda p: p.first_index <= F.col("row_index")), -1)
+    return (
+        indexed.withColumn("_block", _div(F.col("row_index"), block_rows)).join(by_block, "_block")
+        .withColumn("_own", own)
+        .withColumns({"part_no": F.col("_own.part_no"), "part_rows": F.col("_own.part_rows"),
+                      "part_row": F.col("row_index") - F.col("_own.first_index")})
+        .drop("_block", "_parts", "_own")
+    )

@@ -399,6 +399,18 @@ ORACLES = {
             FROM sizes)""", _DEALT,
         select=f"""SELECT demand, part, custom_id, {_digest('instruction', 'content')}
             FROM dealt JOIN rendered USING (doc_id, demand)"""),
+    "write_requests_exact": _with(
+        _RUBRICS, _RENDERED, _LINES,
+        "longest AS (SELECT demand FROM lines GROUP BY demand ORDER BY sum(line_bytes) DESC LIMIT 1)",
+        f"""begins AS (SELECT custom_id, row_number() OVER w - 1 AS i, sum(line_bytes) OVER w - line_bytes AS b,
+              {MAX_BYTES} - max(line_bytes) OVER () + 1 AS width
+            FROM lines JOIN longest USING (demand) WINDOW w AS (ORDER BY custom_id))""",
+        "stretches AS (SELECT *, b // width AS stretch FROM begins)",
+        f"""cuts AS (SELECT *, dense_rank() OVER (ORDER BY stretch, (i - least) // {MAX_LINES}) AS k
+            FROM (SELECT *, min(i) OVER (PARTITION BY stretch) AS least FROM stretches))""",
+        select="""SELECT demand, CASE WHEN (SELECT max(k) FROM cuts) > 1 THEN demand || '_part' || CAST(k AS VARCHAR) ELSE demand END AS part,
+            CAST(count(*) AS BIGINT) AS lines, CAST(sum(line_bytes) AS BIGINT) AS bytes, min(custom_id) AS first_id,
+            max(custom_id) AS last_id FROM lines JOIN cuts USING (custom_id) GROUP BY demand, k"""),
     "write_annotations_jsonl": _FROM_LONG,
     "write_annotations_csv": _FROM_LONG,
     "write_annotations_parquet": _FROM_LONG,

@@ -207,6 +207,18 @@ def write_requests_bytes(spark, sf_dir):
         "demand", "part", "custom_id", *_digest("content", "content"))
 
 
+def write_requests_exact(spark, sf_dir):
+    """Lines and bytes of request files none of which may be larger than allowed, as they lie."""
+    path = new_scratch(spark, "requests-exact")
+    write_request_files(
+        d.prompts(spark, sf_dir), d.rubrics(spark), path, max_lines=MAX_LINES, max_bytes=MAX_BYTES, cuts="exact")
+    lines = spark.read.text(path)
+    return lines.groupBy("demand", "part").agg(
+        F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"),
+        F.min(F.get_json_object("value", "$.custom_id")).alias("first_id"),
+        F.max(F.get_json_object("value", "$.custom_id")).alias("last_id"))
+
+
 def _written_annotations(spark, sf_dir, format, split=False):
     path = new_scratch(spark, f"annotations-{format}")
     write_annotations(annotate.nan_levels(_long(spark, sf_dir)), path, format, split)
@@ -860,7 +872,7 @@ QUERIES = {
     for query in (
         read_prompts_jsonl, read_prompts_csv, read_prompts_csv_parallel, read_prompts_parquet, prompts_only, load_rubrics,
         read_outputs, part_inventory, read_errors, read_errors_whole, read_error_details, shape_of_errors, input_tokens_rendered, stream_pending,
-        write_requests_bytes, batch_summary_runs, general_summary_runs, stream_summary_runs, annotation_summary_broken,
+        write_requests_bytes, write_requests_exact, batch_summary_runs, general_summary_runs, stream_summary_runs, annotation_summary_broken,
         stream_outputs_broken, read_batch_metadata, job_ledger,
         write_requests, write_annotations_jsonl, write_annotations_csv, write_annotations_parquet,
         split_by_demand, write_annotations_kept,

@@ -12,7 +12,7 @@ from ..operators.positions import POSITION, with_file_index, with_row_index
 from ..operators.requests import pair_with, request_columns, request_halves
 from ..operators.sizes import fits_in_memory
 from ..operators.splitting import (
-    assign_parts, deal_once, demands_by_parts, number_parts, part_name, parts_of, request_sizes, split_plan,
+    assign_parts, deal_exactly, deal_once, demands_by_parts, exact_cuts, number_parts, part_name, parts_of, request_sizes, split_plan,
     varying_bytes,
 )
 from ..session import scratch_removed, stored
@@ -31,6 +31,7 @@ def write_requests(
     max_lines: int | None = MAX_PART_LINES,
     max_bytes: int | None = MAX_PART_BYTES,
     order_by: tuple[str, ...] | None = None,
+    cuts: str = "even",
 ) -> None:
     """JSON lines below ``path/demand=<demand>/part=<part>/``.
 
@@ -45,12 +46,20 @@ def write_requests(
     Requests keep the order of the prompt files if the prompts were read with
     their position; otherwise they are ordered by ``order_by`` or the id.  What is
     stored on the way is taken away in the end.
+
+    ``cuts="even"`` deals equally many lines to the parts, so ``max_bytes`` holds for their
+    mean.  ``cuts="exact"`` cuts all demands where no part has more bytes or lines than
+    allowed: see ``exact_cuts``.
     """
+    if cuts not in ("even", "exact"):
+        raise ValueError("cuts must be 'even' or 'exact'")
+    if cuts == "exact" and max_bytes is None:
+        raise ValueError("exact cuts need max_bytes")
     with scratch_removed(prompts.sparkSession):
-        _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by)
+        _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by, cuts)
 
 
-def _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by) -> None:
+def _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by, cuts) -> None:
     halves = request_halves(rubrics)
     # Too many rubrics to hold their texts in every task: the texts then travel
     # with the rows instead of being looked up at the end.
@@ -58,6 +67,10 @@ def _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes,
     if max_lines is None and max_bytes is None:
         pairs = pair_with(prompts.select("custom_id", "prompt"), halves.select("demand", *carry))
         placed = pairs.withColumn("part", F.col("demand")).sortWithinPartitions("demand", "part")
+    elif cuts == "exact":
+        indexed = _number(prompts, order_by)
+        parts = stored(exact_cuts(indexed, rubrics, max_lines, max_bytes, model, max_tokens, url), "exact-cuts")
+        placed = _place_exactly(indexed, parts, halves, carry)
     else:
         indexed = _number(prompts, order_by)
         sizes = request_sizes(indexed, rubrics, model, max_tokens, url, F.col("varying"))
@@ -90,6 +103,22 @@ def _number(prompts: DataFrame, order_by: tuple[str, ...] | None) -> DataFrame:
     return with_row_index(prompts.select(*columns, *extra), keys).drop(*extra)
 
 
+def _place_exactly(indexed: DataFrame, parts: DataFrame, halves: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """The same for cuts that all demands share: a task takes whole parts, the demands are added there."""
+    known = parts.count()
+    cores = indexed.sparkSession.sparkContext.defaultParallelism
+    varying = indexed.agg(F.sum("varying")).first()[0] or 0
+    tasks = min(max(known, 1), max(2 * cores, -(-varying * max(halves.count(), 1) // TASK_BYTES)))
+    dealt = deal_exactly(indexed.drop("n_rows"), parts).drop("row_index", "varying", "part_rows")
+    dealt = dealt.withColumn("_task", F.pmod(F.col("part_no") - 1, F.lit(tasks)).cast("int")).repartitionById(tasks, "_task")
+    paired = pair_with(dealt, halves.select("demand", *carry))
+    name = part_name("demand", "_several", F.col("part_no"))
+    return (
+        paired.withColumn("_several", F.lit(known > 1)).withColumn("part", name).drop("_several", "part_no", "_task")
+        .sortWithinPartitions("demand", "part", "part_row")
+    )
+
+
 def _place(indexed: DataFrame, plan: DataFrame, halves: DataFrame, carry: tuple[str, ...]) -> DataFrame:
     """Rows in the task and order in which they are written."""
     total = plan.agg(F.sum(parts_of(plan)).alias("parts"), F.sum("n_bytes").alias("bytes")).first()

@@ -8,7 +8,7 @@ from annomill.fixed_values import INSTRUCTION_TEMPLATE
 from annomill.operators.positions import with_file_index, with_row_index
 from annomill.operators.requests import build_requests, expand_requests, pair_with, render_requests
 from annomill.operators.splitting import (
-    assign_parts, halve_part, need_split, request_sizes, split_plan,
+    assign_parts, deal_exactly, exact_cuts, halve_part, need_split, request_sizes, split_plan,
 )
 from annomill.plans.derived import rubric_text
 from annomill.plans.runs import create_requests
@@ -231,3 +231,65 @@ def test_too_many_rubrics_for_memory(spark, tmp_path, prompts, rubrics, monkeypa
     write_requests(prompts, rubrics, str(tmp_path / "whole"), max_lines=None, max_bytes=None)
     assert spark.read.json(str(tmp_path / "whole")).count() == 12
     assert len(read_parts(tmp_path / "small")) == 6
+
+
+def greedy_free_cuts(sizes, constant, max_lines, max_bytes):
+    """Numbers of lines of each part, by going through them one by one."""
+    width, begin, parts, last = max_bytes - max(sizes) - constant + 1, 0, [], None
+    for size in sizes:
+        stretch = begin // width
+        if stretch != last or max_lines and parts[-1] == max_lines:
+            parts.append(0)
+        parts[-1] += 1
+        last, begin = stretch, begin + size + constant
+    return parts
+
+
+@pytest.mark.parametrize("max_lines,block_rows", [(None, 3), (7, 64), (1, 1 << 16)])
+def test_exact_cuts_are_those_of_one_pass(spark, rubrics, max_lines, block_rows):
+    rng = random.Random(block_rows)
+    sizes = [rng.choice([1, 5, 40, 700]) for _ in range(150)]
+    indexed = spark.createDataFrame([(i, s, 150) for i, s in enumerate(sizes)], "row_index long, varying int, n_rows long").repartition(5)
+    smallest = exact_cuts(indexed.limit(0), rubrics, max_lines, 10 ** 6, block_rows=block_rows)
+    assert smallest.count() == 0
+    constant = max(r.n_bytes for r in request_sizes(spark.createDataFrame([("", "")], "custom_id string, prompt string"), rubrics).collect())
+    for limit in (constant + 700, constant + 701, 3 * constant + 2000, 10 ** 7):
+        parts = exact_cuts(indexed, rubrics, max_lines, limit, block_rows=block_rows).sort("part_no").collect()
+        expected = greedy_free_cuts(sizes, constant, max_lines, limit)
+        assert [r.part_rows for r in parts] == expected
+        assert [(r.part_no, r.first_index) for r in parts] == [(n + 1, sum(expected[:n])) for n in range(len(expected))]
+        frame = spark.createDataFrame([tuple(r) for r in parts], "part_no long, first_index long, part_rows long")
+        dealt = deal_exactly(indexed, frame, block_rows).sort("row_index").collect()
+        assert [(r.part_no, r.part_row) for r in dealt] == [(n + 1, i) for n, count in enumerate(expected) for i in range(count)]
+        assert max(sum(sizes[r.first_index:r.first_index + r.part_rows]) + r.part_rows * constant for r in parts) <= limit
+    with pytest.raises(ValueError, match="more than"):
+        exact_cuts(indexed, rubrics, max_lines, constant + 699, block_rows=block_rows)
+
+
+@pytest.mark.parametrize("many_rubrics", [False, True])
+def test_no_part_is_larger_than_allowed(spark, tmp_path, rubrics, monkeypatch, many_rubrics):
+    if many_rubrics:
+        monkeypatch.setattr("annomill.sinks.requests.fits_in_memory", lambda frame: False)
+    rng = random.Random(4)
+    # A run of long prompts, which even cuts by the mean would put into one part.
+    rows = [(f"{i:03}", "é\n" * (900 if 40 <= i < 60 else rng.randrange(5))) for i in range(100)]
+    prompts = spark.createDataFrame(rows, "custom_id string, prompt string")
+    limit = 40_000
+    sizes = {}
+    for cuts in ("even", "exact"):
+        path = tmp_path / cuts
+        write_requests(prompts, rubrics, str(path), max_lines=30, max_bytes=limit, cuts=cuts)
+        files = list(path.glob("demand=*/part=*/*.json"))
+        sizes[cuts] = [f.stat().st_size for f in files]
+        ids = {}
+        for f in sorted(files, key=lambda f: (f.parent.parent.name, int(f.parent.name.rpartition("part")[2]))):
+            lines = f.read_text("utf-8").splitlines()
+            assert len(lines) <= 34
+            ids.setdefault(f.parent.parent.name, []).extend(json.loads(line)["custom_id"] for line in lines)
+        assert set(map(tuple, ids.values())) == {tuple(i for i, _ in rows)}
+        assert len(files) == len({f.parent for f in files})
+    assert max(sizes["exact"]) <= limit < max(sizes["even"])
+    with pytest.raises(ValueError, match="cuts"):
+        write_requests(prompts, rubrics, str(tmp_path / "x"), cuts="greedy")
+    with pytest.raises(ValueError, match="max_bytes"):
+        write_requests(prompts, rubrics, str(tmp_path / "x"), cuts="exact", max_bytes=None)
