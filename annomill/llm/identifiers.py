@@ -35,7 +35,8 @@ from ..session import stored
 from .lines import keyed
 
 KINDS = ("email", "ip", "card", "phone")
-#: The possessive forms match what the plain ones do; anchors spare tries that cannot succeed.
+#: The possessive forms match what the plain ones do; anchors spare tries that cannot succeed.  No pattern here may
+#: loop over a group in any other way, or try a run of characters from each of its places: texts can be one such run.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
@@ -48,7 +49,10 @@ WORD = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 #: Several words with digits, a single blank between them.
 RUN = r"(?<!\S)[^\s0-9@]*+[0-9][^\s@]*+(?:\x20[^\s0-9@]*+[0-9][^\s@]*+(?!\S))++"
 #: Marks ahead of a word; of a run, a bracket stays if it closes before further digits.
-AHEAD = {WORD: r"^[\p{Punct}&&[^+]]*", RUN: r"^(?:[\p{Punct}&&[^+(]]|\((?![^()]*\)[^)]*[0-9]))*"}
+AHEAD = {WORD: r"^[\p{Punct}&&[^+]]*+", RUN: r"^(?:[\p{Punct}&&[^+(]]|\((?![^()]*+\)[^)0-9]*+[0-9]))*+"}
+PUNCT = "".join(mark for mark in map(chr, range(33, 127)) if not mark.isalnum())
+#: A text without this has no run.
+NEEDED_RUN = r"(?<!\S)[^\s0-9@]*+[0-9]\S*+\x20[^\s0-9@]*+[0-9]"
 ROUNDS = 3
 CONFIDENT = 0.9
 SUPPORT = 5
@@ -64,8 +68,8 @@ def matches(rows: DataFrame, pattern: str, needed: str) -> DataFrame:
     found = rows.where(text.rlike(needed)).select("_doc", "_rank", F.posexplode(cut).alias("n", "m")).where(
         "m.match IS NOT NULL")
     found = found.select("_doc", "_rank", "n", "m.match", F.length("m.before").alias("gap"),
-                         F.regexp_extract("m.before", r"(\S+)\s+$", 1).alias("left"),
-                         F.regexp_extract("m.behind", r"^\s+(\S+)", 1).alias("right"))
+                         F.regexp_extract("m.before", r"(?<!\S)(\S++)\s++$", 1).alias("left"),
+                         F.regexp_extract("m.behind", r"^\s++(\S++)", 1).alias("right"))
     so_far = Window.partitionBy("_doc", "_rank").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("gap") + F.coalesce(F.sum(F.col("gap") + F.length("match")).over(so_far), F.lit(0))
     return found.withColumn("start", start.cast("long")).withColumn("end", F.col("start") + F.length("match"))
@@ -98,13 +102,13 @@ def has_shape(kind: Column, word: Column) -> Column:
     size = F.length(digits_of(word))
     return (
         F.when(kind == "email", word.contains("@"))
-        .when(kind == "ip", word.rlike(r"^[0-9a-fA-F]+([.:][0-9a-fA-F]*){2,}$"))
+        .when(kind == "ip", word.rlike(r"^[0-9a-fA-F]++(?:[.:][0-9a-fA-F]*+){2,}+$"))
         .when(kind == "card", size.between(12, 19)).otherwise(size.between(7, 15) & ~word.contains("@"))
     )
 
 
 def context_word(column: str) -> Column:
-    return F.lower(F.regexp_replace(F.col(column), r"^\p{Punct}+|\p{Punct}+$", ""))
+    return F.lower(F.btrim(F.col(column), F.lit(PUNCT)))
 
 
 def base_spans(rows: DataFrame) -> DataFrame:
@@ -120,14 +124,14 @@ def base_spans(rows: DataFrame) -> DataFrame:
 def bare(found: DataFrame, pattern: str) -> DataFrame:
     """Matches without marks around them."""
     ahead = F.length(F.regexp_extract("match", AHEAD[pattern], 0))
-    match = F.regexp_replace("match", AHEAD[pattern] + r"|\p{Punct}+$", "")
+    match = F.rtrim(F.regexp_replace("match", AHEAD[pattern], ""), F.lit(PUNCT))
     found = found.select("_doc", "_rank", match.alias("match"), (F.col("start") + ahead).alias("start"), "left", "right")
     return found.where(F.length("match") >= LEAST_CHARS).withColumn("end", F.col("start") + F.length("match"))
 
 
 def candidates(rows: DataFrame, base: DataFrame) -> DataFrame:
     """Words with a digit or an at sign, and runs of words with digits, outside of base identifiers."""
-    runs = bare(matches(rows, RUN, r"[0-9]\S*+\x20[^\s0-9@]*+[0-9]"), RUN)
+    runs = bare(matches(rows, RUN, NEEDED_RUN), RUN)
     words = bare(matches(rows, WORD, "[0-9@]"), WORD).unionByName(
         runs.where(F.length(digits_of(F.col("match"))).between(7, 19)))
     taken = base.groupBy("_doc", "_rank").agg(F.collect_list(F.struct("start", "end")).alias("taken"))

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from annomill.llm import identifiers, lines
 from annomill.llm.oracles import ORACLES
@@ -157,6 +159,29 @@ def test_contexts_find_identifiers_of_several_words(documents):
     assert found[102] == [] and not any(found[n] for n in range(20))
 
 
+LONG = 1_000_000
+
+
+@pytest.mark.parametrize("text,kinds", [
+    ("-" * 100_000 + " 5 61234567", ""), ("(" * 100_000 + "5 61234567", ""), ("-" * 100_000 + "5 61234567 " + "(5) " * 20_000, ""),
+    ("x" * LONG + " a@b.cd", "email"), ("x" * LONG + " y" * 3 + " +49 30 1234567", "phone"), ("7" * LONG, ""), ("7" * LONG + " 8", ""),
+    ("a:" * (LONG // 2) + "1", ""), ("!" * LONG + "1 2", ""), ("a@b.cd " + "!" * LONG + "x 5", "email"),
+    ("a@b.cd " + "x!" * (LONG // 2), "email"), (" " * LONG + "5 6", ""), ("5 " * (LONG // 2), ""), ("+1" + "(" * LONG, ""),
+    ("@" * LONG, ""), ("\n" * LONG + "a@b.cd", "email")], ids=lambda value: str(len(value)))
+def test_long_runs_neither_crash_nor_stall(documents, text, kinds):
+    begin = time.monotonic()
+    frame = identifiers.find(documents([(1, text), (2, "dial +49 30 1234567 now")]))
+    found = {r.doc_id: r.spans for r in frame.collect()}
+    assert [(s.kind, s.start) for s in found[2]] == [("phone", 5)]
+    assert [s.kind for s in found[1]] == kinds.split()
+    assert time.monotonic() - begin < 60
+
+
+def test_shapes_of_long_words(spark):
+    words = spark.createDataFrame([("1." * 200_000,), ("a" * 400_000,), ("1.2.3",), ("1.2",)], "word string")
+    assert [r[0] for r in words.select(identifiers.has_shape(F.lit("ip"), F.col("word"))).collect()] == [True, False, True, False]
+
+
 def test_identifier_query(spark, sf_dir):
     given = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     found = QUERIES["op10_contextual_identifiers"](spark, sf_dir).collect()
