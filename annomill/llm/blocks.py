@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .words import bytes_of, mixed
+
 GROUP_BYTES = 8 << 20
 LEAST_GROUPS = 256
 LOWEST = -(1 << 63)
@@ -83,15 +85,11 @@ def spread(parts: np.ndarray, kind: int, *arrays: np.ndarray) -> list[tuple[int,
 
 
 def group_of(doc: np.ndarray, rank: np.ndarray, groups: int) -> np.ndarray:
-    from .words import mixed
-
     return (mixed(mixed(doc.view(np.uint64)) + rank.view(np.uint64)) % np.uint64(groups)).astype(np.int32)
 
 
 def bucket_of(hashes: np.ndarray, groups: int) -> np.ndarray:
     """Independent of the hash's own bits, which all serve to tell windows apart."""
-    from .words import mixed
-
     return (mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(groups)).astype(np.int32)
 
 
@@ -118,20 +116,18 @@ def groups_for(rows: DataFrame) -> int:
 def text_blocks(rows: DataFrame, groups: int) -> DataFrame:
     """The texts as blocks of their groups: ids, ranks, which ids are NULL, edges and bytes."""
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from .words import bytes_of
-
         held: list[pa.RecordBatch] = []
         size = 0
         for one in batches:
             held.append(one)
             size += one.nbytes
             if size >= 64 << 20:
-                yield packed(held, bytes_of)
+                yield packed(held)
                 held, size = [], 0
         if held:
-            yield packed(held, bytes_of)
+            yield packed(held)
 
-    def packed(held, bytes_of):
+    def packed(held):
         table = pa.Table.from_batches(held)
         doc, rank = table.column("doc").to_numpy(), table.column("rank").to_numpy()
         anonymous = table.column("anonymous").to_numpy().astype(np.uint8)

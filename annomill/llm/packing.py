@@ -17,6 +17,9 @@ than the two named ones are ignored.
 from __future__ import annotations
 
 import heapq
+import re
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 
@@ -46,7 +49,7 @@ class UnitIds(dict):
     quarter of the time.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...]):
         import base64
 
         import tiktoken
@@ -56,6 +59,10 @@ class UnitIds(dict):
         self.model = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.piece = self.model._core_bpe.encode_single_piece
         self.marks = {mark: self.plain(mark) for mark in MARKS}
+        self.special = {text: np.array([id_], dtype="<u4").tobytes() for text, id_ in special}
+        # The longest of those that begin at one place.
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
 
     def plain(self, text: str) -> bytes:
         return np.array(self.model.encode_ordinary(text), dtype="<u4").tobytes()
@@ -73,6 +80,13 @@ class UnitIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        """Ids of a text; special tokens in it have their own, and what stands between them is encoded by itself."""
+        if self.cuts is None or self.cuts.search(text) is None:
+            return self.between(text)
+        return b"".join(self.special[piece] if n % 2 else self.between(piece)
+                        for n, piece in enumerate(self.cuts.split(text)) if piece)
+
+    def between(self, text: str) -> bytes:
         if len(self) > CACHED_UNITS:
             self.clear()
         first, *units = text.split(" ")
@@ -82,13 +96,17 @@ class UnitIds(dict):
             return self.plain(text)
 
 
-def units_of(ranks_path: str, pattern: str) -> UnitIds:
-    """The worker's units; later tasks of the same worker find the earlier ones' ids."""
-    from tiktoken.registry import ENCODINGS
+#: Name under which a worker keeps what its tasks share; functions travel by value and have no module there.
+SHARED = "annomill_llm_unit_ids"
 
-    if ranks_path not in ENCODINGS:
-        ENCODINGS[ranks_path] = UnitIds(ranks_path, pattern)
-    return ENCODINGS[ranks_path]
+
+def units_of(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...]) -> UnitIds:
+    """The worker's units; later tasks of the same worker find the earlier ones' ids."""
+    held = sys.modules.setdefault(SHARED, types.ModuleType(SHARED)).__dict__
+    key = repr((ranks_path, pattern, special))
+    if key not in held:
+        held[key] = UnitIds(ranks_path, pattern, special)
+    return held[key]
 
 
 def piece_cost(length: int, capacity: int) -> float:
@@ -143,17 +161,18 @@ def assign(lengths: list[int], capacity: int) -> tuple[list[tuple[int, int, int,
     return pieces, costs
 
 
-def pack(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = 1024, closing_id: int = 0,
+def pack(docs: DataFrame, ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = (), capacity: int = 1024, closing_id: int = 0,
          id_column: str = "doc_id", text_column: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Pieces of all documents with their ids and the sequence each lies in.
 
     ``ranks_path`` is a byte-level vocabulary's file of ranks on every worker and
-    ``pattern`` how it cuts text into pieces.
+    ``pattern`` how it cuts text into pieces; ``special`` are tokens, with their ids, that a
+    text is cut at first.
     ``sequence_id`` counts up within a partition of the input, whose number is
     its high half.
     """
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-        units, closing = units_of(ranks_path, pattern), np.array([closing_id], dtype="<u4").tobytes()
+        units, closing = units_of(ranks_path, pattern, special), np.array([closing_id], dtype="<u4").tobytes()
         keys, tokens, held = [], [], 0
         for batch in batches:
             for part in slices(batch, "text"):

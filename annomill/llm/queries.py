@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,11 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def byte_vocabulary() -> tuple[str, str]:
-    """File of ranks and pattern of the public byte-level vocabulary of 50,257 ids."""
+def byte_vocabulary() -> tuple[str, str, tuple[tuple[str, int], ...]]:
+    """File of ranks, pattern and special tokens of the public byte-level vocabulary of 50,257 ids."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    special = tuple((token["content"], token["id"]) for token in added)
+    return str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN, special
 
 
 def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ from annomill.llm.queries import QUERIES, byte_vocabulary
 
 ODD = [(1, None), (2, ""), (3, "a  b \n c\n\n d"), (4, "x " * 400), (5, "naïve 日本 語 <|endoftext|> it's"),
        (6, " leading"), (7, "trailing "), (7, "same id"), (None, "no id"), (None, "no id"), (8, "\n \n \t  y"),
-       (9, "word, word. word; Word! " * 90)]
+       (9, "word, word. word; Word! " * 90), (10, "<|endoftext|>"), (11, "<|endoftext|><|endoftext|> a<|endoftext|>b\n<|endoftext|"),
+       (12, "a <|endoftext|> b"), (13, "<|endof<|endoftext|>text|> x ")]
 
 
 def placed(frame, shards, **options):
@@ -78,7 +79,6 @@ def ids_of(texts):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
-    model.encode_special_tokens = True
     return [x.ids + [0] for x in model.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
