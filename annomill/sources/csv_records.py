@@ -16,11 +16,13 @@ whose first line ends with ``\\r\\n`` become ``\\n``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,9 @@ from ..session import stored
 #: A table of splits is held in every task up to this many rows of at most a few hundred bytes.
 IN_MEMORY_SPLITS = 1 << 17
 
+# Functions travel to workers by value, so that those need not find this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _FIELD = r'(?:"(?:[^"]|"")*"|[^",]*)'
 WELL_FORMED = rf"^{_FIELD}(?:,{_FIELD})*$"
 _PIECES = "file_path string, file_block long, number long, kind int, record string"
