@@ -15,9 +15,10 @@ similarity, taken from the texts, is at least ``SIMILAR``; a class is what links
 connect.
 
 Texts with the same weighted shingles are one text to all this.  Within a band's
-bucket texts are not paired with each other but with the bucket's lowest one; what
-is still in different classes after that is compared pair by pair, so no link
-between candidates is lost.
+bucket texts are not paired with each other but with the bucket's lowest one, then
+with a few of its largest class.  Of what is still in different classes, pairs are
+compared unless it follows from how both differ from one of those few that they
+cannot be linked (``_cross``), so no link between candidates is lost.
 
 Defined cases: a text of one to four words is a single shingle; NULL and empty
 texts, and such of white space alone, have none and are one class; NULL ids come
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -48,6 +49,8 @@ GOLDEN = 0x9E3779B97F4A7C15
 SLICE = 512 << 10
 #: Members of a bucket's largest class that others are compared with before all are.
 MEMBERS = 8
+#: Shingles of a delta up to which it travels with each of its rarest ones.
+DELTA = 64
 
 
 def shingles(found: Texts, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -248,10 +251,14 @@ def _classes(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     rest = stored(apart(stars, labels), "pairs-2")
     labels = with_links_of(rest, labels, "links-2")
     seen = seen.union(rest)
-    rest = stored(apart(_with_largest(shared, labels), labels), "pairs-3")
+    left = _mixed(shared, labels)
+    largest = stored(_largest(left), "largest-classes")
+    rest = stored(apart(_with_largest(left, largest), labels), "pairs-3")
     labels = with_links_of(rest, labels, "links-3")
     seen = seen.union(rest)
-    labels = with_links_of(stored(apart(_cross(shared, labels), labels), "pairs-4"), labels, "links-4")
+    bases = largest.select("key", F.col("members")[0].alias("base"))
+    rest = stored(apart(_cross(_mixed(shared, labels), bases, held), labels), "pairs-4")
+    labels = with_links_of(rest, labels, "links-4")
     named_same = signed.select("node", "a", "b").join(same, ["a", "b"]).select("node", "first")
     label = named_same.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
         "node", F.coalesce("label", "first").alias("label"))
@@ -267,29 +274,114 @@ def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(labelled.join(mixed_keys, "key"), "mixed-buckets")
 
 
-def _with_largest(shared: DataFrame, labels: DataFrame) -> DataFrame:
+def _largest(left: DataFrame) -> DataFrame:
+    """``key, most, members``: the largest class of each bucket and a few of its nodes."""
+    some = F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(MEMBERS)])
+    sides = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(some).alias("members"))
+    largest = sides.groupBy("key").agg(F.max(F.struct("n", "label", "members")).alias("best"))
+    return largest.select("key", F.col("best.label").alias("most"), F.col("best.members").alias("members"))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs, the lower node second."""
+    return pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
+
+
+def _with_largest(left: DataFrame, largest: DataFrame) -> DataFrame:
     """Pairs of a bucket's other nodes with a few nodes of its largest class.
 
     A class of thousands of copies has strays that are like some of them but not
     like the lowest; most find one here, which spares comparing them with all.
     """
-    left = _mixed(shared, labels)
-    some = F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(MEMBERS)])
-    sides = left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(some).alias("members"))
-    largest = sides.groupBy("key").agg(F.max(F.struct("n", "label", "members")).alias("best")).select("key", "best.*")
-    rest = left.join(largest.withColumnRenamed("label", "most"), "key").where("label <> most")
-    pairs = rest.select("node", F.explode("members").alias("other"))
-    return pairs.select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
+    rest = left.join(largest, "key").where("label <> most")
+    return _ordered(rest.select("node", F.explode("members").alias("other")))
 
 
-def _cross(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different classes that share a bucket; the lower node second.
+def _deltas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    powers = Powers()
+
+    def sets(part: pa.RecordBatch, column: str) -> tuple[list, list]:
+        doc, own, weight = shingles(texts(part, column), powers)
+        edges = np.searchsorted(doc, np.arange(part.num_rows + 1))
+        return ([own[b:e] for b, e in zip(edges[:-1], edges[1:])],
+                [bool((weight[b:e] == 1).all()) for b, e in zip(edges[:-1], edges[1:])])
 
-    Buckets of one class, which is nearly all of them, do not take part.
+    for one in batches:
+        for half in slices(one, "text", SLICE):
+            for part in slices(half, "base_text", SLICE):
+                mine, even = sets(part, "text")
+                base, _ = sets(part, "base_text")
+                apart = [np.setxor1d(x, y, assume_unique=True) for x, y in zip(mine, base)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("base"), part.column("node"), part.column("label"), pa.array(even, pa.bool_()),
+                    pa.array([len(x) for x in mine], pa.int64()), pa.array([len(x) for x in base], pa.int64()),
+                    pa.array([x.view(np.int64) for x in apart], pa.list_(pa.int64()))],
+                    names=["base", "node", "label", "even", "size", "base_size", "delta"])
+
+
+def _cross(left: DataFrame, bases: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs of different classes around a base that may be linked.
+
+    ``left`` has ``key, node, label``, ``bases`` each key's ``base``: a node that all
+    others of the key have been compared with.  A text is described by its *delta*,
+    the shingles that either it or the base has, and two texts differ in exactly the
+    shingles that only one of their deltas holds.  If no shingle comes twice in
+    either text (*even* texts) their similarity is the Jaccard similarity, and it is
+    0.8 or more if they differ in at most a ninth of their sizes' sum.  A *far* text
+    differs from the base in more than that.  So of two linked texts of which one is
+    far the deltas have at least
+
+        (9 * |far delta| - |far| - |base|) / 18   and   (9 * |delta| + |base| - |text|) / 18
+
+    shingles in common (the second is exceeded), and they meet in the rarest shingles
+    of their deltas, as many as leave fewer than that.  What all texts of a group of
+    near copies have in common is in no delta, so such a group does not meet in it.
+
+    Texts that are not even, and close texts outside the base's class, which are few,
+    are paired with all others around the base.
     """
-    left = _mixed(shared, labels)
-    right = left.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-    return left.join(right, "key").where("label <> other_label AND other < node").select("node", "other").distinct()
+    around = left.join(bases, "key").select("base", "node", "label").distinct()
+    texts_of = around.join(held, "node").join(
+        held.select(F.col("node").alias("base"), F.col("text").alias("base_text")), "base")
+    nodes = stored(
+        texts_of.select("base", "node", "label", "text", "base_text").mapInArrow(
+            _deltas, "base long, node long, label long, even boolean, size long, base_size long, delta array<long>")
+        .withColumn("d", F.size("delta").cast("long")).withColumn("far", F.expr("9 * d > size + base_size")), "deltas")
+    own = around.where("node = base").select("base", F.col("label").alias("base_label"))
+    plain = nodes.join(own, "base").where("NOT even OR (NOT far AND label <> base_label)")
+    pairs = plain.select("base", "node", "label").join(
+        nodes.select("base", F.col("node").alias("other"), F.col("label").alias("other_label")), "base").where(
+        "label <> other_label").select("node", "other")
+    return _ordered(pairs.unionByName(_sharing(nodes.where("even"))))
+
+
+def _sharing(nodes: DataFrame) -> DataFrame:
+    """Pairs of a far and another even text of different classes that differ in a ninth of their sizes' sum at most.
+
+    Where a delta has more than ``DELTA`` shingles the pair is left to the comparison of the texts.
+    """
+    cut = nodes.select("base", "node", "label", F.explode("delta").alias("shingle"))
+    several = cut.groupBy("base", "shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    ranked = cut.join(several.select("base", "shingle", "n"), ["base", "shingle"]).groupBy("base", "node").agg(
+        F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
+    known = stored(nodes.drop("delta").join(ranked, ["base", "node"]), "shared-deltas")
+    known = known.withColumn("held", F.when(F.size("ranked") <= DELTA, F.col("ranked.shingle")))
+
+    def rarest(rows: DataFrame, common: Column) -> DataFrame:
+        count = (F.size("ranked") - common + 1).cast("int")
+        return rows.where(count > 0).select(
+            "base", F.struct("node", "label", "size", "d", "held").alias("text"),
+            F.explode(F.slice("ranked", F.lit(1), count)).alias("one")).select("base", "one.shingle", "text")
+
+    far = rarest(known.where("far"), F.expr("(9 * d - size - base_size + 17) div 18"))
+    every = rarest(known, F.expr("(9 * d + base_size - size) div 18 + 1")).withColumnRenamed("text", "with")
+    common = F.size(F.array_intersect("text.held", "with.held"))
+    alike = 18 * common >= 9 * (F.col("text.d") + F.col("with.d")) - F.col("text.size") - F.col("with.size")
+    unknown = F.col("text.held").isNull() | F.col("with.held").isNull()
+    found = far.alias("f").join(every.alias("e"), (F.col("f.base") == F.col("e.base")) & (
+        F.col("f.shingle") == F.col("e.shingle")) & (F.col("text.label") != F.col("with.label")) & (unknown | alike))
+    return found.select(F.col("text.node").alias("node"), F.col("with.node").alias("other"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

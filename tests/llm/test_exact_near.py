@@ -147,6 +147,35 @@ def test_cross_links_between_classes_of_a_bucket(documents, monkeypatch):
     assert {r.doc_id: r.class_id for r in found} == expected
 
 
+@pytest.mark.parametrize("phrase", [0, 7])
+def test_large_groups_of_near_copies(phrase, documents, monkeypatch):
+    """Copies of a text with edits here and there; most are like some others only.  With a phrase shingles repeat."""
+    rng = random.Random(5 + phrase)
+    words = [f"w{n}" for n in range(70)] + [f"p{n}" for n in range(phrase)] * 2
+    docs = []
+    for doc in range(400):
+        own = edited(rng, words, rng.choice([1, 1, 2, 2, 3]))
+        if rng.random() < 0.2:
+            own = own[:rng.randrange(50, 70)] + own[70:]
+        docs.append((doc, " ".join(own)))
+        if rng.random() < 0.3:
+            docs.append((1000 + doc, " ".join(edited(rng, own, 1))))
+    compared = []
+    plain = neighbours.linked
+
+    def counted(pairs, held):
+        compared.append(pairs.count())
+        return plain(pairs, held)
+
+    monkeypatch.setattr(neighbours, "linked", counted)
+    found = neighbours.near_duplicates(documents(docs)).collect()
+    expected = near_classes(docs)
+    assert {r.doc_id: r.class_id for r in found} == {doc: expected[n] for n, (doc, _) in enumerate(docs)}
+    assert len(set(expected.values())) > 20
+    if not phrase:
+        assert len(compared) == 4 and compared[3] < len(docs)
+
+
 def test_similarity_and_signatures():
     rng = np.random.default_rng(2)
     for _ in range(20):
