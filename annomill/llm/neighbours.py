@@ -49,8 +49,10 @@ GOLDEN = 0x9E3779B97F4A7C15
 SLICE = 512 << 10
 #: Members of a bucket's largest class that others are compared with before all are.
 MEMBERS = 8
-#: Shingles of a delta up to which it travels with each of its rarest ones.
-DELTA = 64
+#: Words of 64 bits of a delta's parity signature.
+PARITY = 16
+#: Shares of a text's weight that shingles have by their hash.
+SHARES = 64
 
 
 def shingles(found: Texts, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -297,26 +299,45 @@ def _with_largest(left: DataFrame, largest: DataFrame) -> DataFrame:
     return _ordered(rest.select("node", F.explode("members").alias("other")))
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each bit whether an odd number of the hashes falls to it.
+
+    Two sets differ in at least as many hashes as their parities differ in bits.
+    """
+    bits = PARITY * 64
+    count = np.bincount((mixed(hashes) % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((count & 1).astype(np.uint8)).view(np.int64)
+
+
+def shares(hashes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """How a text's weight falls to a few cells; shares of similar texts differ in 0.4 at most, added up."""
+    cell = (mixed(hashes) % np.uint64(SHARES)).astype(np.int64)
+    return np.bincount(cell, weights=weight, minlength=SHARES) / max(1, int(weight.sum()))
+
+
 def _deltas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers = Powers()
 
-    def sets(part: pa.RecordBatch, column: str) -> tuple[list, list]:
+    def sets(part: pa.RecordBatch, column: str) -> list:
         doc, own, weight = shingles(texts(part, column), powers)
         edges = np.searchsorted(doc, np.arange(part.num_rows + 1))
-        return ([own[b:e] for b, e in zip(edges[:-1], edges[1:])],
-                [bool((weight[b:e] == 1).all()) for b, e in zip(edges[:-1], edges[1:])])
+        return [(own[b:e], weight[b:e]) for b, e in zip(edges[:-1], edges[1:])]
 
     for one in batches:
         for half in slices(one, "text", SLICE):
             for part in slices(half, "base_text", SLICE):
-                mine, even = sets(part, "text")
-                base, _ = sets(part, "base_text")
-                apart = [np.setxor1d(x, y, assume_unique=True) for x, y in zip(mine, base)]
+                mine, base = sets(part, "text"), sets(part, "base_text")
+                apart = [np.setxor1d(x, y, assume_unique=True) for (x, _), (y, _) in zip(mine, base)]
+                size = [2 * int(weight.sum()) - len(x) for x, weight in mine]
+                uneven = [4 * m > 5 * len(x) for m, (x, _) in zip(size, mine)]
+                limit = [min(2 * int(weight.sum()) - len(x), len(x) * 5 // 4) for x, weight in base]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("base"), part.column("node"), part.column("label"), pa.array(even, pa.bool_()),
-                    pa.array([len(x) for x in mine], pa.int64()), pa.array([len(x) for x in base], pa.int64()),
-                    pa.array([x.view(np.int64) for x in apart], pa.list_(pa.int64()))],
-                    names=["base", "node", "label", "even", "size", "base_size", "delta"])
+                    part.column("base"), part.column("node"), part.column("label"),
+                    pa.array(size, pa.int64()), pa.array(limit, pa.int64()), pa.array(uneven, pa.bool_()),
+                    pa.array([x.view(np.int64) for x in apart], pa.list_(pa.int64())),
+                    pa.array([parities(x) for x in apart], pa.list_(pa.int64())),
+                    pa.array([shares(*x) for x in mine], pa.list_(pa.float64()))],
+                    names=["base", "node", "label", "size", "limit", "uneven", "delta", "parity", "shares"])
 
 
 def _cross(left: DataFrame, bases: DataFrame, held: DataFrame) -> DataFrame:
@@ -324,64 +345,74 @@ def _cross(left: DataFrame, bases: DataFrame, held: DataFrame) -> DataFrame:
 
     ``left`` has ``key, node, label``, ``bases`` each key's ``base``: a node that all
     others of the key have been compared with.  A text is described by its *delta*,
-    the shingles that either it or the base has, and two texts differ in exactly the
-    shingles that only one of their deltas holds.  If no shingle comes twice in
-    either text (*even* texts) their similarity is the Jaccard similarity, and it is
-    0.8 or more if they differ in at most a ninth of their sizes' sum.  A *far* text
-    differs from the base in more than that.  So of two linked texts of which one is
-    far the deltas have at least
+    the distinct shingles that either it or the base has; two texts differ in exactly
+    the ``h`` shingles that only one of their deltas holds.  With m shingles in all,
+    n of them distinct, and the size ``s = 2 m - n``, the similarity of x and y is at
+    most ``c / (c + o)``, where c is the sum of the larger weights of what both hold
+    and o the weight of what one holds.  As ``o >= h`` and
+    ``c <= m_x + m_y - o - (n_x + n_y - h) / 2``, 0.8 implies ``9 h <= s_x + s_y``.
+
+    With a limit of the base's size, 5 / 4 of its distinct shingles at most, a *far* text
+    has ``9 |delta| > s + limit``, a *heavy* one ``s > 9 |delta| + limit`` or
+    ``s > 5 / 4 n``, for which these bounds say little.  So of two linked texts of which one is far and none heavy the deltas have at least
 
-        (9 * |far delta| - |far| - |base|) / 18   and   (9 * |delta| + |base| - |text|) / 18
+        (9 |far delta| - s_far - limit) / 18   and   (9 |delta| + limit - s) / 18
 
     shingles in common (the second is exceeded), and they meet in the rarest shingles
     of their deltas, as many as leave fewer than that.  What all texts of a group of
     near copies have in common is in no delta, so such a group does not meet in it.
 
-    Texts that are not even, and close texts outside the base's class, which are few,
-    are paired with all others around the base.
+    Heavy texts, which repeat themselves, and texts outside the base's class that are
+    not far are few; they are paired with others around it unless their shingles' shares
+    of the weight tell them apart: the similarity is at most 1 less half the L1 distance
+    of the shares, which adding some up does not increase.
     """
     around = left.join(bases, "key").select("base", "node", "label").distinct()
     texts_of = around.join(held, "node").join(
         held.select(F.col("node").alias("base"), F.col("text").alias("base_text")), "base")
     nodes = stored(
         texts_of.select("base", "node", "label", "text", "base_text").mapInArrow(
-            _deltas, "base long, node long, label long, even boolean, size long, base_size long, delta array<long>")
-        .withColumn("d", F.size("delta").cast("long")).withColumn("far", F.expr("9 * d > size + base_size")), "deltas")
+            _deltas, "base long, node long, label long, size long, limit long, uneven boolean, delta array<long>, parity array<long>, "
+                     "shares array<double>")
+        .withColumn("d", F.size("delta").cast("long")).withColumn("far", F.expr("9 * d > size + limit"))
+        .withColumn("heavy", F.expr("uneven OR size > 9 * d + limit")), "deltas")
     own = around.where("node = base").select("base", F.col("label").alias("base_label"))
-    plain = nodes.join(own, "base").where("NOT even OR (NOT far AND label <> base_label)")
-    pairs = plain.select("base", "node", "label").join(
-        nodes.select("base", F.col("node").alias("other"), F.col("label").alias("other_label")), "base").where(
-        "label <> other_label").select("node", "other")
-    return _ordered(pairs.unionByName(_sharing(nodes.where("even"))))
+    plain = nodes.join(own, "base").where("heavy OR (NOT far AND label <> base_label)").alias("p")
+    pairs = plain.join(nodes.alias("n"), F.expr(f"""
+        p.base = n.base AND p.label <> n.label AND aggregate(
+            zip_with(p.shares, n.shares, (x, y) -> abs(x - y)), 0D, (a, x) -> a + x) <= {2 * (1 - SIMILAR) + 1e-6}"""))
+    pairs = pairs.select("p.node", F.col("n.node").alias("other"))
+    return _ordered(pairs.unionByName(_sharing(nodes.where("NOT heavy"))))
 
 
 def _sharing(nodes: DataFrame) -> DataFrame:
-    """Pairs of a far and another even text of different classes that differ in a ninth of their sizes' sum at most.
+    """Pairs of a far and another text of different classes that may differ in a ninth of their sizes' sum at most.
 
-    Where a delta has more than ``DELTA`` shingles the pair is left to the comparison of the texts.
+    Where two deltas meet for the first time, what follows in either bounds how much
+    more they have in common; parities bound in how much they differ.
     """
     cut = nodes.select("base", "node", "label", F.explode("delta").alias("shingle"))
     several = cut.groupBy("base", "shingle").agg(
         F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     ranked = cut.join(several.select("base", "shingle", "n"), ["base", "shingle"]).groupBy("base", "node").agg(
         F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
-    known = stored(nodes.drop("delta").join(ranked, ["base", "node"]), "shared-deltas")
-    known = known.withColumn("held", F.when(F.size("ranked") <= DELTA, F.col("ranked.shingle")))
+    known = stored(nodes.drop("delta", "shares").join(ranked, ["base", "node"]), "shared-deltas")
 
     def rarest(rows: DataFrame, common: Column) -> DataFrame:
         count = (F.size("ranked") - common + 1).cast("int")
         return rows.where(count > 0).select(
-            "base", F.struct("node", "label", "size", "d", "held").alias("text"),
-            F.explode(F.slice("ranked", F.lit(1), count)).alias("one")).select("base", "one.shingle", "text")
-
-    far = rarest(known.where("far"), F.expr("(9 * d - size - base_size + 17) div 18"))
-    every = rarest(known, F.expr("(9 * d + base_size - size) div 18 + 1")).withColumnRenamed("text", "with")
-    common = F.size(F.array_intersect("text.held", "with.held"))
-    alike = 18 * common >= 9 * (F.col("text.d") + F.col("with.d")) - F.col("text.size") - F.col("with.size")
-    unknown = F.col("text.held").isNull() | F.col("with.held").isNull()
-    found = far.alias("f").join(every.alias("e"), (F.col("f.base") == F.col("e.base")) & (
-        F.col("f.shingle") == F.col("e.shingle")) & (F.col("text.label") != F.col("with.label")) & (unknown | alike))
-    return found.select(F.col("text.node").alias("node"), F.col("with.node").alias("other"))
+            "base", "node", "label", "size", "d", "parity", F.size("ranked").alias("n"),
+            F.posexplode(F.slice("ranked", F.lit(1), count)).alias("at", "one")).select(
+            "base", "one.shingle", "node", "label", "size", "d", (F.col("n") - F.col("at")).alias("left"), "parity")
+
+    far = rarest(known.where("far"), F.expr("(9 * d - size - limit + 17) div 18")).alias("f")
+    every = rarest(known, F.expr("(9 * d + limit - size) div 18 + 1")).alias("e")
+    differ = " + ".join(f"bit_count(f.parity[{i}] ^ e.parity[{i}])" for i in range(PARITY))
+    found = far.join(every, F.expr(f"""
+        f.base = e.base AND f.shingle = e.shingle AND f.label <> e.label
+        AND 18 * least(f.left, e.left) >= 9 * (f.d + e.d) - f.size - e.size
+        AND 9 * ({differ}) <= f.size + e.size"""))
+    return found.select("f.node", F.col("e.node").alias("other"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
