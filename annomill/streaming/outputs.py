@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.annotate import annotate_marked
+from ..session import files_open_together
 from ..sinks.layout import write_by_id
 from ..sources.outputs import flatten_outputs
 from ..sources.prompts import only_prompts, prompt_map
@@ -67,12 +68,14 @@ def stream_outputs(
         joined = rows.join(known, "custom_id", "left")
         prompt = F.when(~F.col("quarantined"), F.coalesce("prompt", F.lit("")))
         rows = joined.select(*rows.columns, prompt.alias("prompt"))
-    return (
-        rows.writeStream.format("parquet").outputMode("append")
-        .partitionBy("quarantined").option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    # The stream keeps the setting it starts with: good and bad lines are written side by side, unsorted.
+    with files_open_together(outputs.sparkSession, 2):
+        return (
+            rows.writeStream.format("parquet").outputMode("append")
+            .partitionBy("quarantined").option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
 
 
 def read_annotations(spark: SparkSession, path: str) -> DataFrame:
