@@ -182,7 +182,7 @@ def job_ledger(spark, sf_dir):
 def write_requests(spark, sf_dir):
     path = new_scratch(spark, "requests")
     write_request_files(
-        d.prompts(spark, sf_dir), d.rubrics(spark), path, max_lines=MAX_LINES, max_bytes=None
+        d.prompts(spark, sf_dir), d.rubrics(spark), path, max_lines=MAX_LINES, max_bytes=None, compression="gzip"
     )
     schema = ("custom_id string, method string, url string, body struct<model string, "
               "messages array<struct<role string, content string>>, max_tokens int, temperature int>, "
@@ -211,7 +211,8 @@ def write_requests_exact(spark, sf_dir):
     """Lines and bytes of request files none of which may be larger than allowed, as they lie."""
     path = new_scratch(spark, "requests-exact")
     write_request_files(
-        d.prompts(spark, sf_dir), d.rubrics(spark), path, max_lines=MAX_LINES, max_bytes=MAX_BYTES, cuts="exact")
+        d.prompts(spark, sf_dir), d.rubrics(spark), path, max_lines=MAX_LINES, max_bytes=MAX_BYTES, cuts="exact",
+        compression="gzip")
     lines = spark.read.text(path)
     return lines.groupBy("demand", "part").agg(
         F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"),

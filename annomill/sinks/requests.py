@@ -32,6 +32,7 @@ def write_requests(
     max_bytes: int | None = MAX_PART_BYTES,
     order_by: tuple[str, ...] | None = None,
     cuts: str = "even",
+    compression: str | None = None,
 ) -> None:
     """JSON lines below ``path/demand=<demand>/part=<part>/``.
 
@@ -50,16 +51,19 @@ def write_requests(
     ``cuts="even"`` deals equally many lines to the parts, so ``max_bytes`` holds for their
     mean.  ``cuts="exact"`` cuts all demands where no part has more bytes or lines than
     allowed: see ``exact_cuts``.
+
+    ``compression`` names a codec for the files, such as ``gzip``: every request repeats its
+    prompt and its rubric.  Limits hold for the lines, not for the compressed files.
     """
     if cuts not in ("even", "exact"):
         raise ValueError("cuts must be 'even' or 'exact'")
     if cuts == "exact" and max_bytes is None:
         raise ValueError("exact cuts need max_bytes")
     with scratch_removed(prompts.sparkSession):
-        _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by, cuts)
+        _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by, cuts, compression)
 
 
-def _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by, cuts) -> None:
+def _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes, order_by, cuts, compression) -> None:
     halves = request_halves(rubrics)
     # Too many rubrics to hold their texts in every task: the texts then travel
     # with the rows instead of being looked up at the end.
@@ -88,8 +92,8 @@ def _write(prompts, rubrics, path, model, max_tokens, url, max_lines, max_bytes,
         instruction = F.concat("_around.prefix", "prompt", "_around.suffix")
     fields = request_columns(F.col("custom_id"), instruction, model, max_tokens, url)
     (
-        placed.select("demand", "part", *fields)
-        .write.mode("overwrite").partitionBy("demand", "part").json(path)
+        placed.select("demand", "part", *fields).write.mode("overwrite").partitionBy("demand", "part")
+        .options(**({"compression": compression, "zlib.compress.level": "BEST_SPEED"} if compression else {})).json(path)
     )
 
 
