@@ -10,6 +10,9 @@ from .staged import staged
 
 FORMATS = ("jsonl", "csv", "parquet")
 
+#: Answers may hold line breaks, so a reader takes a CSV file in one task: a file has at most so many rows.
+CSV_FILE_ROWS = 50_000
+
 
 def write_annotations(
     annotations: DataFrame, path: str, format: str = "jsonl", split_by_demand: bool = False
@@ -44,7 +47,7 @@ def write_annotations(
         else:
             # Answers may hold line breaks, quotes and leading blanks.
             writer.options(
-                header=True, escape='"', quoteAll=False,
+                header=True, escape='"', quoteAll=False, maxRecordsPerFile=CSV_FILE_ROWS,
                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
             ).csv(place)
         if not written.get.get("rows"):
