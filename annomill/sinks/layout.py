@@ -28,7 +28,7 @@ def write_by_id(rows: DataFrame, table: str, path: str, buckets: int, key: str =
     if most is not None and most["n"] > MOST_ROWS:
         raise ValueError(f"{key} {most[key]} has {most['n']} rows: too many for a table by id")
     (
-        rows.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+        rows.repartition(buckets, key).write.mode("overwrite").format("parquet").options(path=path, compression="zstd")
         .bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     )
     return spark.table(table)

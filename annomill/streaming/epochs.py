@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 
 def write_epoch(rows: DataFrame, table: str, epoch: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+    rows.write.mode("overwrite").parquet(f"{table}/epoch={epoch}", compression="zstd")
 
 
 def _files(spark: SparkSession, table: str):

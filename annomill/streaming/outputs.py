@@ -72,7 +72,7 @@ def stream_outputs(
     with files_open_together(outputs.sparkSession, 2):
         return (
             rows.writeStream.format("parquet").outputMode("append")
-            .partitionBy("quarantined").option("path", path).option("checkpointLocation", checkpoint)
+            .partitionBy("quarantined").options(path=path, checkpointLocation=checkpoint, compression="zstd")
             .trigger(**(trigger or {"availableNow": True}))
             .start()
         )

@@ -56,7 +56,8 @@ class WideTable:
             for demand, name in zip(self.demands, self._cells())])
 
     def _merged(self, rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*KEYS).agg(*[F.max(name).alias(name) for name in self._cells()])
+        # Dealt by the id alone, as the base is: neither a merge with it nor a new base moves the rows again.
+        return rows.repartition(self.buckets, "custom_id").groupBy(*KEYS).agg(*[F.max(name).alias(name) for name in self._cells()])
 
     # --- Stream -------------------------------------------------------------
 
@@ -123,7 +124,7 @@ class WideTable:
         name = f"annomill_writing_{uuid.uuid4().hex}"
         (
             self.rows().repartition(self.buckets, "custom_id").write.mode("overwrite").format("parquet")
-            .option("path", f"{self.path}/upto={epochs[-1]}").bucketBy(self.buckets, "custom_id").sortBy("custom_id")
+            .options(path=f"{self.path}/upto={epochs[-1]}", compression="zstd").bucketBy(self.buckets, "custom_id").sortBy("custom_id")
             .saveAsTable(name)
         )
         # The files stay: the table lies outside the warehouse.

@@ -8,6 +8,8 @@ from annomill.plans import derived, queries
 from annomill.session import files_open_together
 from annomill.sinks import annotations
 from annomill.sinks.requests import write_requests
+from annomill.streaming.epochs import write_epoch
+from annomill.streaming.wide import WideTable
 from test_oracles import plan_of
 
 TEXT = "some words that are neither rare nor few, with a \"quote\", a comma\nand a line break "
@@ -75,3 +77,15 @@ def test_request_files_may_be_compressed(spark, tmp_path):
     plain, small = (sorted(r.value for r in spark.read.text(str(tmp_path / name)).select("value").collect()) for name in ("plain", "small"))
     assert plain == small and len(plain) == 200
     assert size(str(tmp_path / "small"), "part-*") < size(str(tmp_path / "plain"), "part-*") / 2
+
+
+def test_micro_batches_are_dealt_by_id_alone_and_kept_small(spark, tmp_path):
+    rows = derived.outputs(spark, documents(spark, tmp_path / "tables")).withColumn("run", F.lit("r"))
+    table = WideTable(spark, str(tmp_path / "wide"), derived.ACRONYMS, 8)
+    for epoch in (0, 1):
+        write_epoch(table.partials(rows.where(F.col("file_pos") % 2 == epoch)), table.path, epoch)
+    assert list((tmp_path / "wide" / "epoch=0").glob("*.zstd.parquet"))
+    plan = plan_of(table.rows())
+    assert "hashpartitioning(custom_id" in plan and "hashpartitioning(run" not in plan
+    table.upsert()
+    assert table.rows().count() == 300
