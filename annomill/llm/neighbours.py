@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .blocks import LOWEST
 from .lines import keyed, possible
-from .words import Powers, Texts, mixed, running, slices, small_batches, spans, texts, windows
+from .words import Powers, Texts, give_back, mixed, running, slices, small_batches, spans, texts, windows
 
 WORDS = 5
 SIMILAR = 0.8
@@ -123,6 +123,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.ListArray.from_arrays(pa.array(np.arange(found.n + 1) * BANDS, pa.int32()),
                                          pa.array(keys.reshape(-1).view(np.int64)))],
                 names=["node", "a", "b", "keys"])
+    give_back()
 
 
 def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
@@ -152,6 +153,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(half, "other_text", SLICE):
                 linked = [similarity(x, y) >= SIMILAR for x, y in zip(sets(part, "text"), sets(part, "other_text"))]
                 yield part.select(["node", "other"]).filter(pa.array(linked, pa.bool_()))
+    give_back()
 
 
 def linked(pairs: DataFrame, held: DataFrame) -> DataFrame:
@@ -338,6 +340,7 @@ def _deltas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([parities(x) for x in apart], pa.list_(pa.int64())),
                     pa.array([shares(*x) for x in mine], pa.list_(pa.float64()))],
                     names=["base", "node", "label", "size", "limit", "uneven", "delta", "parity", "shares"])
+    give_back()
 
 
 def _cross(left: DataFrame, bases: DataFrame, held: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stored
-from .words import Powers, letters_and_digits, slices, small_batches, texts
+from .words import Powers, give_back, letters_and_digits, slices, small_batches, texts
 
 SAMPLE_ROWS = 20_000
 SLOT_BITS = 20
@@ -62,6 +62,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              pa.array(pairs & ((1 << SLOT_BITS) - 1), pa.int32()))
             kept = part.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays([*kept.columns, words], names=[*kept.schema.names, "words"])
+    give_back()
 
 
 def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, str], rows: int) -> DataFrame:
@@ -210,5 +211,6 @@ def judge(docs: DataFrame, chain: list[dict], text_column: str = "text") -> Data
                     out.append(pa.array(sigmoid(odds)))
                     dense = np.column_stack([dense, np.clip(odds, -13.8, 13.8)])
                 yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*part.schema.names, *names])
+        give_back()
 
     return kept.mapInArrow(judged, schema)

@@ -6,10 +6,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from annomill.llm import exact, neighbours
+from annomill.llm import exact, neighbours, words
 from annomill.llm.queries import QUERIES
 
 BLANKS = re.compile(r"[\x20\x09-\x0D]")
@@ -197,3 +198,21 @@ def test_near_query(spark, sf_dir):
     given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found = {r.doc_id: r.class_id for r in QUERIES["op2_probminhash"](spark, sf_dir).collect()}
     assert found == {doc: label for (doc, _), label in zip(given, near_classes(given).values())}
+
+
+def test_workers_give_freed_memory_back(monkeypatch):
+    def held():
+        with open("/proc/self/statm", encoding="ascii") as file:
+            return int(file.read().split()[1]) * 4096
+
+    many = [np.ones(8_000) for _ in range(5_000)]
+    last = np.ones(8_000)
+    del many
+    before = held()
+    words.give_back()
+    assert before - held() > 200 << 20 and last.sum() == 8_000
+    calls = []
+    monkeypatch.setattr(neighbours, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_pydict({"node": [1], "other": [2], "text": ["a b c d e"], "other_text": ["a b c d e"]})
+    assert len(list(neighbours._signed(iter([batch])))) == len(list(neighbours._compared(iter([batch])))) == 1
+    assert len(calls) == 2
