@@ -51,8 +51,10 @@ SLICE = 512 << 10
 MEMBERS = 8
 #: Words of 64 bits of a delta's parity signature.
 PARITY = 16
-#: Shares of a text's weight that shingles have by their hash.
-SHARES = 64
+#: Cells that a text's shingles are added up in, by their hash.
+CELLS = 512
+#: Texts whose cells are compared with as many others' at once.
+PACK = 512
 
 
 def shingles(found: Texts, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -311,10 +313,39 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits((count & 1).astype(np.uint8)).view(np.int64)
 
 
-def shares(hashes: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """How a text's weight falls to a few cells; shares of similar texts differ in 0.4 at most, added up."""
-    cell = (mixed(hashes) % np.uint64(SHARES)).astype(np.int64)
-    return np.bincount(cell, weights=weight, minlength=SHARES) / max(1, int(weight.sum()))
+def cells(hashes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """How a text's weight falls to a few cells; texts are at most as similar as their cells.
+
+    A shingle's term of the similarity, ``1 / sum over e of max(x_e / x_d, y_e / y_d)``, is
+    concave in ``x_d, y_d`` and grows in proportion with both, so the term of a sum is at
+    least the sum of the terms; and no maximum of sums exceeds the sum of the maxima.
+    """
+    cell = (mixed(hashes) % np.uint64(CELLS)).astype(np.int64)
+    return np.bincount(cell, weights=weight, minlength=CELLS).astype("<i8")
+
+
+def similar_cells(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which rows' cells have a similarity of at least ``SIMILAR`` to one row's, but for rounding."""
+    least = SIMILAR - 1e-9
+    held = one > 0
+    x, ys = one[held].astype(np.float64), others[:, held].astype(np.float64)
+    total, totals = x.sum(), others.sum(axis=1).astype(np.float64)
+    if not len(x):
+        return totals == 0
+    # Added up, what two texts have alike in shares is no less than their similarity.
+    alike = np.minimum(x / total, ys / np.maximum(totals, 1)[:, None]).sum(axis=1)
+    found = np.flatnonzero(alike >= least)
+    ys, without = ys[found], (totals - ys.sum(axis=1))[found]
+    with np.errstate(divide="ignore"):
+        order = np.argsort(x / ys, axis=1)
+    ys, xs = np.take_along_axis(ys, order, axis=1), x[order]
+    above = np.cumsum(xs[:, ::-1], axis=1)[:, ::-1]
+    below = np.cumsum(ys, axis=1) - ys + without[:, None]
+    both = ys > 0
+    terms = np.where(both, 1.0 / (above / xs + below / np.where(both, ys, 1.0)), 0.0)
+    out = np.zeros(len(others), dtype=bool)
+    out[found] = terms.sum(axis=1) >= least
+    return out
 
 
 def _deltas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,8 +369,8 @@ def _deltas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(size, pa.int64()), pa.array(limit, pa.int64()), pa.array(uneven, pa.bool_()),
                     pa.array([x.view(np.int64) for x in apart], pa.list_(pa.int64())),
                     pa.array([parities(x) for x in apart], pa.list_(pa.int64())),
-                    pa.array([shares(*x) for x in mine], pa.list_(pa.float64()))],
-                    names=["base", "node", "label", "size", "limit", "uneven", "delta", "parity", "shares"])
+                    pa.array([cells(*x).tobytes() for x in mine], pa.binary())],
+                    names=["base", "node", "label", "size", "limit", "uneven", "delta", "parity", "cells"])
     give_back()
 
 
@@ -366,9 +397,8 @@ def _cross(left: DataFrame, bases: DataFrame, held: DataFrame) -> DataFrame:
     near copies have in common is in no delta, so such a group does not meet in it.
 
     Heavy texts, which repeat themselves, and texts outside the base's class that are
-    not far are few; they are paired with others around it unless their shingles' shares
-    of the weight tell them apart: the similarity is at most 1 less half the L1 distance
-    of the shares, which adding some up does not increase.
+    not far are few; their cells are compared with those of all others around it
+    (``_alike``), and pairs whose cells are similar are left.
     """
     around = left.join(bases, "key").select("base", "node", "label").distinct()
     texts_of = around.join(held, "node").join(
@@ -376,16 +406,53 @@ def _cross(left: DataFrame, bases: DataFrame, held: DataFrame) -> DataFrame:
     nodes = stored(
         texts_of.select("base", "node", "label", "text", "base_text").mapInArrow(
             _deltas, "base long, node long, label long, size long, limit long, uneven boolean, delta array<long>, parity array<long>, "
-                     "shares array<double>")
+                     "cells binary")
         .withColumn("d", F.size("delta").cast("long")).withColumn("far", F.expr("9 * d > size + limit"))
         .withColumn("heavy", F.expr("uneven OR size > 9 * d + limit")), "deltas")
     own = around.where("node = base").select("base", F.col("label").alias("base_label"))
-    plain = nodes.join(own, "base").where("heavy OR (NOT far AND label <> base_label)").alias("p")
-    pairs = plain.join(nodes.alias("n"), F.expr(f"""
-        p.base = n.base AND p.label <> n.label AND aggregate(
-            zip_with(p.shares, n.shares, (x, y) -> abs(x - y)), 0D, (a, x) -> a + x) <= {2 * (1 - SIMILAR) + 1e-6}"""))
-    pairs = pairs.select("p.node", F.col("n.node").alias("other"))
-    return _ordered(pairs.unionByName(_sharing(nodes.where("NOT heavy"))))
+    plain = F.expr("heavy OR (NOT far AND label <> base_label)")
+    told = nodes.join(own, "base").select("base", "node", "label", "cells", plain.alias("plain"))
+    return _ordered(_alike(told).unionByName(_sharing(nodes.where("NOT heavy"))))
+
+
+def _alike(told: DataFrame) -> DataFrame:
+    """Pairs of a plain and another text of different classes around a base whose cells are similar.
+
+    Both sides are dealt to packs, and one task at a time compares a pack with a pack, so a
+    large group spreads over many tasks.
+    """
+    def compared(mine: pa.Table, others: pa.Table) -> pa.Table:
+        if not mine.num_rows or not others.num_rows:
+            return pa.table({"node": pa.array([], pa.int64()), "other": pa.array([], pa.int64())})
+        left, right = [np.frombuffer(b"".join(table.column(name).to_pylist()), dtype="<i8").reshape(-1, CELLS)
+                       for table, name in ((mine, "cells"), (others, "other_cells"))]
+        node, other = mine.column("node").to_numpy(), others.column("other").to_numpy()
+        label, apart = mine.column("label").to_numpy(), others.column("other_label").to_numpy()
+        found = []
+        for i in range(len(left)):
+            rows = np.flatnonzero(apart != label[i])
+            found.append(rows[similar_cells(left[i], right[rows])])
+        first = np.repeat(node, [len(rows) for rows in found])
+        second = other[np.concatenate(found)]
+        return pa.table({"node": pa.array(first, pa.int64()), "other": pa.array(second, pa.int64())})
+
+    packs = told.groupBy("base").agg(F.ceil(F.count_if("plain") / PACK).alias("own_packs"),
+                                     F.ceil(F.count(F.lit(1)) / PACK).alias("all_packs")).where("own_packs > 0")
+    dealt = stored(told.join(packs, "base"), "packs")
+
+    def pack(of: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(of))
+
+    def each(of: str) -> Column:
+        return F.explode(F.expr(f"sequence(0L, {of} - 1)"))
+
+    mine = dealt.where("plain").select(
+        "base", pack("own_packs").alias("i"), each("all_packs").alias("j"), "node", "label", "cells")
+    others = dealt.select(
+        F.col("base").alias("other_base"), each("own_packs").alias("other_i"), pack("all_packs").alias("other_j"),
+        F.col("node").alias("other"), F.col("label").alias("other_label"), F.col("cells").alias("other_cells"))
+    return mine.groupBy("base", "i", "j").cogroup(others.groupBy("other_base", "other_i", "other_j")).applyInArrow(
+        compared, "node long, other long")
 
 
 def _sharing(nodes: DataFrame) -> DataFrame:
@@ -399,7 +466,7 @@ def _sharing(nodes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     ranked = cut.join(several.select("base", "shingle", "n"), ["base", "shingle"]).groupBy("base", "node").agg(
         F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("ranked"))
-    known = stored(nodes.drop("delta", "shares").join(ranked, ["base", "node"]), "shared-deltas")
+    known = stored(nodes.drop("delta", "cells").join(ranked, ["base", "node"]), "shared-deltas")
 
     def rarest(rows: DataFrame, common: Column) -> DataFrame:
         count = (F.size("ranked") - common + 1).cast("int")

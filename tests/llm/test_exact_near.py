@@ -177,6 +177,50 @@ def test_large_groups_of_near_copies(phrase, documents, monkeypatch):
         assert len(compared) == 4 and compared[3] < len(docs)
 
 
+def test_copies_that_repeat_a_line_are_not_all_compared(documents, monkeypatch):
+    """Copies of a text that hold a line several times; pairs that are not similar show it without their texts."""
+    rng = random.Random(31)
+    words, line = [f"w{n}" for n in range(60)], [f"l{n}" for n in range(12)]
+    docs = []
+    for doc in range(400):
+        own = edited(rng, words, rng.choice([2, 3, 3, 4])) + line * rng.choice([3, 4, 5])
+        docs.append((doc, " ".join(own)))
+        if rng.random() < 0.2:
+            docs.append((1000 + doc, " ".join(edited(rng, own, 1))))
+    compared = []
+    plain = neighbours.linked
+
+    def counted(pairs, held):
+        compared.append(pairs.count())
+        return plain(pairs, held)
+
+    monkeypatch.setattr(neighbours, "linked", counted)
+    monkeypatch.setattr(neighbours, "PACK", 64, raising=False)
+    found = neighbours.near_duplicates(documents(docs)).collect()
+    expected = near_classes(docs)
+    assert {r.doc_id: r.class_id for r in found} == {doc: expected[n] for n, (doc, _) in enumerate(docs)}
+    assert len(set(expected.values())) > 20
+    assert compared[-1] < 4 * len(docs)
+
+
+def test_cells_of_similar_texts_are_similar():
+    rng = np.random.default_rng(8)
+    held = []
+    for group in range(6):
+        keys, base = rng.integers(0, 1 << 63, 700, dtype=np.uint64), rng.integers(1, 9, 700)
+        for _ in range(15):
+            own = np.maximum(0, base + rng.integers(-1, 2, 700) * (rng.random(700) < rng.random() / 2)) * rng.integers(1, 4)
+            order = np.argsort(keys[own > 0])
+            held.append((keys[own > 0][order], own[own > 0][order]))
+    held.append((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    rows = np.array([neighbours.cells(*x) for x in held])
+    exact_values = np.array([[neighbours.similarity(x, y) for y in held] for x in held])
+    alike = np.array([neighbours.similar_cells(row, rows) for row in rows])
+    assert (exact_values >= 0.8).sum() > 200 and alike[exact_values >= 0.8].all()
+    assert alike.sum() < 2 * (exact_values >= 0.8).sum()
+    assert alike[-1].sum() == 1 and alike[:, -1].sum() == 1
+
+
 def test_similarity_and_signatures():
     rng = np.random.default_rng(2)
     for _ in range(20):
