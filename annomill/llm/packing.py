@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .words import slices
+from .words import give_back, slices
 
 BLOCK_TOKENS = 1_000_000
-CACHED_UNITS = 500_000
+#: Some 180 bytes each, which the worker keeps beside later tasks.
+CACHED_UNITS = 150_000
 #: A single one of these after a letter is a piece of its own at a unit's end.
 MARKS = ".,;:!?"
 
@@ -200,6 +201,7 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, special: tuple[tuple[st
                     pa.array([costs[s] for s in sequence], pa.float64()),
                 ], names=[field.split()[0] for field in PIECES.split(", ")])
             base += len(costs)
+        give_back()
 
     chosen = docs.selectExpr(f"CAST(`{id_column}` AS BIGINT) AS doc_id", f"CAST(`{text_column}` AS STRING) AS text")
     return chosen.mapInArrow(packed, PIECES)

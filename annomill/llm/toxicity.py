@@ -37,6 +37,8 @@ FOLDS = 5
 CATEGORY_WORDS = 1_024
 LEAST_SCORE = 15.0
 STEPS = 300
+#: Texts whose words are looked up at once.
+ROWS = 512
 RIDGE = 1e-5
 
 
@@ -123,20 +125,23 @@ def predict(row, column, dense, n, weights):
 
 def marks_of(words: pd.Series, chosen: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Row and position among the chosen slots of every mark."""
-    lengths = np.array([len(x) for x in words], dtype=np.int64)
-    row = np.repeat(np.arange(len(words)), lengths)
-    slot = np.concatenate([np.asarray(x, dtype=np.int64) for x in words]) if len(words) else np.zeros(0, np.int64)
-    if not chosen:
-        return row[:0], slot[:0]
-    at = np.searchsorted(chosen, slot)
-    hit = np.asarray(chosen)[np.minimum(at, len(chosen) - 1)] == slot
-    return row[hit], at[hit]
+    rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    # A few rows at a time: most of their words are not among the chosen.
+    for low in range(0, len(words) if chosen else 0, ROWS):
+        some = [np.asarray(x, dtype=np.int64) for x in words.iloc[low:low + ROWS]]
+        row = np.repeat(np.arange(low, low + len(some)), [len(x) for x in some])
+        slot = np.concatenate(some)
+        at = np.searchsorted(chosen, slot)
+        hit = np.asarray(chosen)[np.minimum(at, len(chosen) - 1)] == slot
+        rows.append(row[hit])
+        places.append(at[hit])
+    return np.concatenate(rows), np.concatenate(places)
 
 
 def fold_model(label: str, before: list[str], chosen: list[int]):
     """Fits one model: that of a fold, which judges the fold's rows, or the final one, which gives its weights."""
     def model(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "fold"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["doc_id", "fold"], kind="stable", ignore_index=True)
         held = (pdf["model"] == pdf["fold"]).to_numpy()
         row, column = marks_of(pdf["words"], chosen)
         p = np.clip(pdf[before].to_numpy(dtype=float).reshape(len(pdf), len(before)), 1e-6, 1 - 1e-6)

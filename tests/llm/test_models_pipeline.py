@@ -1,8 +1,11 @@
 """Toxicity, decontamination and the pipeline."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +214,74 @@ def test_no_items_or_no_documents(spark, documents):
     assert decontamination.find(documents([]), bench).count() == 0
 
 
+def most_megabytes(call):
+    tracemalloc.start()
+    out = call()
+    size = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return out, size
+
+
+def test_counting_blocks_keeps_no_texts():
+    text = [" ".join(f"w{n}x{i % 50}" for i in range(30_000)) for n in range(24)]
+    batch = pa.RecordBatch.from_pydict({"text": text})
+    (counts, sampled), size = most_megabytes(lambda: list(decontamination._counted(iter([batch] * 4))))
+    assert size < 40
+    total = counts.column("n").to_numpy()[counts.column("term").to_numpy() < 0]
+    assert total.tolist() == [4 * 24 * -(-30_000 // decontamination.BLOCK)]
+    assert sampled.num_rows == decontamination.TASK_BLOCKS
+    assert set(map(len, sampled.column("terms").to_pylist())) <= {decontamination.BLOCK, 30_000 % decontamination.BLOCK}
+
+
+def test_latent_terms_multiplies_few_columns_at_a_time():
+    rng = np.random.default_rng(5)
+    terms = [rng.integers(0, 1 << decontamination.TERM_BITS, 32) for _ in range(1_400)]
+    basis = rng.standard_normal((1 << decontamination.TERM_BITS, 72)).astype(np.float32)
+    row, term, value = decontamination.weighted(terms, np.ones(1 << decontamination.TERM_BITS))
+    (found, out), size = most_megabytes(lambda: decontamination.products(row, term, value, basis))
+    left = np.zeros((len(terms), 72))
+    np.add.at(left, row, basis[term] * value[:, None])
+    right = np.zeros(basis.shape)
+    np.add.at(right, term, left[row] * value[:, None])
+    assert np.allclose(out, right[found], atol=1e-12) and not np.delete(right, found, axis=0).any()
+    assert size < 40
+
+
+def test_benchmark_items_reach_spark_without_python_workers(spark, documents, monkeypatch):
+    given = []
+    latent = decontamination.latent_terms
+    monkeypatch.setattr(decontamination, "latent_terms", lambda rows, idf: given.append(rows) or latent(rows, idf))
+    items = spark.createDataFrame([(1, "a b c d e f g h")], "item_id long, text string")
+    decontamination.find(documents([(1, "so a b c d e f g h it is")]), items)
+    text = given[0]._jdf.queryExecution().toRdd().toDebugString()
+    assert "Python" not in text
+
+
+def test_searching_holds_a_small_table_of_items():
+    rng = np.random.default_rng(6)
+    words = np.unique(rng.integers(1, 1 << 63, 30_000).astype(np.uint64))
+    items = [decontamination.Item(i, rng.choice(words, 20), words[:1]) for i in range(2_000)]
+    known = decontamination.Known(items, np.ones(1 << decontamination.TERM_BITS))
+    hashes = rng.choice(words, 64_000)
+    hashes[640:660] = items[7].words
+    start, doc = np.arange(0, 64_001, decontamination.BLOCK), np.arange(2_000) // 8
+    (item, block), size = most_megabytes(lambda: known.candidates(known.places(hashes), start, doc))
+    assert (7, 20) in set(zip(item.tolist(), block.tolist()))
+    assert size < 40
+
+
+def test_looking_up_words_keeps_those_chosen():
+    rng = np.random.default_rng(7)
+    words = pd.Series([np.unique(rng.integers(0, 1 << 20, n)).astype(np.int32) for n in rng.integers(0, 600, 6_000)])
+    chosen = sorted(rng.choice(1 << 20, 1_024, replace=False).tolist())
+    (row, place), size = most_megabytes(lambda: toxicity.marks_of(words, chosen))
+    at = {slot: i for i, slot in enumerate(chosen)}
+    marks = [(i, at[slot]) for i, own in enumerate(words) for slot in own.tolist() if slot in at]
+    assert list(zip(row.tolist(), place.tolist())) == marks
+    assert size < 20
+    assert [x.tolist() for x in toxicity.marks_of(words, [])] == [x.tolist() for x in toxicity.marks_of(words[:0], chosen)] == [[], []]
+
+
 def test_common_is_the_longest_common_subsequence():
     rng = random.Random(8)
     for _ in range(200):
