@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from annomill.llm import decontamination, toxicity
 from annomill.llm.queries import CATEGORIES, QUERIES
+from annomill.llm.words import Powers
 
 
 def labelled(rng, n):
@@ -257,6 +258,40 @@ def test_benchmark_items_reach_spark_without_python_workers(spark, documents, mo
     assert "Python" not in text
 
 
+def test_latent_terms_come_from_all_blocks(spark, documents, monkeypatch):
+    """Also the words of blocks that are not in the sample have coordinates."""
+    given = []
+    embedded = decontamination.embedded
+    monkeypatch.setattr(decontamination, "SAMPLE_BLOCKS", 5)
+    monkeypatch.setattr(decontamination, "embedded", lambda terms, rows: given.append(rows.copy()) or embedded(terms, rows))
+    docs = documents([(n, " ".join(f"d{n}w{i}" for i in range(40))) for n in range(30)] + [(99, None), (None, "")])
+    items = spark.createDataFrame([(1, "a b c d e f g h")], "item_id long, text string")
+    decontamination.find(docs, items)
+    words = [f"d{n}w{i}" for n in range(30) for i in range(40)]
+    part = pa.RecordBatch.from_pydict({"t": words})
+    term = decontamination.term_of(decontamination.words_of(part, "t", Powers())[1])
+    assert np.abs(given[0][term]).max(axis=1).min() > 0
+
+
+def test_rounds_over_all_blocks_multiply_by_the_whole_matrix(spark, documents):
+    rng = random.Random(4)
+    rows = [(n, " ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 3) for _ in range(rng.randint(0, 200)))) for n in range(60)]
+    part = pa.RecordBatch.from_pydict({"t": [text for _, text in rows]})
+    found, hashes = decontamination.words_of(part, "t", Powers())
+    start, _ = decontamination.blocks_of(found)
+    terms = [decontamination.term_of(hashes[a:b]) for a, b in zip(start[:-1], start[1:])]
+    passages, idf = [terms[3], terms[7]], np.random.default_rng(1).random(1 << decontamination.TERM_BITS) + 1
+    coordinates = np.random.default_rng(2).standard_normal((1 << decontamination.TERM_BITS, 4)).astype(np.float32)
+    ours = decontamination.over_all_blocks(documents(rows), "text", passages, idf, coordinates)
+    further = np.random.default_rng(11).standard_normal((1 << decontamination.TERM_BITS, decontamination.OVERSAMPLE)).astype(np.float32)
+    basis = np.hstack([coordinates, further])
+    expected = np.zeros_like(basis)
+    at, out = decontamination.products(*decontamination.weighted(terms + passages, idf), basis)
+    expected[at] = out
+    expected = decontamination.orthonormal(expected)[:, :4]
+    assert np.allclose(np.abs((ours * expected).sum(axis=0)), 1, atol=1e-3)
+
+
 def test_searching_holds_a_small_table_of_items():
     rng = np.random.default_rng(6)
     words = np.unique(rng.integers(1, 1 << 63, 30_000).astype(np.uint64))
