@@ -200,7 +200,7 @@ def write_requests_bytes(spark, sf_dir):
         .write.partitionBy("acronym").text(path)
     ))
     path = new_scratch(spark, "requests-bytes")
-    create_requests(spark, d.prompt_files(spark, sf_dir, "jsonl"), folder, path, max_lines=None, max_bytes=MAX_BYTES)
+    create_requests(spark, d.prompt_files(spark, sf_dir, "jsonl"), folder, path, max_lines=None, max_bytes=MAX_BYTES, compression="gzip")
     schema = "custom_id string, body struct<messages: array<struct<role: string, content: string>>>, demand string, part string"
     rows = spark.read.schema(schema).json(path)
     return rows.select("demand", "part", "custom_id", F.col("body.messages")[1]["content"].alias("content")).select(

@@ -79,6 +79,12 @@ def test_request_files_may_be_compressed(spark, tmp_path):
     assert size(str(tmp_path / "small"), "part-*") < size(str(tmp_path / "plain"), "part-*") / 2
 
 
+def test_requests_under_a_byte_limit_are_written_compressed(spark, tmp_path):
+    rows = queries.write_requests_bytes(spark, documents(spark, tmp_path))
+    assert all(name.endswith(".json.gz") for name in rows.inputFiles())
+    assert rows.count() == 4 * 300 and rows.select("demand", "custom_id").distinct().count() == 4 * 300
+
+
 def test_micro_batches_are_dealt_by_id_alone_and_kept_small(spark, tmp_path):
     rows = derived.outputs(spark, documents(spark, tmp_path / "tables")).withColumn("run", F.lit("r"))
     table = WideTable(spark, str(tmp_path / "wide"), derived.ACRONYMS, 8)
