@@ -8,6 +8,7 @@ from annomill.plans import derived, queries
 from annomill.session import files_open_together
 from annomill.sinks import annotations
 from annomill.sinks.requests import write_requests
+from annomill.sources.rubrics import read_rubric_files
 from annomill.streaming.epochs import write_epoch
 from annomill.streaming.wide import WideTable
 from test_oracles import plan_of
@@ -85,6 +86,23 @@ def test_requests_under_a_byte_limit_are_written_compressed(spark, tmp_path):
     assert rows.count() == 4 * 300 and rows.select("demand", "custom_id").distinct().count() == 4 * 300
 
 
+def test_rubric_folders_are_listed_by_few_tasks(spark, tmp_path):
+    rows = queries.load_rubrics(spark, documents(spark, tmp_path))
+    folder = derived._WRITTEN[(spark.sparkContext.applicationId, str(tmp_path), "rubrics")]
+    assert rows.count() == 270
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, context = spark.conf.get(name), spark.sparkContext
+    context.setJobGroup("listing", "")
+    try:
+        read_rubric_files(spark, folder)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(i) for job in tracker.getJobIdsForGroup("listing") for i in tracker.getJobInfo(job).stageIds]
+    assert 0 < max(stage.numTasks for stage in stages) <= 4 * context.defaultParallelism
+    assert spark.conf.get(name) == before
+
+
 def test_micro_batches_are_dealt_by_id_alone_and_kept_small(spark, tmp_path):
     rows = derived.outputs(spark, documents(spark, tmp_path / "tables")).withColumn("run", F.lit("r"))
     table = WideTable(spark, str(tmp_path / "wide"), derived.ACRONYMS, 8)
