@@ -273,6 +273,16 @@ def test_latent_terms_come_from_all_blocks(spark, documents, monkeypatch):
     assert np.abs(given[0][term]).max(axis=1).min() > 0
 
 
+def test_pipeline_decomposes_all_blocks_of_its_documents(spark, sf_dir, documents, monkeypatch):
+    given = []
+    whole = decontamination.over_all_blocks
+    monkeypatch.setattr(decontamination, "SAMPLE_BLOCKS", 5)
+    monkeypatch.setattr(decontamination, "over_all_blocks", lambda docs, *more: given.append(docs.count()) or whole(docs, *more))
+    docs = documents([(n, " ".join(f"d{n}w{i}" for i in range(40))) for n in range(30)])
+    assert corpus_pipeline.without_benchmark(spark, docs, sf_dir).count() == 30
+    assert given == [30]
+
+
 def test_rounds_over_all_blocks_multiply_by_the_whole_matrix(spark, documents):
     rng = random.Random(4)
     rows = [(n, " ".join(rng.choice("abcdefghijklmnop") * rng.randint(1, 3) for _ in range(rng.randint(0, 200)))) for n in range(60)]
